@@ -41,18 +41,17 @@ def regression_metrics(preds: DataFrame, by: list[str], y: str = "y", yhat: str
 def forecast_scores(preds: DataFrame, by: list[str] | None = None, digits: int | None = None) -> DataFrame:
     """RMSE per day slot (0..6) and overall per model.
 
-    One aggregation per (group, slot) carries SSE and counts; the overall row
-    (slot null) is re-aggregated from those 7 rows, not from the raw rows.
+    One GROUPING SETS aggregation ((by, slot), (by)): a single scan, rows
+    duplicated by Expand before the map-side partial aggregation. The overall
+    row has slot = null.
     """
     by = by or ["brand", "model"]
     e = F.col("yhat") - F.col("y")
-    per_slot = (preds.where(F.col("yhat").isNotNull())
-                .groupBy(*by, "slot").agg(F.sum(e * e).alias("sse"), F.count(F.lit(1)).alias("n")))
-    overall = per_slot.groupBy(*by).agg(F.sum("sse").alias("sse"), F.sum("n").alias("n")).withColumn(
-        "slot", F.lit(None).cast("int"))
-    both = per_slot.unionByName(overall)
-    return both.select(*by, "slot", F.col("n").cast("bigint").alias("n"),
-                       _r(F.sqrt(F.col("sse") / F.col("n")), digits).alias("rmse"))
+    g = (preds.where(F.col("yhat").isNotNull())
+         .groupingSets([[*by, "slot"], list(by)], *by, "slot")
+         .agg(F.sum(e * e).alias("sse"), F.count(F.lit(1)).alias("n")))
+    return g.select(*by, F.col("slot").cast("int").alias("slot"), F.col("n").cast("bigint").alias("n"),
+                    _r(F.sqrt(F.col("sse") / F.col("n")), digits).alias("rmse"))
 
 
 def format_scores(scores: DataFrame, by: list[str] | None = None) -> DataFrame:

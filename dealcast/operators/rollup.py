@@ -75,26 +75,40 @@ def series_bounds(df: DataFrame, date_col: str = "posted_date") -> DataFrame:
 def fill_calendar(daily: DataFrame) -> DataFrame:
     """Gap-free calendar per brand: every day from first to last post day.
 
-    The spine comes from the per-brand bounds (one row per brand) exploded with
-    ``sequence``, then left-joined to the roll-up on (brand, day). Missing days
-    get zero counters, 0.0 discount and False flags. ``rn`` (1-based position)
-    and ``n`` (series length) are plain date arithmetic on the gap-free spine,
-    so later positional logic needs no row_number window.
+    One window pass over the day roll-up (partitioned by brand, ordered by day)
+    finds each day's successor; ``explode(sequence(day, next_day - 1))`` then
+    emits the day itself plus the missing days after it with zero counters,
+    0.0 discount and False flags. No spine join and no second pass over the
+    posts: the only shuffle is the roll-up's, then one of the (small) day rows
+    by brand, which the lag windows downstream reuse. A brand's partition holds
+    its calendar days, never its posts.
+
+    ``rn`` (1-based position) and ``n`` (series length) are date arithmetic on
+    the gap-free calendar, so positional logic later needs no row_number.
     """
-    bounds = series_bounds(daily)
-    spine = bounds.select(
-        "brand",
-        F.explode(F.sequence("first_date", "last_date", F.expr("INTERVAL 1 DAY"))).alias("posted_date"),
-        "first_date", "last_date")
-    filled = spine.join(daily, ["brand", "posted_date"], "left")
-    fills = {c: 0 for c in ["n_posts", "n_stores", "n_texts", *COUNTERS]}
-    fills.update({"discount_off": 0.0, "gwp": False, "has_ad": False})
-    out = filled.fillna(fills)
-    return out.select(
-        *[c for c in out.columns if c not in ("first_date", "last_date")],
-        (F.date_diff("posted_date", "first_date") + 1).alias("rn"),
-        (F.date_diff("last_date", "first_date") + 1).alias("n"),
-    )
+    w = Window.partitionBy("brand").orderBy("posted_date")
+    whole = Window.partitionBy("brand")
+    measures = [c for c in daily.columns if c not in ("brand", "posted_date")]
+    d = daily.select(
+        "*",
+        F.lead("posted_date").over(w).alias("_next"),
+        F.min("posted_date").over(whole).alias("_first"),
+        F.max("posted_date").over(whole).alias("_last"))
+    days = F.sequence(F.col("posted_date"), F.coalesce(F.date_sub("_next", 1), F.col("posted_date")))
+    x = d.select("*", F.explode(days).alias("_day"))
+    real = F.col("_day") == F.col("posted_date")
+    zero = {"discount_off": F.lit(0.0), "gwp": F.lit(False), "has_ad": F.lit(False)}
+    cols = []
+    for c in measures:
+        if c in ("stores", "discounts"):
+            cols.append(F.when(real, F.col(c)).alias(c))
+        else:
+            z = zero.get(c, F.lit(0).cast(daily.schema[c].dataType))
+            cols.append(F.when(real, F.col(c)).otherwise(z).alias(c))
+    return x.select(
+        "brand", F.col("_day").alias("posted_date"), *cols,
+        (F.date_diff("_day", "_first") + 1).alias("rn"),
+        (F.date_diff("_last", "_first") + 1).alias("n"))
 
 
 def add_calendar(panel: DataFrame, date_col: str = "posted_date", weekend_days=WEEKEND_DAYS) -> DataFrame:
