@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dealcast.functions.stats import safe_corr
 from dealcast.operators.holidays import FEDERAL_RULES, NORMAL, PARENT_RULES
 from dealcast.operators.windows import lag_columns, rolling_columns
 
-LAG_FEATURES = ["t_1", "t_7", "t_14", "t_30", "t_365"]
+LAGS_ = (1, 7, 14, 30, 365)
+LAG_FEATURES = [f"t_{k}" for k in LAGS_]
 ROLL_FEATURES = [f"{s}_{k}" for s in ("mean", "max", "sum") for k in (1, 7, 14, 30)]
 CAL_FEATURES = ["year", "month", "day", "weekend_flg"]
 EVENT_FEATURES = ["event_1day", "event_7day", "event_14day", "event_month"]
@@ -89,10 +91,11 @@ def f_regression(df: DataFrame, feats: list[str], y: str, by: list[str] | None =
                  digits: int | None = None) -> DataFrame:
     """Univariate F score per feature (X4): r^2 / (1 - r^2) * (n - 2). One aggregation."""
     by = by or []
-    aggs = [F.corr(F.col(f).cast("double"), F.col(y).cast("double")).alias(f) for f in feats]
+    aggs = [safe_corr(f, y).alias(f) for f in feats]
     wide = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), *aggs)
     long = _unpivot_aggs(wide.withColumnRenamed("_n", "n_rows"), by + ["n_rows"], feats, "r")
-    f = F.col("r") * F.col("r") / (1 - F.col("r") * F.col("r")) * (F.col("n_rows") - 2)
+    r2 = F.col("r") * F.col("r")
+    f = F.when(1 - r2 > 0, r2 / (1 - r2) * (F.col("n_rows") - 2))
     fv = F.round(f, digits) if digits is not None else f
     return long.select(*by, "feature", fv.alias("f_score"))
 
@@ -101,22 +104,26 @@ def f_classif(df: DataFrame, feats: list[str], label: str, by: list[str] | None
               digits: int | None = None) -> DataFrame:
     """One-way ANOVA F per feature for a class label (X5) from per-class moments.
 
-    between = sum_c n_c (mean_c - mean)^2 / (k - 1); within = sum_c SS_c / (n - k).
+    Per class: count, mean and population variance (numerically stable running
+    moments). between = sum_c n_c (mean_c - mean)^2 / (k - 1);
+    within = sum_c n_c var_c / (n - k). Null when within is 0.
     """
     by = by or []
     x = {f: F.col(f).cast("double") for f in feats}
     per = df.groupBy(*by, label).agg(
         F.count(F.lit(1)).alias("nc"),
-        *[F.sum(x[f]).alias(f"s__{f}") for f in feats],
-        *[F.sum(x[f] * x[f]).alias(f"q__{f}") for f in feats])
-    stack = ", ".join(f"'{f}', `s__{f}`, `q__{f}`" for f in feats)
-    long = per.selectExpr(*by, label, "nc", f"stack({len(feats)}, {stack}) AS (feature, s, q)")
+        *[F.avg(x[f]).alias(f"m__{f}") for f in feats],
+        *[F.var_pop(x[f]).alias(f"v__{f}") for f in feats])
+    stack = ", ".join(f"'{f}', `m__{f}`, `v__{f}`" for f in feats)
+    long = per.selectExpr(*by, label, "nc", f"stack({len(feats)}, {stack}) AS (feature, m, v)")
     g = long.groupBy(*by, "feature").agg(
-        F.sum("nc").alias("n"), F.count(F.lit(1)).alias("k"), F.sum("s").alias("s"), F.sum("q").alias("q"),
-        F.sum(F.col("s") * F.col("s") / F.col("nc")).alias("ss_means"))
-    ss_between = F.col("ss_means") - F.col("s") * F.col("s") / F.col("n")
-    ss_within = F.col("q") - F.col("ss_means")
-    f = F.try_divide(ss_between / (F.col("k") - 1), ss_within / (F.col("n") - F.col("k")))
+        F.sum("nc").alias("n"), F.count(F.lit(1)).alias("k"),
+        (F.sum(F.col("nc") * F.col("m")) / F.sum("nc")).alias("grand"),
+        F.sum(F.col("nc") * F.col("v")).alias("ssw"),
+        F.collect_list(F.struct("nc", "m")).alias("cls"))
+    ssb = F.aggregate("cls", F.lit(0.0), lambda acc, c: acc + c["nc"] * (c["m"] - F.col("grand")) * (c["m"] - F.col("grand")))
+    f = F.when((F.col("ssw") > 0) & (F.col("k") > 1),
+               (ssb / (F.col("k") - 1)) / (F.col("ssw") / (F.col("n") - F.col("k"))))
     fv = F.round(f, digits) if digits is not None else f
     return g.select(*by, "feature", fv.alias("f_score"))
 
@@ -133,7 +140,12 @@ def mutual_info(df: DataFrame, feats: list[str], y: str, bins: int = 10, by: lis
     x = {f: F.col(f).cast("double") for f in feats}
     rng = df.groupBy(*by).agg(*[F.min(x[f]).alias(f"lo__{f}") for f in feats],
                               *[F.max(x[f]).alias(f"hi__{f}") for f in feats])
-    j = df.join(rng, by) if by else df.crossJoin(rng)  # one-row ranges when ungrouped
+    # one range row per group (a single row when ungrouped): an equi join on the
+    # group key, or on a constant key, broadcast by AQE as it is one row per group
+    key = by or ["_all"]
+    if not by:
+        df, rng = df.withColumn("_all", F.lit(0)), rng.withColumn("_all", F.lit(0))
+    j = df.join(rng, key)
     def b(f):
         lo, hi = F.col(f"lo__{f}"), F.col(f"hi__{f}")
         return F.when(hi == lo, 0).otherwise(F.least(F.floor((x[f] - lo) / (hi - lo) * bins), F.lit(bins - 1))).cast("int")

@@ -97,7 +97,7 @@ def _curve_base(preds: DataFrame, by: list[str], y: str, score: str) -> DataFram
 
 
 def _with_totals(base: DataFrame) -> DataFrame:
-    return base.withColumnsRenamed({"tot_pos": "P", "tot_neg": "N"})
+    return base.withColumnsRenamed({"tot_pos": "pos_total", "tot_neg": "neg_total"})
 
 
 def roc_points(preds: DataFrame, by: list[str], y: str = "y", score: str = "score",
@@ -107,8 +107,8 @@ def roc_points(preds: DataFrame, by: list[str], y: str = "y", score: str = "scor
     areas are unaffected."""
     j = _with_totals(_curve_base(preds, by, y, score))
     return j.select(*by, F.col("score").alias("threshold"),
-                    _r(F.try_divide(F.col("cum_neg"), F.col("N")), digits).alias("fpr"),
-                    _r(F.try_divide(F.col("cum_pos"), F.col("P")), digits).alias("tpr"))
+                    _r(F.try_divide(F.col("cum_neg"), F.col("neg_total")), digits).alias("fpr"),
+                    _r(F.try_divide(F.col("cum_pos"), F.col("pos_total")), digits).alias("tpr"))
 
 
 def pr_points(preds: DataFrame, by: list[str], y: str = "y", score: str = "score",
@@ -117,7 +117,7 @@ def pr_points(preds: DataFrame, by: list[str], y: str = "y", score: str = "score
     j = _with_totals(_curve_base(preds, by, y, score))
     return j.select(*by, F.col("score").alias("threshold"),
                     _r(F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg")), digits).alias("precision"),
-                    _r(F.try_divide(F.col("cum_pos"), F.col("P")), digits).alias("recall"))
+                    _r(F.try_divide(F.col("cum_pos"), F.col("pos_total")), digits).alias("recall"))
 
 
 def auroc(preds: DataFrame, by: list[str], y: str = "y", score: str = "score",
@@ -127,16 +127,16 @@ def auroc(preds: DataFrame, by: list[str], y: str = "y", score: str = "score",
     Sum over distinct scores of pos_s * (negatives below s + neg_s / 2), over P * N.
     """
     j = _with_totals(_curve_base(preds, by, y, score))
-    term = F.col("pos") * (F.col("N") - F.col("cum_neg") + F.col("neg") / 2.0)
-    agg = j.groupBy(*by).agg(F.sum(term).alias("u"), F.first("P").alias("P"), F.first("N").alias("N"))
-    return agg.select(*by, _r(F.try_divide(F.col("u"), F.col("P") * F.col("N")), digits).alias("auroc"))
+    term = F.col("pos") * (F.col("neg_total") - F.col("cum_neg") + F.col("neg") / 2.0)
+    agg = j.groupBy(*by).agg(F.sum(term).alias("u"), F.first("pos_total").alias("pos_total"), F.first("neg_total").alias("neg_total"))
+    return agg.select(*by, _r(F.try_divide(F.col("u"), F.col("pos_total") * F.col("neg_total")), digits).alias("auroc"))
 
 
 def average_precision(preds: DataFrame, by: list[str], y: str = "y", score: str = "score",
                       digits: int | None = None) -> DataFrame:
     """Average precision as a step sum (E8): sum of (recall step) x precision at each threshold."""
     j = _with_totals(_curve_base(preds, by, y, score))
-    term = (F.col("pos") / F.col("P")) * (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg")))
+    term = (F.col("pos") / F.col("pos_total")) * (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg")))
     return j.groupBy(*by).agg(_r(F.sum(term), digits).alias("average_precision"))
 
 
@@ -152,8 +152,8 @@ def roc_auc_trapezoid(preds: DataFrame, by: list[str], y: str = "y", score: str
                       digits: int | None = None) -> DataFrame:
     """E11 applied to the ROC curve (E9) from (0, 0): equals ``auroc``."""
     j = _with_totals(_curve_base(preds, by, y, score)).select(
-        *by, (F.col("cum_neg") / F.col("N")).alias("fpr"), (F.col("cum_pos") / F.col("P")).alias("tpr"),
-        (F.col("neg") / F.col("N")).alias("dfpr"), (F.col("pos") / F.col("P")).alias("dtpr"))
+        *by, (F.col("cum_neg") / F.col("neg_total")).alias("fpr"), (F.col("cum_pos") / F.col("pos_total")).alias("tpr"),
+        (F.col("neg") / F.col("neg_total")).alias("dfpr"), (F.col("pos") / F.col("pos_total")).alias("dtpr"))
     return trapezoid_auc_from_steps(j, by, "fpr", "tpr", "dfpr", "dtpr", digits).withColumnRenamed("area", "roc_auc")
 
 
@@ -214,3 +214,28 @@ def compare_models(scores: DataFrame, by: list[str] | None = None, metric_col: s
     by = by or ["model"]
     g = scores.groupBy(*by)
     return (g.pivot(metric_col, metrics) if metrics else g.pivot(metric_col)).agg(F.first(value))
+
+
+def score_summary(preds: DataFrame, by: list[str], y: str = "y", score: str = "score",
+                  threshold: float = 0.5, digits: int | None = None) -> DataFrame:
+    """AUROC, average precision, accuracy and F1 at ``threshold`` in one pass.
+
+    Everything derives from the distinct-score table with running counts, so
+    one distributed prefix sum serves all four metrics.
+    """
+    j = _with_totals(_curve_base(preds, by, y, score))
+    above = F.col("score") >= threshold
+    g = j.groupBy(*by).agg(
+        F.sum(F.col("pos") + F.col("neg")).alias("n_scored"),
+        F.sum(F.col("pos") * (F.col("neg_total") - F.col("cum_neg") + F.col("neg") / 2.0)).alias("u"),
+        F.sum((F.col("pos") / F.col("pos_total")) * (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg")))).alias("ap"),
+        F.sum(F.when(above, F.col("pos")).otherwise(0)).alias("tp"),
+        F.sum(F.when(above, F.col("neg")).otherwise(0)).alias("fp"),
+        F.first("pos_total").alias("pos_total"), F.first("neg_total").alias("neg_total"))
+    acc = (F.col("tp") + F.col("neg_total") - F.col("fp")) / F.col("n_scored")
+    f1d = 2 * F.col("tp") + F.col("fp") + (F.col("pos_total") - F.col("tp"))
+    f1 = F.when(f1d > 0, 2 * F.col("tp") / f1d).otherwise(F.lit(0.0))
+    return g.select(*by, F.col("n_scored").cast("bigint").alias("n"),
+                    _r(F.try_divide(F.col("u"), F.col("pos_total") * F.col("neg_total")), digits).alias("auroc"),
+                    _r(F.col("ap"), digits).alias("average_precision"),
+                    _r(acc, digits).alias("accuracy"), _r(f1, digits).alias("f1"))

@@ -54,3 +54,40 @@ def naive_forecasts(panel: DataFrame, y: str = "discount_off", models=MODELS, sk
 def walk_forward(panel: DataFrame, models=MODELS, y: str = "discount_off") -> DataFrame:
     """Driver over the chosen models (N4): one pass, long output."""
     return naive_forecasts(panel, y, models)
+
+
+def naive_gwp_scores(panel: DataFrame, skip: int = 6, tail: int = 365) -> DataFrame:
+    """Naive gift-day classifiers on the test window, long form (brand, model, posted_date, y, score, pred).
+
+    * ``gwp_week_share``: share of gift days in the 7 days before (score in k/7, many ties)
+    * ``gwp_week_oya``: gift flag of the same day 52 weeks earlier (0/1 score)
+
+    ``pred`` = score >= 0.5. These are the baselines the classification metrics
+    are exercised with; they need only the panel, so every metric is exact.
+    """
+    w = series_window()
+    g = F.col("gwp").cast("double")
+    p = split_tail(panel, skip, tail)
+    p = p.select("brand", "posted_date", "rn", "split", F.col("gwp").cast("int").alias("y"),
+                 F.when(F.col("rn") >= 8, F.avg(g).over(w.rowsBetween(-7, -1))).alias("_share"),
+                 F.when(F.col("rn") >= 365, F.lag(g, 364).over(w)).alias("_oya"))
+    t = p.where((F.col("split") == "test") & F.col("_share").isNotNull() & F.col("_oya").isNotNull())
+    out = t.selectExpr("brand", "posted_date", "y",
+                       "stack(2, 'gwp_week_share', _share, 'gwp_week_oya', _oya) AS (model, score)")
+    return out.select("brand", "model", "posted_date", "y", "score",
+                      (F.col("score") >= 0.5).cast("int").alias("pred"))
+
+
+def advice_input(panel: DataFrame, skip: int = 6, tail: int = 365) -> DataFrame:
+    """Horizon predictions for the advice queries: (brand, day_ahead, pred_discount, pred_gwp).
+
+    The week-one-year-ago forecasts of discount and gift flag over the test window
+    (day_ahead 0..363), i.e. what each brand did 52 weeks earlier.
+    """
+    w = series_window()
+    p = add_week_slots(split_tail(panel, skip, tail), tail)
+    ok = F.col("rn") - 364 >= skip + 1
+    p = p.select("brand", "split", (F.col("rn") - (F.col("n") - 364)).cast("int").alias("day_ahead"),
+                 F.when(ok, F.lag("discount_off", 364).over(w)).alias("pred_discount"),
+                 F.when(ok, F.lag("gwp", 364).over(w)).alias("pred_gwp"))
+    return p.where((F.col("split") == "test") & F.col("pred_discount").isNotNull()).drop("split")

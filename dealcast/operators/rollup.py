@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from dealcast.functions.text import ad_flag, discount_off, gwp_flag, parse_posted_date
 from dealcast.functions.calendar import WEEKEND_DAYS, weekday_name, weekend_flag
+from dealcast.functions.stats import safe_corr
 
 COUNTERS = ["comments_count", "bookmarks_count", "shares_count"]
 
@@ -167,11 +168,12 @@ def corr_matrix(df: DataFrame, cols: list[str], by: list[str] | None = None) ->
     """Pearson r for every column pair in ONE aggregation, long output.
 
     Booleans are cast to 0/1. Constant columns give null (no variance), like NaN in pandas.
+    Each pair is a handful of running moments, all in one partial aggregation.
     """
     num = [F.col(c).cast("double").alias(c) for c in cols]
     base = df.select(*(by or []), *num)
     pairs = [(a, b) for a in cols for b in cols]
-    aggs = [F.corr(a, b).alias(f"r__{i}") for i, (a, b) in enumerate(pairs)]
+    aggs = [safe_corr(a, b).alias(f"r__{i}") for i, (a, b) in enumerate(pairs)]
     wide = base.groupBy(*(by or [])).agg(*aggs)
     stack = ", ".join(f"'{a}', '{b}', `r__{i}`" for i, (a, b) in enumerate(pairs))
     return wide.selectExpr(*(by or []), f"stack({len(pairs)}, {stack}) AS (col_a, col_b, r)")

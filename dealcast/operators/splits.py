@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dealcast.functions.draws import uniform_draw
@@ -55,7 +55,7 @@ def stratified_folds(df: DataFrame, label: str, key_cols: list[str], k: int = 10
     return df.withColumn("fold", F.pmod(F.row_number().over(w) - 1, F.lit(k)).cast("int"))
 
 
-def walk_forward_folds(df: DataFrame, n_splits: int = 20, test_size: int | None = None, gap: int = 0,
+def walk_forward_folds(df: DataFrame, n_splits=20, test_size: int | None = None, gap: int = 0,
                        pos_col: str = "pos", n_col: str = "n_rows") -> DataFrame:
     """Expanding-window walk-forward folds (S4, S5) as (fold, role) rows.
 
@@ -63,24 +63,26 @@ def walk_forward_folds(df: DataFrame, n_splits: int = 20, test_size: int | None
     [n - (n_splits - i) * ts, n - (n_splits - i - 1) * ts) and trains on every
     earlier position up to ``gap`` before the test start. Each row is exploded to
     the folds it takes part in (at most n_splits copies); no join is needed.
-    ``pos_col`` is 0-based within the group, ``n_col`` the group size.
+    ``pos_col`` is 0-based within the group, ``n_col`` the group size;
+    ``n_splits`` may be a column (e.g. 20 for long series, 5 for short ones).
     """
+    k = n_splits if isinstance(n_splits, Column) else F.lit(n_splits)
     n, p = F.col(n_col), F.col(pos_col)
-    ts = F.lit(test_size) if test_size else F.floor(n / (n_splits + 1))
-    first_test = n - ts * n_splits
-    # fold whose test block holds this row (or -1 when the row is before all test blocks)
+    ts = F.lit(test_size) if test_size else F.floor(n / (k + 1))
+    first_test = n - ts * k
     own = F.when(p >= first_test, F.floor((p - first_test) / ts)).otherwise(F.lit(-1))
-    # first fold for which this row is train: test_start(i) - gap > p
-    # test_start(i) = first_test + i*ts  ->  i > (p + gap - first_test) / ts
+    # first fold i where p is train: first_test + i * ts - gap > p
     first_train = F.greatest(F.lit(0), F.floor((p + gap - first_test) / ts) + 1)
-    with_f = df.withColumns({
-        "_own": own.cast("int"), "_ft": first_train.cast("int"),
-    })
-    train = with_f.where(F.col("_ft") <= n_splits - 1).select(
-        "*", F.explode(F.sequence(F.col("_ft"), F.lit(n_splits - 1))).alias("fold")).withColumn("role", F.lit("train"))
-    test = with_f.where((F.col("_own") >= 0) & (F.col("_own") < n_splits)).withColumns(
-        {"fold": F.col("_own"), "role": F.lit("test")})
-    return train.unionByName(test).drop("_own", "_ft")
+    ok = ts > 0
+    train_folds = F.when(ok & (first_train <= k - 1), F.transform(
+        F.sequence(first_train.cast("int"), (k - 1).cast("int")),
+        lambda f: F.struct(f.alias("fold"), F.lit("train").alias("role"))))
+    test_fold = F.when(ok & (own >= 0) & (own < k), F.array(
+        F.struct(own.cast("int").alias("fold"), F.lit("test").alias("role"))))
+    empty = F.array().cast("array<struct<fold:int,role:string>>")
+    roles = F.concat(F.coalesce(train_folds, empty), F.coalesce(test_fold, empty))
+    out = df.select("*", F.explode(roles).alias("_fr"))
+    return out.select(*df.columns, "_fr.fold", "_fr.role")
 
 
 def time_series_split(df: DataFrame, n_splits: int = 10, pos_col: str = "pos", n_col: str = "n_rows") -> DataFrame:

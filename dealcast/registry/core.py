@@ -7,10 +7,7 @@ places on both sides, as summation order differs between engines.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F  # noqa: F401
 
 from dealcast import sqltwins as T
 from dealcast.operators import features as X
@@ -20,18 +17,7 @@ from dealcast.operators import rollup as A
 from dealcast.plans.clean import build_panel
 from dealcast.sources.posts import deals_view
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-D = 6  # rounding digits for computed doubles
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            SQL[name] = sql
-        return fn
-    return deco
+from dealcast.registry.base import D, register
 
 
 # ---------------------------------------------------------------- shared inputs
