@@ -23,13 +23,33 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Fast paths for the two default formats: a value with the exact shape of a
+# format is rewritten to ISO text and cast (no formatter, no exception per
+# failed parse); anything else falls back to trying every format in order.
+_FAST = {
+    "M/d/yyyy": (r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})$", "$3-$1-$2"),
+    "yyyy-MM-dd": (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$", None),
+}
+
+
 def parse_posted_date(c, formats: list[str] = DATE_FORMATS) -> Column:
     """Lenient date parse: the first format that parses wins, failure -> null (F1).
 
-    ``try_to_date`` keeps ANSI mode from raising on junk such as ``n/a``.
+    ``try_*`` functions keep ANSI mode from raising on junk such as ``n/a``.
+    Shapes of different formats never overlap, so the fast paths keep the
+    first-format-wins rule.
     """
     c = _c(c)
-    return F.coalesce(*[F.try_to_date(c, f) for f in formats])
+    generic = F.coalesce(*[F.try_to_date(c, f) for f in formats])
+    out = None
+    for f in formats:
+        if f not in _FAST:
+            continue
+        shape, iso = _FAST[f]
+        val = (F.regexp_replace(c, shape, iso) if iso else c).try_cast("date")
+        cond = c.rlike(shape)
+        out = F.when(cond, val) if out is None else out.when(cond, val)
+    return generic if out is None else out.otherwise(generic)
 
 
 def contains_any(c, words: list[str], ignore_case: bool = False) -> Column:
@@ -48,6 +68,7 @@ def ad_flag(c, words: list[str] = AD_WORDS) -> Column:
 
 def pct_off(c) -> Column:
     """First ``<digits>%`` as a fraction; no match -> null (F3). "Up to 20%" counts as 0.20."""
+    # nullif, not try_cast: a failing string->double cast costs an exception per row
     digits = F.nullif(F.regexp_extract(_c(c), PERCENT_PATTERN, 1), F.lit(""))
     return digits.cast("double") / 100.0
 

@@ -40,7 +40,7 @@ def dedup_posts(posts: DataFrame) -> DataFrame:
     return posts.dropDuplicates()
 
 
-def daily_rollup(parsed: DataFrame, keep_lists: bool = False) -> DataFrame:
+def daily_rollup(parsed: DataFrame, keep_lists: bool = False, distinct_counts: bool = True) -> DataFrame:
     """One row per (brand, day); posts without a date are dropped (A1).
 
     Partial aggregation runs map-side, so a brand holding a third of all posts is
@@ -48,12 +48,14 @@ def daily_rollup(parsed: DataFrame, keep_lists: bool = False) -> DataFrame:
     are planned by Spark as an extra (brand, day, value) aggregation, which spreads
     a hot day over many tasks. ``keep_lists`` adds the sorted distinct store and
     text arrays of the reference; their size grows with the number of distinct
-    values per day, so they are off by default.
+    values per day, so they are off by default. ``distinct_counts=False`` drops the
+    exact distinct store/text counts (they cost an Expand and a second
+    aggregation level and nothing downstream of the panel uses them).
     """
-    aggs = [
-        F.count(F.lit(1)).alias("n_posts"),
-        F.count_distinct("store").alias("n_stores"),
-        F.count_distinct("discount").alias("n_texts"),
+    aggs = [F.count(F.lit(1)).alias("n_posts")]
+    if distinct_counts:
+        aggs += [F.count_distinct("store").alias("n_stores"), F.count_distinct("discount").alias("n_texts")]
+    aggs += [
         *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in COUNTERS],
         F.max("discount_off").alias("discount_off"),
         F.bool_or("gwp").alias("gwp"),

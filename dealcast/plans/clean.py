@@ -9,14 +9,15 @@ from dealcast.operators.rollup import add_calendar, daily_rollup, fill_calendar,
 
 
 def build_panel(posts: DataFrame, holidays: bool = True, keep_lists: bool = False,
-                drop_ads: bool = False, dedup: bool = False, ignore_case_gwp: bool = False) -> DataFrame:
+                drop_ads: bool = False, dedup: bool = False, ignore_case_gwp: bool = False,
+                distinct_counts: bool = False) -> DataFrame:
     """Parse per post, roll up per day, fill the calendar, add calendar and holiday columns.
 
     Shuffles: one for the day roll-up (after map-side partial aggregation), one
     for the spine join. Everything after is narrow or keyed by date (holidays).
     """
     parsed = parse_posts(posts, ignore_case_gwp=ignore_case_gwp, drop_ads=drop_ads, dedup=dedup)
-    panel = add_calendar(fill_calendar(daily_rollup(parsed, keep_lists=keep_lists)))
+    panel = add_calendar(fill_calendar(daily_rollup(parsed, keep_lists=keep_lists, distinct_counts=distinct_counts)))
     if holidays:
         panel = add_holiday_windows(panel)
     return panel

@@ -30,7 +30,7 @@ def parsed(spark, sf):
 
 
 def filled(spark, sf):
-    return A.fill_calendar(A.daily_rollup(parsed(spark, sf)))
+    return A.fill_calendar(A.daily_rollup(parsed(spark, sf), distinct_counts=False))
 
 
 def panel(spark, sf):
@@ -52,7 +52,7 @@ def q_parse_posts(spark, sf):
     return parsed(spark, sf)
 
 
-@register("a1_daily_rollup", T.with_ctes(T.POSTS, T.PARSED, T.DAILY) + "SELECT * FROM daily")
+@register("a1_daily_rollup", T.with_ctes(T.POSTS, T.PARSED, T.DAILY_FULL) + "SELECT * FROM daily")
 def q_daily_rollup(spark, sf):
     return A.daily_rollup(parsed(spark, sf))
 

@@ -12,7 +12,7 @@ from dealcast.operators import rollup as A
 from dealcast.operators import splits as S
 from dealcast.operators.holidays import holidays_for_years
 from dealcast.registry.base import D, register
-from dealcast.registry.core import panel, parsed, posts
+from dealcast.registry.core import filled, panel, parsed, posts
 from dealcast.sources import html as H
 from dealcast.sources.tables import table
 
@@ -114,14 +114,14 @@ def q_bounds(spark, sf):
 SELECT brand, CAST(month(posted_date) AS INT) AS month, count(*) AS n_days
 FROM filled WHERE gwp OR discount_off <> 0 GROUP BY ALL""")
 def q_month(spark, sf):
-    return A.seasonality(A.fill_calendar(A.daily_rollup(parsed(spark, sf))), "month")
+    return A.seasonality(filled(spark, sf), "month")
 
 
 @register("a5_seasonality_weekday", T.BASE_FILLED + """
 SELECT brand, CAST(isodow(posted_date) - 1 AS INT) AS weekday_no, dayname(posted_date) AS weekday, count(*) AS n_days
 FROM filled WHERE gwp OR discount_off <> 0 GROUP BY ALL""")
 def q_weekday(spark, sf):
-    return A.seasonality(A.fill_calendar(A.daily_rollup(parsed(spark, sf))), "weekday")
+    return A.seasonality(filled(spark, sf), "weekday")
 
 
 @register("a6_year_over_year", T.BASE_FILLED + """
@@ -130,7 +130,7 @@ SELECT brand, CAST(year(posted_date) AS INT) AS year, posted_date,
   discount_off
 FROM filled""")
 def q_yoy(spark, sf):
-    return A.year_over_year(A.fill_calendar(A.daily_rollup(parsed(spark, sf))))
+    return A.year_over_year(filled(spark, sf))
 
 
 CORR_COLS = ["discount_off", "gwp", "n_posts", "comments_count", "bookmarks_count", "shares_count"]
@@ -147,7 +147,7 @@ def _corr_sql():
 
 @register("a7_corr_matrix", _corr_sql())
 def q_corr(spark, sf):
-    c = A.corr_matrix(A.fill_calendar(A.daily_rollup(parsed(spark, sf))), CORR_COLS, ["brand"])
+    c = A.corr_matrix(filled(spark, sf), CORR_COLS, ["brand"])
     return c.withColumn("r", F.round("r", D))
 
 
@@ -304,7 +304,7 @@ SELECT brand, split, count(*) AS n_days, min(posted_date) AS first_date, max(pos
   SELECT *, CASE WHEN rn = n THEN 'last' WHEN rn >= n - 364 THEN 'test' WHEN rn >= 7 THEN 'train' ELSE 'skip' END AS split
   FROM filled) GROUP BY ALL""")
 def q_split_tail(spark, sf):
-    p = S.split_tail(A.fill_calendar(A.daily_rollup(parsed(spark, sf))))
+    p = S.split_tail(filled(spark, sf))
     return p.groupBy("brand", "split").agg(F.count(F.lit(1)).alias("n_days"), F.min("posted_date").alias("first_date"),
                                            F.max("posted_date").alias("last_date"))
 
@@ -344,7 +344,7 @@ FROM rl WHERE role IS NOT NULL GROUP BY ALL"""
 
 
 def _train_rows(spark, sf):
-    p = S.split_tail(A.fill_calendar(A.daily_rollup(parsed(spark, sf)))).where(F.col("split") == "train")
+    p = S.split_tail(filled(spark, sf)).where(F.col("split") == "train")
     return p.select("brand", (F.col("rn") - 7).alias("pos"), (F.col("n") - 371).alias("n_rows"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dealcast.sources.tables import table
+from dealcast.sources.tables import spread, table
 
 # One row per scraped post. Dates stay text here: two formats occur and are
 # parsed leniently downstream (functions.text.parse_posted_date).
@@ -62,8 +62,8 @@ def deals_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     runtime size is under the broadcast threshold, else it sort-merges, and it
     splits skewed partkeys. Only the 5 lineitem columns used are scanned.
     """
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_shipdate")
+    li = spread(table(spark, sf_dir, "lineitem").select(
+        "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_shipdate"))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     j = (li.join(part, li.l_partkey == part.p_partkey)

@@ -53,7 +53,7 @@ parsed AS (
     {_contains_any('discount', AD_WORDS)} AS is_ad
   FROM posts)"""
 
-DAILY = """
+DAILY_FULL = """
 daily AS (
   SELECT brand, posted_date, count(*) AS n_posts,
     count(DISTINCT store) AS n_stores, count(DISTINCT discount) AS n_texts,
@@ -64,6 +64,16 @@ daily AS (
   FROM parsed WHERE posted_date IS NOT NULL
   GROUP BY brand, posted_date)"""
 
+DAILY = """
+daily AS (
+  SELECT brand, posted_date, count(*) AS n_posts,
+    CAST(coalesce(sum(comments_count), 0) AS BIGINT) AS comments_count,
+    CAST(coalesce(sum(bookmarks_count), 0) AS BIGINT) AS bookmarks_count,
+    CAST(coalesce(sum(shares_count), 0) AS BIGINT) AS shares_count,
+    max(discount_off) AS discount_off, bool_or(gwp) AS gwp, bool_or(is_ad) AS has_ad
+  FROM parsed WHERE posted_date IS NOT NULL
+  GROUP BY brand, posted_date)"""
+
 FILLED = """
 bounds AS (
   SELECT brand, min(posted_date) AS first_date, max(posted_date) AS last_date FROM daily GROUP BY brand),
@@ -72,7 +82,7 @@ spine AS (
   FROM bounds, LATERAL unnest(generate_series(CAST(first_date AS TIMESTAMP), CAST(last_date AS TIMESTAMP), INTERVAL 1 DAY)) AS t(d)),
 filled AS (
   SELECT s.brand, s.posted_date,
-    coalesce(d.n_posts, 0) AS n_posts, coalesce(d.n_stores, 0) AS n_stores, coalesce(d.n_texts, 0) AS n_texts,
+    coalesce(d.n_posts, 0) AS n_posts,
     coalesce(d.comments_count, 0) AS comments_count, coalesce(d.bookmarks_count, 0) AS bookmarks_count,
     coalesce(d.shares_count, 0) AS shares_count, coalesce(d.discount_off, 0.0) AS discount_off,
     coalesce(d.gwp, false) AS gwp, coalesce(d.has_ad, false) AS has_ad,
