@@ -55,14 +55,18 @@ def forecast_scores(preds: DataFrame, by: list[str] | None = None, digits: int |
 
 
 def format_scores(scores: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """One summary line per model: ``name: [overall] s0, s1, ...``."""
+    """One summary line per model: ``name: [overall] s0, s1, ...``.
+
+    Runs on the score table (8 rows per model); numbers use Python's rounding.
+    """
+    from dealcast.functions.format import fixed
     by = by or ["brand", "model"]
-    per = scores.where(F.col("slot").isNotNull()).groupBy(*by).agg(
-        F.sort_array(F.collect_list(F.struct("slot", "rmse"))).alias("s"))
-    tot = scores.where(F.col("slot").isNull()).select(*by, F.col("rmse").alias("overall"))
+    sl = scores.where(F.col("slot").isNotNull()).select(*by, "slot", fixed("rmse", 1).alias("txt"))
+    per = sl.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("slot", "txt"))).alias("s"))
+    tot = scores.where(F.col("slot").isNull()).select(*by, fixed("rmse", 3).alias("overall"))
     j = per.join(tot, by)
-    slots = F.array_join(F.transform("s", lambda x: F.format_string("%.1f", x["rmse"])), ", ")
-    return j.select(*by, F.format_string("%s: [%.3f] %s", F.col(by[-1]), F.col("overall"), slots).alias("line"))
+    slots = F.array_join(F.transform("s", lambda x: x["txt"]), ", ")
+    return j.select(*by, F.concat(F.col(by[-1]), F.lit(": ["), F.col("overall"), F.lit("] "), slots).alias("line"))
 
 
 def classification_metrics(preds: DataFrame, by: list[str], y: str = "y", pred: str = "pred",

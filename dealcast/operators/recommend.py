@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dealcast.functions.format import fixed
+
 # ---------------------------------------------------------------------------
 # The advice texts of the reference app (F13), with its spelling.
 MSG_NONE_TODAY = "No discount today :("
@@ -63,11 +65,14 @@ def recommend(preds: DataFrame, wait_days: int | None = None) -> DataFrame:
               .when(~F.col("discount_today") & F.col("gwp_today"), F.lit(MSG_GWP_TODAY))
               .when(F.col("discount_today") & F.col("gwp_today"), F.lit(MSG_BOTH_TODAY))
               .otherwise(F.lit(MSG_PCT_TODAY)))
+    # numbers rendered with Python's rounding (functions.format.fixed), the
+    # fixed message texts filled with format_string's %s
+    best_pct, next_pct = fixed(pct("best_discount"), 0), fixed(pct("next_discount"), 0)
     with_record = F.concat_ws(
         " ", today,
         F.format_string(MSG_BEST_DAY, F.col("best_day").cast("string")),
-        F.format_string(MSG_BEST_PCT, pct("best_discount")),
-        F.format_string(MSG_NEXT, F.col("next_discount_day").cast("string"), pct("next_discount")))
+        F.format_string(MSG_BEST_PCT.replace("%.0f", "%s"), best_pct),
+        F.format_string(MSG_NEXT.replace("%.0f", "%s"), F.col("next_discount_day").cast("string"), next_pct))
     gwp_next = F.when(F.col("next_gwp_day").isNotNull(),
                       F.format_string(MSG_NEXT_GWP, F.col("next_gwp_day").cast("string")))
     without = F.concat_ws(" ", F.lit(MSG_NO_RECORD), F.lit(MSG_GWP_ONLY), gwp_next)

@@ -117,7 +117,7 @@ def q_report(spark, sf):
 SELECT brand, model, CAST(sum(pos + neg) AS BIGINT) AS n,
   round(sum(pos * (N - cum_neg + neg / 2.0)) / (max(P) * max(N)), 6) AS auroc,
   round(sum((pos / P) * (cum_pos / (cum_pos + cum_neg))), 6) AS average_precision,
-  round((sum(pos) FILTER (WHERE score >= 0.5) + max(N) - coalesce(sum(neg) FILTER (WHERE score >= 0.5), 0)) / sum(pos + neg), 6) AS accuracy,
+  round((coalesce(sum(pos) FILTER (WHERE score >= 0.5), 0) + max(N) - coalesce(sum(neg) FILTER (WHERE score >= 0.5), 0)) / sum(pos + neg), 6) AS accuracy,
   round(CASE WHEN 2 * coalesce(sum(pos) FILTER (WHERE score >= 0.5), 0) + coalesce(sum(neg) FILTER (WHERE score >= 0.5), 0)
                   + (max(P) - coalesce(sum(pos) FILTER (WHERE score >= 0.5), 0)) > 0
         THEN 2 * coalesce(sum(pos) FILTER (WHERE score >= 0.5), 0) /

@@ -158,7 +158,7 @@ def q_gain(spark, sf):
 @register("m21_spot_check")
 def q_spot(spark, sf):
     tr, _, _ = cls_frames(spark, sf)
-    folds = S.stratified_folds(tr, "label", ["brand", "posted_date"], k=10, seed=2)
+    folds = S.stratified_folds(tr, "label", ["posted_date"], k=10, seed=2, by=["brand"])
     models = {k: M.CLASSIFIERS[k] for k in ("logit", "naive_bayes", "decision_tree", "random_forest")}
     scores = M.spot_check(folds, models, k=10)
     return E.cv_summary(scores, ["model"], digits=D)
@@ -167,7 +167,7 @@ def q_spot(spark, sf):
 @register("m22_m23_random_search")
 def q_search(spark, sf):
     tr, te, _ = cls_frames(spark, sf)
-    folds = S.stratified_folds(tr, "label", ["brand", "posted_date"], k=3, seed=2)
+    folds = S.stratified_folds(tr, "label", ["posted_date"], k=3, seed=2, by=["brand"])
     best, table = M.random_search_classifier(folds, n_iter=4, k=3, seed=42)
     pred = best.transform(te)
     return _cls_scores(pred, "rf_tuned")
