@@ -171,3 +171,15 @@ def select_k_best(scores: DataFrame, k: int, score_col: str = "f_score", by: lis
     by = by or []
     w = Window.partitionBy(*by).orderBy(F.desc_nulls_last(score_col), "feature")
     return scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def scoring_frame(features: DataFrame, feats: list[str], skip: int = 6, tail: int = 365) -> DataFrame:
+    """Tail days to score (J4): positions [n - tail, n - 1) of each brand; deal
+    days keep their features, other days get all-zero features -- what
+    re-indexing the deal-day feature rows onto the tail calendar and filling
+    zeros gives. Every day already has its features, so no join is needed."""
+    rn, n = F.col("rn"), F.col("n")
+    tail_days = features.where((rn >= n - (tail - 1)) & (rn < n))
+    deal = F.col("gwp") | (F.col("discount_off") != 0)
+    return tail_days.select("brand", "posted_date", (rn - (n - (tail - 1))).cast("int").alias("day_ahead"),
+                            *[F.when(deal, F.col(f)).otherwise(F.lit(0)).cast("double").alias(f) for f in feats])

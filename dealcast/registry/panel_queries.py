@@ -364,3 +364,21 @@ def q_walk_forward(spark, sf):
 @register("s5_time_series_split", _wf_sql("10", 10))
 def q_tss(spark, sf):
     return _fold_summary(S.time_series_split(_train_rows(spark, sf), 10))
+
+
+SCORE_FEATS = X.NUMERIC_FEATURES
+
+
+@register("j4_scoring_frame", FEAT_BASE + "SELECT brand, posted_date, CAST(rn - (n - 364) AS INT) AS day_ahead, " + ", ".join(
+    f"CAST(CASE WHEN gwp OR discount_off <> 0 THEN {f} ELSE 0 END AS DOUBLE) AS {f}" if f not in ROUNDED else
+    f"round(CAST(CASE WHEN gwp OR discount_off <> 0 THEN {f} ELSE 0 END AS DOUBLE), 6) AS {f}" for f in SCORE_FEATS)
+    + " FROM feat WHERE rn >= n - 364 AND rn < n")
+def q_scoring(spark, sf):
+    return _rd(X.scoring_frame(features(spark, sf), SCORE_FEATS), [f for f in SCORE_FEATS if f in ROUNDED])
+
+
+@register("f9_date_delta", T.BASE_FILLED + """
+SELECT brand, posted_date, CAST(date_diff('day', min(posted_date) OVER (PARTITION BY brand), posted_date) + 1 AS INT) AS date_delta
+FROM filled""")
+def q_date_delta(spark, sf):
+    return A.add_date_delta(filled(spark, sf).select("brand", "posted_date"))

@@ -56,3 +56,11 @@ def test_posts_csv_and_panel_roundtrip(spark):
     write_panel(panel, os.path.join(d, "panel"))
     got = read_panel(spark, os.path.join(d, "panel"), ["x"], brands=["b"]).collect()
     assert [(r.brand, r.x) for r in got] == [("b", 0.2)]
+
+
+def test_conform_keeps_common_columns(spark):
+    from dealcast.operators.features import conform
+    a = spark.createDataFrame([(1, 2, 3)], "x int, y int, z int")
+    b = spark.createDataFrame([(4, 5)], "z int, x int")
+    a2, b2 = conform(a, b)
+    assert a2.columns == ["x", "z"] and b2.columns == ["x", "z"]
