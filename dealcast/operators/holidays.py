@@ -100,18 +100,32 @@ def nearest_holiday_by_date(years: DataFrame, max_width: int = 30, observed: boo
             .select("posted_date", F.col("b.holiday_name").alias("near_name"), F.col("b.dist").alias("near_dist")))
 
 
-def add_holiday_windows(panel: DataFrame, widths: dict = EVENT_WIDTHS, observed: bool = False) -> DataFrame:
+# Default calendar range of the nearest-holiday table. The table is built from
+# this parameter, not from the data, so its size is known before any job runs.
+HOLIDAY_YEARS = (1900, 2100)
+# A broadcast side must have a proven bound: at most 366 dates per year.
+MAX_BROADCAST_DATES = 400_000
+
+
+def add_holiday_windows(panel: DataFrame, widths: dict = EVENT_WIDTHS, observed: bool = False,
+                        years: tuple[int, int] = HOLIDAY_YEARS, date_col: str = "posted_date") -> DataFrame:
     """Name of the nearest holiday when it is closer than each width, else 'Normal' (J2).
 
-    Distance is symmetric and strict (< width). The year span is taken from the
-    panel itself (one year either side) without a driver round trip. The nearest
-    table is an equi join on date instead of a range join; it holds at most
-    ~366 rows per year of span, so AQE broadcasts it at run time.
+    Distance is symmetric and strict (< width); ties go to the first holiday in
+    list order. The nearest-holiday table covers ``years`` (plus one year either
+    side). It depends on parameters only: no second pass over the input to find
+    the data's year span, and its row count is bounded by 366 per year, which is
+    checked before it is broadcast; beyond the bound the join is left to the
+    planner. Dates outside the range get 'Normal'.
     """
-    span = panel.agg(F.min(F.year("posted_date")).alias("y0"), F.max(F.year("posted_date")).alias("y1"))
-    years = span.select(F.explode(F.sequence(F.col("y0") - 1, F.col("y1") + 1)).alias("year"))
-    near = nearest_holiday_by_date(years, max(widths.values()), observed)
-    j = panel.join(near, "posted_date", "left")
+    spark = panel.sparkSession
+    y0, y1 = years[0] - 1, years[1] + 1
+    yrs = spark.range(y0, y1 + 1).select(F.col("id").cast("int").alias("year"))
+    near = nearest_holiday_by_date(yrs, max(widths.values()), observed).withColumnRenamed("posted_date", date_col)
+    n_dates_bound = 366 * (y1 - y0 + 1)
+    if n_dates_bound <= MAX_BROADCAST_DATES:
+        near = F.broadcast(near)
+    j = panel.join(near, date_col, "left")
     ev = {name: F.when(F.col("near_dist") < w, F.col("near_name")).otherwise(F.lit(NORMAL))
           for name, w in widths.items()}
     return j.withColumns(ev).drop("near_name", "near_dist")

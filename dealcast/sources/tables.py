@@ -17,10 +17,12 @@ def spread(df: DataFrame) -> DataFrame:
     A scan is split by file and row group; a big table stored as a few large row
     groups yields fewer tasks than cores, and every row-wise expression after it
     (text parsing here) runs on those few tasks. Only in that case the rows are
-    spread with a round-robin exchange. On a cluster reading many files the
-    input already has more splits than cores and this returns ``df`` unchanged,
-    so no shuffle is added at scale. Planning only: no job is run.
+    spread with a hash exchange on all columns (deterministic on retry, and
+    unlike round-robin it needs no sort before partitioning). On a cluster
+    reading many files the input already has more splits than cores and this
+    returns ``df`` unchanged, so no shuffle is added at scale. Planning only:
+    no job is run.
     """
     want = df.sparkSession.sparkContext.defaultParallelism
     have = df.rdd.getNumPartitions()
-    return df.repartition(want) if have < want else df
+    return df.repartition(want, *df.columns) if have < want else df
