@@ -66,8 +66,9 @@ def feature_names(sources: dict = ONE_HOT_SOURCES) -> list[str]:
 
 
 def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    """Sorted distinct values -> 0..k-1 (X3). The dictionary (distinct values) is a small
-    aggregate joined back; no global window."""
+    """Sorted distinct values -> 0..k-1 (X3). The codes are ranked over the
+    dictionary of distinct values (one row per category, e.g. 14 event names),
+    never over the data, and joined back."""
     out = out or f"{col}_code"
     d = df.select(col).distinct()
     # code = number of distinct values strictly smaller

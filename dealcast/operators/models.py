@@ -310,21 +310,26 @@ def exact_auc_evaluator():
     return BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0)
 
 
-def spot_check(folds: DataFrame, models: dict, k: int, seed: int = 7) -> DataFrame:
+def spot_check(folds: DataFrame, models: dict, k: int, seed: int = 7, parallelism: int = 4) -> DataFrame:
     """Every model on every fold: train on the other folds, AUROC on the fold.
 
-    The fold frame is checkpointed once so the k x models fits reuse it.
-    Returns the long score table (model, fold, metric, value).
+    The fold frame is checkpointed once; the k x models fits are independent
+    jobs run from ``parallelism`` driver threads. Returns the long score table
+    (model, fold, metric, value).
     """
+    from concurrent.futures import ThreadPoolExecutor
     spark = folds.sparkSession
     folds = cut_lineage(folds)
     ev = exact_auc_evaluator()
-    rows = []
-    for name, mk in models.items():
-        for f in range(k):
-            tr = folds.where(F.col("fold") != f)
-            te = folds.where(F.col("fold") == f)
-            rows.append((name, f, "roc_auc", float(ev.evaluate(mk(seed).fit(tr).transform(te)))))
+
+    def run(task):
+        name, f = task
+        tr = folds.where(F.col("fold") != f)
+        te = folds.where(F.col("fold") == f)
+        return name, f, "roc_auc", float(ev.evaluate(models[name](seed).fit(tr).transform(te)))
+
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        rows = list(pool.map(run, [(m, f) for m in models for f in range(k)]))
     return spark.createDataFrame(rows, "model string, fold int, metric string, value double")
 
 
@@ -369,26 +374,37 @@ def random_search_classifier(folds: DataFrame, n_iter: int = 100, k: int = 10, s
 
 
 def walk_forward_search(frame: DataFrame, estimator_maps: list, n_splits_col, pos_col: str = "pos",
-                        n_col: str = "n_rows"):
+                        n_col: str = "n_rows", parallelism: int = 4):
     """Walk-forward model selection for regression (M22 regression branch).
 
     CrossValidator trains on all other folds; an expanding window must only
     train on the past, so the loop is explicit: for each parameter map and fold,
-    fit on the fold's train rows and score RMSE on its test rows.
+    fit on the fold's train rows and score RMSE on its test rows. The
+    (candidate, fold) fits are independent Spark jobs submitted from
+    ``parallelism`` driver threads, as CrossValidator does.
+    Returns ((best index, best mean RMSE), [(index, mean RMSE), ...]).
     """
+    from concurrent.futures import ThreadPoolExecutor
     from pyspark.ml.evaluation import RegressionEvaluator
     from dealcast.operators.splits import walk_forward_folds
     ev = RegressionEvaluator(metricName="rmse")
     roles = cut_lineage(walk_forward_folds(frame, n_splits_col, pos_col=pos_col, n_col=n_col))
-    n_folds = roles.agg(F.max("fold")).first()[0]
+    n_folds = (roles.agg(F.max("fold")).first()[0] or 0) + 1
+
+    def run(task):
+        i, f = task
+        est, pm = estimator_maps[i]
+        tr = roles.where((F.col("fold") == f) & (F.col("role") == "train"))
+        te = roles.where((F.col("fold") == f) & (F.col("role") == "test"))
+        return i, ev.evaluate(est.fit(tr, pm).transform(te))
+
+    tasks = [(i, f) for i in range(len(estimator_maps)) for f in range(n_folds)]
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        scores = list(pool.map(run, tasks))
     results = []
-    for i, (est, pm) in enumerate(estimator_maps):
-        scores = []
-        for f in range((n_folds or 0) + 1):
-            tr = roles.where((F.col("fold") == f) & (F.col("role") == "train"))
-            te = roles.where((F.col("fold") == f) & (F.col("role") == "test"))
-            scores.append(ev.evaluate(est.fit(tr, pm).transform(te)))
-        results.append((i, sum(scores) / len(scores)))
+    for i in range(len(estimator_maps)):
+        vals = [v for j, v in scores if j == i]
+        results.append((i, sum(vals) / len(vals)))
     best = min(results, key=lambda r: r[1])
     return best, results
 

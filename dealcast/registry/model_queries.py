@@ -177,3 +177,21 @@ def q_search(spark, sf):
 def q_feature_sets(spark, sf):
     tr, te, names = cls_frames(spark, sf)
     return M.compare_feature_sets(tr, te, k=10)
+
+
+@register("m21_m22_walk_forward_search")
+def q_wf_search(spark, sf):
+    """Regression model selection on expanding walk-forward folds of each brand's
+    training days (20 folds when a brand has more than 350 training days, else 5)."""
+    from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
+    f = S.split_tail(X.one_hot(X.build_features(panel(spark, sf)))).where(F.col("split") == "train")
+    f = f.withColumns({"pos": F.col("rn") - 7, "n_rows": F.col("n") - 371})
+    vf, _ = M.vector_frame(f, X.feature_names(), "label", keep=["pos", "n_rows"])
+    dt = DecisionTreeRegressor(seed=7)
+    rf = RandomForestRegressor(seed=7)
+    cands = [(dt, {dt.maxDepth: 3}), (dt, {dt.maxDepth: 6}), (rf, {rf.numTrees: 10, rf.maxDepth: 5})]
+    k = F.when(F.col("n_rows") > 350, F.lit(20)).otherwise(F.lit(5))
+    best, results = M.walk_forward_search(vf, cands, k)
+    names = ["decision_tree_depth3", "decision_tree_depth6", "random_forest_10x5"]
+    rows = [(names[i], float(score), i == best[0]) for i, score in results]
+    return spark.createDataFrame(rows, "candidate string, mean_rmse double, best boolean")
