@@ -28,6 +28,8 @@ HEADLINE = [
     "s4_walk_forward_folds",    # fold explode + summary
     "x5_f_classif",             # ANOVA F per feature
     "i8_extract_links",         # HTML block extraction
+    "j5_knn_pairs",             # exact k-NN by projection band join
+    "b1_smote",                 # SMOTE with exact class totals
 ]
 
 

@@ -22,10 +22,20 @@ from pyspark.sql import functions as F
 from dealcast.session import cut_lineage
 
 
-def sq_dist(a, b) -> Column:
-    """Squared Euclidean distance of two equal-length arrays, summed left to right."""
+def sq_dist(a, b, dim: int | None = None) -> Column:
+    """Squared Euclidean distance of two equal-length arrays, summed left to right.
+
+    With ``dim`` known the expression is flat element arithmetic (whole-stage
+    codegen); without it a higher-order ``aggregate`` is used (interpreted, slow).
+    """
     a = F.col(a) if isinstance(a, str) else a
     b = F.col(b) if isinstance(b, str) else b
+    if dim:
+        acc = None
+        for i in range(dim):
+            t = (a[i].cast("double") - b[i].cast("double"))
+            acc = t * t if acc is None else acc + t * t
+        return acc
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double"))),
                        F.lit(0.0), lambda acc, v: acc + v)
 
@@ -39,52 +49,84 @@ def first_direction(points: DataFrame, vec: str) -> list[float]:
 
 
 def _project(df: DataFrame, vec: str, u: list[float]) -> Column:
-    return F.aggregate(F.zip_with(F.col(vec), F.array(*[F.lit(x) for x in u]), lambda a, b: a.cast("double") * b),
-                       F.lit(0.0), lambda acc, v: acc + v)
+    v = F.col(vec)
+    acc = None
+    for i, x in enumerate(u):
+        t = v[i].cast("double") * F.lit(x)
+        acc = t if acc is None else acc + t
+    return acc
 
 
 def knn_join(queries: DataFrame, points: DataFrame, k: int, q_id: str, p_id: str, vec: str = "vec",
-             by: list[str] | None = None, exclude_self: bool = False, max_rounds: int = 60) -> DataFrame:
-    """k nearest points for every query within the same ``by`` block.
+             by: list[str] | None = None, exclude_self: bool = False, max_rounds: int = 60,
+             max_buckets: int = 256) -> DataFrame:
+    """k nearest points for every query within the same ``by`` block (exact).
 
-    Output: (*by, q_id, neighbour id as ``nn_id``, ``rank`` 1..k, ``dist``).
-    Ties in distance go to the smaller point id. ``exclude_self`` drops pairs
-    with equal ids (self-neighbours when queries and points are one table).
+    Every query carries its own search radius h_q. A round band-joins it with
+    the points whose projection lies within h_q (buckets of a common width w),
+    computes true distances and keeps its k closest candidates. A query is done
+    when at least k candidates lie within h_q. Otherwise its next radius is the
+    distance of its k-th candidate when it has k candidates -- an upper bound of
+    its k-th neighbour distance, so it finishes in the next round -- or twice
+    h_q when it has fewer. Once h_q spans the whole projected range every point
+    of the block is a candidate and the query is done. Usually two or three
+    rounds; each round is one join plus one small checkpoint.
+
+    Output: (*by, q_id, ``nn_id``, ``rank`` 1..k, ``dist``); distance ties go to
+    the smaller point id; ``exclude_self`` drops pairs with equal ids.
     """
     by = by or []
     u = first_direction(points, vec)
+    dim = len(u)
     P = cut_lineage(points.select(*by, F.col(p_id).alias("nn_id"), F.col(vec).alias("p_vec"),
                                   _project(points, vec, u).alias("p_p")))
-    Q = cut_lineage(queries.select(*by, F.col(q_id).alias("_q"), F.col(vec).alias("q_vec"),
-                                   _project(queries, vec, u).alias("q_p")))
-    st = P.agg(F.min("p_p").alias("lo"), F.max("p_p").alias("hi"), F.count(F.lit(1)).alias("n")).first()
+    st = P.agg(F.min("p_p").alias("lo"), F.max("p_p").alias("hi")).first()
     span = float((st["hi"] or 0.0) - (st["lo"] or 0.0))
-    n = max(int(st["n"] or 1), 1)
-    h = max(span * 2.0 * k / n, 1e-12)
-    done, pending = None, Q
+    # initial radius from each block's own density: ~2k points of the block in
+    # the band (one row per block, joined on the block key; a literal when unblocked)
+    q0 = queries.select(*by, F.col(q_id).alias("_q"), F.col(vec).alias("q_vec"), _project(queries, vec, u).alias("q_p"))
+    if by:
+        dens = P.groupBy(*by).agg(((F.max("p_p") - F.min("p_p")) * (2.0 * k) / F.count(F.lit(1))).alias("_h0"))
+        q0 = q0.join(dens, by, "left")
+    else:
+        q0 = q0.withColumn("_h0", F.lit(span * 2.0 * k / max(P.count(), 1)))
+    pending = cut_lineage(q0.select(*by, "_q", "q_vec", "q_p",
+                                    F.greatest(F.coalesce(F.col("_h0"), F.lit(span)), F.lit(1e-12)).alias("_h")))
+    med = pending.agg(F.percentile_approx("_h", 0.5)).first()[0]
+    w = max(float(med or 1e-12), 1e-12)
+    done = None
     for _ in range(max_rounds):
-        last = h >= span
-        pb = P.withColumn("_b", F.floor(F.col("p_p") / h))
-        qb = pending.select("*", F.explode(F.sequence(F.floor((F.col("q_p") - h) / h),
-                                                      F.floor((F.col("q_p") + h) / h))).alias("_b"))
-        c = qb.join(pb, [*by, "_b"]).where(F.abs(F.col("q_p") - F.col("p_p")) <= h)
+        pb = P.withColumn("_b", F.floor(F.col("p_p") / w))
+        qb = pending.select("*", F.explode(F.sequence(F.floor((F.col("q_p") - F.col("_h")) / w),
+                                                      F.floor((F.col("q_p") + F.col("_h")) / w))).alias("_b"))
+        c = qb.join(pb, [*by, "_b"]).where(F.abs(F.col("q_p") - F.col("p_p")) <= F.col("_h"))
         if exclude_self:
             c = c.where(F.col("_q") != F.col("nn_id"))
-        c = c.select(*by, "_q", "nn_id", F.sqrt(sq_dist("q_vec", "p_vec")).alias("dist"))
+        c = c.select(*by, "_q", "_h", "nn_id", F.sqrt(sq_dist("q_vec", "p_vec", dim)).alias("dist"))
         wq = Window.partitionBy(*by, "_q")
-        ranked = c.select("*", F.row_number().over(wq.orderBy("dist", "nn_id")).alias("rank"),
-                          F.count_if(F.col("dist") <= h).over(wq).alias("_inside"))
-        fin = ranked.where(F.col("rank") <= k)
-        if not last:
-            fin = fin.where(F.col("_inside") >= k)
-        fin = cut_lineage(fin.drop("_inside"))
+        top = cut_lineage(c.select("*", F.row_number().over(wq.orderBy("dist", "nn_id")).alias("rank"),
+                                   F.count_if(F.col("dist") <= F.col("_h")).over(wq).alias("_inside"))
+                          .where(F.col("rank") <= k))
+        finished = (F.col("_inside") >= k) | (F.col("_h") >= span)
+        fin = top.where(finished).select(*by, "_q", "nn_id", "rank", "dist")
         done = fin if done is None else done.unionByName(fin)
-        if last:
-            break
-        pending = cut_lineage(pending.join(fin.select(*by, "_q").distinct(), [*by, "_q"], "left_anti"))
-        if pending.limit(1).count() == 0:
+        kth = (top.where(~finished).groupBy(*by, "_q")
+               .agg(F.max(F.when(F.col("rank") == k, F.col("dist"))).alias("_kd"),
+                    F.max("rank").alias("_cnt")))
+        gone = top.where(finished).select(*by, "_q").distinct()
+        nxt = pending.join(gone, [*by, "_q"], "left_anti").join(kth, [*by, "_q"], "left")
+        # a query with no candidates at all whose band already spans everything has no neighbours
+        # fewer than k candidates: widen in proportion to what is missing (2x..64x)
+        grow = F.least(F.greatest(F.lit(2.0 * k) / F.greatest(F.coalesce(F.col("_cnt"), F.lit(0)), F.lit(1)),
+                                  F.lit(2.0)), F.lit(64.0))
+        nxt = nxt.where(F.col("_h") < span).select(
+            *by, "_q", "q_vec", "q_p", F.coalesce(F.col("_kd"), F.col("_h") * grow).alias("_h"))
+        pending = cut_lineage(nxt)
+        agg = pending.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("_h", 0.5).alias("med"),
+                          F.max("_h").alias("mx")).first()
+        if not agg["n"]:
             break
-        h *= 2.0
+        w = max(float(agg["med"]), float(agg["mx"]) / max_buckets, 1e-12)
     return done.select(*by, F.col("_q").alias(q_id), "nn_id", F.col("rank").cast("int").alias("rank"), "dist")
 
 
