@@ -39,8 +39,8 @@ def vector_frame(df: DataFrame, feats: list[str], label: str, with_brand: bool =
     assert label not in feats, "label must not be a feature"
     stages, inputs = [], [F.col(f).cast("double").alias(f) for f in feats]
     keep = keep or []
-    base = df.select(*[c for c in dict.fromkeys(["brand", *keep]) if c in df.columns], *inputs,
-                     F.col(label).cast("double").alias("label"))
+    carried = [c for c in dict.fromkeys(["brand", *keep]) if c in df.columns and c not in feats and c != label]
+    base = df.select(*carried, *inputs, F.col(label).cast("double").alias("label"))
     names = list(feats)
     vec_in = list(feats)
     if with_brand and "brand" in df.columns:

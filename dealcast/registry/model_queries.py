@@ -195,3 +195,11 @@ def q_wf_search(spark, sf):
     names = ["decision_tree_depth3", "decision_tree_depth6", "random_forest_10x5"]
     rows = [(names[i], float(score), i == best[0]) for i, score in results]
     return spark.createDataFrame(rows, "candidate string, mean_rmse double, best boolean")
+
+
+@register("m23_r7_model_advice")
+def q_model_advice(spark, sf):
+    """The full flow: pooled forest forecasts of the discount over each brand's
+    test year and of gift days over the scoring frame, then the advice rows."""
+    from dealcast.plans.advise import advise
+    return advise(panel(spark, sf))
