@@ -13,8 +13,10 @@ def build_panel(posts: DataFrame, holidays: bool = True, keep_lists: bool = Fals
                 distinct_counts: bool = False) -> DataFrame:
     """Parse per post, roll up per day, fill the calendar, add calendar and holiday columns.
 
-    Shuffles: one for the day roll-up (after map-side partial aggregation), one
-    for the spine join. Everything after is narrow or keyed by date (holidays).
+    One pass over the posts. Shuffles: one for the day roll-up (after map-side
+    partial aggregation) and one of the day rows by brand for the gap fill,
+    which the feature windows downstream reuse. The nearest-holiday table is a
+    broadcast of parameter-sized data (no shuffle of the panel).
     """
     parsed = parse_posts(posts, ignore_case_gwp=ignore_case_gwp, drop_ads=drop_ads, dedup=dedup)
     panel = add_calendar(fill_calendar(daily_rollup(parsed, keep_lists=keep_lists, distinct_counts=distinct_counts)))

@@ -63,7 +63,8 @@ def deals_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     splits skewed partkeys. Only the 5 lineitem columns used are scanned.
     """
     li = spread(table(spark, sf_dir, "lineitem").select(
-        "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_shipdate"))
+        "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_shipdate"),
+        keys=["l_partkey", "l_suppkey"])
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     j = (li.join(part, li.l_partkey == part.p_partkey)
