@@ -22,24 +22,30 @@ def split_tail(panel: DataFrame, skip: int = 6, tail: int = 365) -> DataFrame:
     return panel.withColumn("split", split)
 
 
+def _ranked(df: DataFrame, groups: list[str], order, rank_col: str) -> DataFrame:
+    """1-based rank within ``groups`` by ``order`` (unique within a group), from
+    the distributed prefix count -- no single task sorts a whole group, even
+    when one group holds a large share of the rows."""
+    from dealcast.operators.ordered import running_sums
+    base = df.withColumns({"_ord": order, "_one": F.lit(1)})
+    r = running_sums(base, groups, "_ord", ["_one"], out_prefix="_r", with_totals=True)
+    return r.withColumnsRenamed({"_r_one": rank_col, "tot__one": f"{rank_col}_n"}).drop("_ord", "_one")
+
+
 def split_random(df: DataFrame, key_cols: list[str], train_frac: float = 0.7, seed: int = 42,
                  by: list[str] | None = None) -> DataFrame:
     """Seeded random split (S2): within each group, rows ordered by an md5 draw of
-    (seed, key); the first floor(frac * n) are train.
-
-    The order needs a window over the group; groups here are a brand's deal days
-    (bounded by calendar days). For unbounded groups use ``split_random_bernoulli``.
-    """
-    by = by or ["brand"]
-    d = uniform_draw(F.lit(seed), *key_cols)
-    w = Window.partitionBy(*by).orderBy(d, *key_cols)
-    n = F.count(F.lit(1)).over(Window.partitionBy(*by))
-    rn = F.row_number().over(w)
-    return df.withColumn("split", F.when(rn <= F.floor(n * train_frac), "train").otherwise("test"))
+    (seed, key); the first floor(frac * n) are train (n * frac in double
+    arithmetic, as a float train size gives)."""
+    by = by or []
+    order = F.struct(uniform_draw(F.lit(seed), *key_cols).alias("d"), *[F.col(c) for c in key_cols])
+    r = _ranked(df, by, order, "_rk")
+    out = r.withColumn("split", F.when(F.col("_rk") <= F.floor(F.col("_rk_n") * train_frac), "train").otherwise("test"))
+    return out.drop("_rk", "_rk_n")
 
 
 def split_random_bernoulli(df: DataFrame, key_cols: list[str], train_frac: float = 0.7, seed: int = 42) -> DataFrame:
-    """Per-row independent split by the md5 draw: no window, any group size."""
+    """Per-row independent split by the md5 draw: no ranking at all, any group size."""
     return df.withColumn("split", F.when(uniform_draw(F.lit(seed), *key_cols) < train_frac, "train").otherwise("test"))
 
 
@@ -50,9 +56,9 @@ def stratified_folds(df: DataFrame, label: str, key_cols: list[str], k: int = 10
     Every fold gets floor or ceil of n_class / k rows of each class.
     """
     by = by or []
-    d = uniform_draw(F.lit(seed), *key_cols)
-    w = Window.partitionBy(*by, label).orderBy(d, *key_cols)
-    return df.withColumn("fold", F.pmod(F.row_number().over(w) - 1, F.lit(k)).cast("int"))
+    order = F.struct(uniform_draw(F.lit(seed), *key_cols).alias("d"), *[F.col(c) for c in key_cols])
+    r = _ranked(df, [*by, label], order, "_rk")
+    return r.withColumn("fold", F.pmod(F.col("_rk") - 1, F.lit(k)).cast("int")).drop("_rk", "_rk_n")
 
 
 def walk_forward_folds(df: DataFrame, n_splits=20, test_size: int | None = None, gap: int = 0,
