@@ -1,15 +1,15 @@
 """Exact k-nearest neighbours without enumerating pairs (J5), and the KNN vote.
 
-Every vector is projected on one unit direction u (the first principal
-component, so the projection spreads points as far as possible). For any two
-points |u.x - u.q| <= ||x - q||, hence all points within distance h of a query
-lie in the band |u.x - u.q| <= h. Rounds of a bucketed band join (bucket width
-h, each query looks at 3 buckets) collect candidates; a query is finished as
+Every vector is projected on the m leading principal directions u_1..u_m
+(orthonormal, so the projections spread the points as far as possible). For
+any two points |u_i.x - u_i.q| <= ||x - q||, hence all points within distance h
+of a query lie in the cube |u_i.x - u_i.q| <= h (all i). Points are bucketed on
+an m-dimensional grid; a query visits the cells its cube touches, keeps the
+candidates inside the cube and computes true distances. A query is finished as
 soon as at least k candidates lie within distance h -- its k nearest are then
-certainly among them. Unfinished queries go to the next round with h doubled.
-When h covers the whole projected range, every remaining query sees every
-point of its block. Results are exact; the work is the band contents, not all
-pairs of a block.
+certainly among them. Results are exact; the work is the cube contents, not all
+pairs of a block. Several directions matter when one direction is a coarse
+(discrete) coordinate that ties many points together.
 """
 
 from __future__ import annotations
@@ -42,10 +42,21 @@ def sq_dist(a, b, dim: int | None = None) -> Column:
 
 def first_direction(points: DataFrame, vec: str) -> list[float]:
     """Unit first principal direction of the vectors (distributed Gramian; d x d on the driver)."""
+    return principal_directions(points, vec, 1)[0]
+
+
+def principal_directions(points: DataFrame, vec: str, m: int) -> list[list[float]]:
+    """The m leading unit principal directions (MLlib PCA: distributed Gramian, d x d eigen on the driver)."""
     v = points.select(array_to_vector(F.col(vec).cast("array<double>")).alias("_v"))
-    pc = PCA(k=1, inputCol="_v").fit(v).pc.toArray()[:, 0]
-    norm = float((pc ** 2).sum()) ** 0.5 or 1.0
-    return [float(x) / norm for x in pc]
+    d = len(points.select(vec).first()[0])
+    m = max(1, min(m, d))
+    pc = PCA(k=m, inputCol="_v").fit(v).pc.toArray()
+    out = []
+    for j in range(m):
+        col = pc[:, j]
+        norm = float((col ** 2).sum()) ** 0.5 or 1.0
+        out.append([float(x) / norm for x in col])
+    return out
 
 
 def _project(df: DataFrame, vec: str, u: list[float]) -> Column:
@@ -59,47 +70,64 @@ def _project(df: DataFrame, vec: str, u: list[float]) -> Column:
 
 def knn_join(queries: DataFrame, points: DataFrame, k: int, q_id: str, p_id: str, vec: str = "vec",
              by: list[str] | None = None, exclude_self: bool = False, max_rounds: int = 60,
-             max_buckets: int = 256) -> DataFrame:
+             n_dirs: int = 3, max_cells_per_dir: int = 10) -> DataFrame:
     """k nearest points for every query within the same ``by`` block (exact).
 
-    Every query carries its own search radius h_q. A round band-joins it with
-    the points whose projection lies within h_q (buckets of a common width w),
-    computes true distances and keeps its k closest candidates. A query is done
-    when at least k candidates lie within h_q. Otherwise its next radius is the
-    distance of its k-th candidate when it has k candidates -- an upper bound of
-    its k-th neighbour distance, so it finishes in the next round -- or twice
-    h_q when it has fewer. Once h_q spans the whole projected range every point
-    of the block is a candidate and the query is done. Usually two or three
-    rounds; each round is one join plus one small checkpoint.
+    Every query carries its own search radius h_q. A round joins it with the
+    points in the grid cells its cube (side 2 h_q in the ``n_dirs`` projected
+    coordinates) touches, keeps candidates inside the cube, computes true
+    distances and keeps its k closest. A query is done when at least k
+    candidates lie within h_q. Otherwise its next radius is the distance of its
+    k-th candidate when it has k candidates -- an upper bound of its k-th
+    neighbour distance, so it finishes in the next round -- or a wider radius
+    when it has fewer. Once h_q spans the projected range every point of the
+    block is a candidate and the query is done. Usually two or three rounds;
+    each round is one join plus one small checkpoint.
 
     Output: (*by, q_id, ``nn_id``, ``rank`` 1..k, ``dist``); distance ties go to
     the smaller point id; ``exclude_self`` drops pairs with equal ids.
     """
     by = by or []
-    u = first_direction(points, vec)
-    dim = len(u)
+    dirs = principal_directions(points, vec, n_dirs)
+    m = len(dirs)
+    dim = len(dirs[0])
+    pc = [f"p_c{i}" for i in range(m)]
+    qc = [f"q_c{i}" for i in range(m)]
+    bc = [f"_b{i}" for i in range(m)]
     P = cut_lineage(points.select(*by, F.col(p_id).alias("nn_id"), F.col(vec).alias("p_vec"),
-                                  _project(points, vec, u).alias("p_p")))
-    st = P.agg(F.min("p_p").alias("lo"), F.max("p_p").alias("hi")).first()
-    span = float((st["hi"] or 0.0) - (st["lo"] or 0.0))
-    # initial radius from each block's own density: ~2k points of the block in
-    # the band (one row per block, joined on the block key; a literal when unblocked)
-    q0 = queries.select(*by, F.col(q_id).alias("_q"), F.col(vec).alias("q_vec"), _project(queries, vec, u).alias("q_p"))
+                                  *[_project(points, vec, u).alias(c) for u, c in zip(dirs, pc)]))
+    st = P.agg(*[F.min(c).alias(f"lo{i}") for i, c in enumerate(pc)],
+               *[F.max(c).alias(f"hi{i}") for i, c in enumerate(pc)]).first()
+    spans = [float((st[f"hi{i}"] or 0.0) - (st[f"lo{i}"] or 0.0)) for i in range(m)]
+    span = max(spans) if spans else 0.0
+    # initial radius from each block's own density: ~2k points of the block in the cube
+    q0 = queries.select(*by, F.col(q_id).alias("_q"), F.col(vec).alias("q_vec"),
+                        *[_project(queries, vec, u).alias(c) for u, c in zip(dirs, qc)])
+    vol = None
+    for c in pc:
+        r = F.greatest(F.max(c) - F.min(c), F.lit(1e-12))
+        vol = r if vol is None else vol * r
+    h0 = 0.5 * F.pow(vol * (2.0 * k) / F.count(F.lit(1)), 1.0 / m)
     if by:
-        dens = P.groupBy(*by).agg(((F.max("p_p") - F.min("p_p")) * (2.0 * k) / F.count(F.lit(1))).alias("_h0"))
-        q0 = q0.join(dens, by, "left")
+        q0 = q0.join(P.groupBy(*by).agg(h0.alias("_h0")), by, "left")
     else:
-        q0 = q0.withColumn("_h0", F.lit(span * 2.0 * k / max(P.count(), 1)))
-    pending = cut_lineage(q0.select(*by, "_q", "q_vec", "q_p",
+        q0 = q0.withColumn("_h0", F.lit(P.agg(h0.alias("h")).first()["h"]))
+    pending = cut_lineage(q0.select(*by, "_q", "q_vec", *qc,
                                     F.greatest(F.coalesce(F.col("_h0"), F.lit(span)), F.lit(1e-12)).alias("_h")))
-    med = pending.agg(F.percentile_approx("_h", 0.5)).first()[0]
-    w = max(float(med or 1e-12), 1e-12)
+    a = pending.agg(F.percentile_approx("_h", 0.5).alias("med"), F.max("_h").alias("mx")).first()
+    w = max(float(a["med"] or 1e-12), float(a["mx"] or 0.0) / max_cells_per_dir, 1e-12)
     done = None
     for _ in range(max_rounds):
-        pb = P.withColumn("_b", F.floor(F.col("p_p") / w))
-        qb = pending.select("*", F.explode(F.sequence(F.floor((F.col("q_p") - F.col("_h")) / w),
-                                                      F.floor((F.col("q_p") + F.col("_h")) / w))).alias("_b"))
-        c = qb.join(pb, [*by, "_b"]).where(F.abs(F.col("q_p") - F.col("p_p")) <= F.col("_h"))
+        pb = P.withColumns({b: F.floor(F.col(c) / w) for b, c in zip(bc, pc)})
+        qb = pending
+        for b, c in zip(bc, qc):
+            qb = qb.select("*", F.explode(F.sequence(F.floor((F.col(c) - F.col("_h")) / w),
+                                                     F.floor((F.col(c) + F.col("_h")) / w))).alias(b))
+        inside = None
+        for a_, b_ in zip(qc, pc):
+            cond = F.abs(F.col(a_) - F.col(b_)) <= F.col("_h")
+            inside = cond if inside is None else inside & cond
+        c = qb.join(pb, [*by, *bc]).where(inside)
         if exclude_self:
             c = c.where(F.col("_q") != F.col("nn_id"))
         c = c.select(*by, "_q", "_h", "nn_id", F.sqrt(sq_dist("q_vec", "p_vec", dim)).alias("dist"))
@@ -115,18 +143,18 @@ def knn_join(queries: DataFrame, points: DataFrame, k: int, q_id: str, p_id: str
                     F.max("rank").alias("_cnt")))
         gone = top.where(finished).select(*by, "_q").distinct()
         nxt = pending.join(gone, [*by, "_q"], "left_anti").join(kth, [*by, "_q"], "left")
-        # a query with no candidates at all whose band already spans everything has no neighbours
         # fewer than k candidates: widen in proportion to what is missing (2x..64x)
         grow = F.least(F.greatest(F.lit(2.0 * k) / F.greatest(F.coalesce(F.col("_cnt"), F.lit(0)), F.lit(1)),
                                   F.lit(2.0)), F.lit(64.0))
+        # a query whose cube already spans everything and has no candidate has no neighbours
         nxt = nxt.where(F.col("_h") < span).select(
-            *by, "_q", "q_vec", "q_p", F.coalesce(F.col("_kd"), F.col("_h") * grow).alias("_h"))
+            *by, "_q", "q_vec", *qc, F.coalesce(F.col("_kd"), F.col("_h") * grow).alias("_h"))
         pending = cut_lineage(nxt)
         agg = pending.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("_h", 0.5).alias("med"),
                           F.max("_h").alias("mx")).first()
         if not agg["n"]:
             break
-        w = max(float(agg["med"]), float(agg["mx"]) / max_buckets, 1e-12)
+        w = max(float(agg["med"]), float(agg["mx"]) / max_cells_per_dir, 1e-12)
     return done.select(*by, F.col("_q").alias(q_id), "nn_id", F.col("rank").cast("int").alias("rank"), "dist")
 
 

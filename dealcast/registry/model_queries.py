@@ -203,3 +203,21 @@ def q_model_advice(spark, sf):
     test year and of gift days over the scoring frame, then the advice rows."""
     from dealcast.plans.advise import advise
     return advise(panel(spark, sf))
+
+
+@register("b1_m17_smote_forest")
+def q_smote_forest(spark, sf):
+    """Gift-day forest trained on a SMOTE-balanced training split (classes
+    equalised in feature space), scored on the untouched test split."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from dealcast.operators.balance import smote
+    tr, te, _ = cls_frames(spark, sf)
+    pts = tr.select(F.concat_ws("|", "brand", F.col("posted_date").cast("string")).alias("id"), "brand",
+                    F.col("label").cast("int").alias("label"), vector_to_array("features").alias("vec"))
+    syn = smote(pts, "id", "label", "vec", k=5, seed=42)
+    brand_of = pts.select("id", "brand")
+    syn = syn.join(brand_of, "id").select("brand", F.col("label").cast("double").alias("label"),
+                                           array_to_vector("vec").alias("features"))
+    balanced = tr.select("brand", "label", "features").unionByName(syn)
+    model = M.CLASSIFIERS["random_forest"](7).fit(balanced)
+    return _cls_scores(model.transform(te), "smote_random_forest")

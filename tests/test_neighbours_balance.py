@@ -68,3 +68,17 @@ def test_balance_and_weights(spark):
     assert abs(w[1] - 100 / (2 * 30)) < 1e-12 and abs(w[0] - 100 / (2 * 70)) < 1e-12
     s = {r.y: r.share for r in class_balance(df, "y").collect()}
     assert abs(s[1] - 0.3) < 1e-12
+
+
+def test_knn_exact_on_tied_integer_grid(spark):
+    rnd = random.Random(9)
+    rows = [(i, 0, [float(rnd.randint(1, 31)), float(rnd.randint(1, 12)), float(rnd.randint(1995, 2001)),
+                    round(rnd.random(), 2)]) for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, g int, vec array<double>")
+    got = knn_join(df, df, 5, "id", "id", "vec", exclude_self=True).collect()
+    res = {}
+    for r in got:
+        res.setdefault(r.id, []).append((r.rank, r.nn_id))
+    for i, _, v in rows:
+        cand = sorted((_d(v, w), j) for j, _, w in rows if j != i)[:5]
+        assert [j for _, j in sorted(res[i])] == [j for _, j in cand]
