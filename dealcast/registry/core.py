@@ -7,10 +7,7 @@ places on both sides, as summation order differs between engines.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F  # noqa: F401
-
 from dealcast import sqltwins as T
-from dealcast.operators import features as X
 from dealcast.operators import metrics as E
 from dealcast.operators import naive as N
 from dealcast.operators import rollup as A

@@ -4,9 +4,6 @@ from __future__ import annotations
 
 import os
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from dealcast import sqltwins as T

@@ -4,7 +4,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from dealcast.operators import recommend as R
-from dealcast.sources.html import LISTING, extract_blocks, extract_deals
+from dealcast.sources.html import extract_deals
 from dealcast.sources.panel import read_panel, write_panel
 from dealcast.sources.posts import POSTS_SCHEMA, read_posts, write_posts
 

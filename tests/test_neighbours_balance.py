@@ -1,8 +1,6 @@
 import math
 import random
 
-from pyspark.sql import functions as F
-
 from dealcast.operators.balance import class_balance, class_weights, smote
 from dealcast.operators.neighbours import knn_join
 

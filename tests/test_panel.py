@@ -2,8 +2,6 @@ import datetime as dt
 import random
 
 import pandas as pd
-from pyspark.sql import functions as F
-
 from dealcast.operators import naive as N
 from dealcast.operators import rollup as A
 from dealcast.operators import windows as W

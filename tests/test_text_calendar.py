@@ -1,8 +1,6 @@
 import calendar
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from dealcast.functions.calendar import nth_weekday
 from dealcast.functions.text import ad_flag, age_to_date, discount_off, gwp_flag, parse_posted_date, pct_off
 from dealcast.operators.holidays import holiday_table, nearest_holiday_by_date, PARENT_RULES, FEDERAL_RULES

@@ -1,8 +1,6 @@
 """Every registered query with a SQL twin equals DuckDB on the smallest tables;
 every other registered query runs and keeps its schema."""
 
-import os
-
 import duckdb
 import pytest
 
