@@ -163,7 +163,7 @@ def roc_auc_trapezoid(preds: DataFrame, by: list[str], y: str = "y", score: str
 
 def classification_report(preds: DataFrame, by: list[str], y: str = "y", pred: str = "pred",
                           digits: int | None = None) -> DataFrame:
-    """Per-class precision/recall/F1/support plus macro and weighted rows.
+    """Per-class precision/recall/F1/support plus accuracy, macro and weighted rows.
 
     Confusion counts come from one ``groupBy(group, y, pred)``; everything else
     works on that (at most 4 rows per group for a binary label).
@@ -191,7 +191,12 @@ def classification_report(preds: DataFrame, by: list[str], y: str = "y", pred: s
     weighted = per.groupBy(*by).agg(wsum("precision").alias("precision"), wsum("recall").alias("recall"),
                                     F.sum("support").cast("bigint").alias("support"), wsum("f1").alias("f1")
                                     ).withColumn("label", F.lit("weighted avg"))
-    out = per.unionByName(macro).unionByName(weighted)
+    acc = (conf.groupBy(*by).agg(
+        (F.sum(F.when(F.col("yv") == F.col("pv"), F.col("c")).otherwise(0)) / F.sum("c")).alias("f1"),
+        F.sum("c").alias("support"))
+        .select(*by, F.lit("accuracy").alias("label"), F.lit(None).cast("double").alias("precision"),
+                F.lit(None).cast("double").alias("recall"), F.col("support").cast("bigint").alias("support"), "f1"))
+    out = per.unionByName(macro).unionByName(weighted).unionByName(acc)
     return out.select(*by, "label", *[_r(F.col(c), digits).alias(c) for c in ("precision", "recall", "f1")], "support")
 
 

@@ -107,7 +107,9 @@ allr AS (
   SELECT * FROM pf
   UNION ALL SELECT brand, model, 'macro avg', avg(precision), avg(recall), CAST(sum(support) AS BIGINT), avg(f1) FROM pf GROUP BY ALL
   UNION ALL SELECT brand, model, 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
-    CAST(sum(support) AS BIGINT), sum(f1 * support) / sum(support) FROM pf GROUP BY ALL)
+    CAST(sum(support) AS BIGINT), sum(f1 * support) / sum(support) FROM pf GROUP BY ALL
+  UNION ALL SELECT brand, model, 'accuracy', NULL, NULL, CAST(sum(c) AS BIGINT),
+    sum(c) FILTER (WHERE y = pred) / sum(c) FROM conf GROUP BY ALL)
 SELECT brand, model, label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM allr""")
 def q_report(spark, sf):
     return E.classification_report(gwp_preds(spark, sf), BY, digits=D)

@@ -93,3 +93,4 @@ def test_classification_report(spark):
     assert abs(rep["1"].precision - 0.75) < 1e-12 and abs(rep["1"].recall - 0.6) < 1e-12
     assert abs(rep["0"].precision - 4 / 6) < 1e-12 and rep["0"].support == 5
     assert abs(rep["macro avg"].f1 - (rep["0"].f1 + rep["1"].f1) / 2) < 1e-12
+    assert abs(rep["accuracy"].f1 - 0.7) < 1e-12 and rep["accuracy"].support == 10 and rep["accuracy"].precision is None
