@@ -52,11 +52,25 @@ def vector_frame(df: DataFrame, feats: list[str], label: str, with_brand: bool =
     model = Pipeline(stages=stages).fit(base)
     # materialised once: every MLlib fit makes several passes over its input,
     # which would otherwise re-run the whole feature lineage each time
-    out = model.transform(base).drop("_brand_ix", "_brand_oh").select(
-        *[c for c in dict.fromkeys(["brand", *keep]) if c in base.columns], "features", "label")
+    keys = [c for c in dict.fromkeys(["brand", *keep]) if c in base.columns]
+    out = model.transform(base).drop("_brand_ix", "_brand_oh").select(*keys, "features", "label")
+    # rows arrive from shuffles in fetch order and upstream partition bounds can
+    # vary; hashing the row keys to a fixed partition count and sorting inside
+    # each partition makes every pass (and MLlib's seeded sampling) see the same
+    # rows in the same order, so a refit -- or a recomputation after a lost
+    # executor -- gives the same model. One shuffle of a panel-sized frame.
+    if keys:
+        out = canonical(out, keys)
     return cut_lineage(out), names
 
 
+def canonical(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Deterministic partition contents and row order for a (small) model input:
+    hash the row keys to a fixed partition count, sort inside partitions."""
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n_parts, *keys).sortWithinPartitions(*keys)
+
+
 # ----------------------------------------------------------------- trend models (moments)
 
 def trend_moments(df: DataFrame, x: str, y: str, by: list[str]) -> DataFrame:
@@ -229,13 +243,15 @@ def adaboost_r2(train: DataFrame, test: DataFrame, n_estimators: int = 10, max_d
 # ----------------------------------------------------------------- extra trees
 
 def extra_trees(train: DataFrame, test: DataFrame, feats: list[str], n_trees: int = 10, max_depth: int = 8,
-                n_cuts: int = 4, seed: int = 11) -> DataFrame:
+                n_cuts: int = 4, seed: int = 11, keys: list[str] | None = None) -> DataFrame:
     """Randomised-threshold tree ensemble: for every tree each feature is cut at
     ``n_cuts`` thresholds drawn uniformly between its min and max, a tree is
     grown on the bucketised features (it can only split at those random
     thresholds), and the trees' predictions are averaged. MLlib has no
     per-node random thresholds; this draws them per tree instead.
     """
+    if keys:
+        train = canonical(train, keys)
     train, out = cut_lineage(train), cut_lineage(test)
     lo_hi = train.agg(*[F.min(f).alias(f"lo_{f}") for f in feats], *[F.max(f).alias(f"hi_{f}") for f in feats]).first()
     rng = random.Random(seed)

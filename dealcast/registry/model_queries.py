@@ -103,9 +103,10 @@ def q_adaboost(spark, sf):
 def q_extra_trees(spark, sf):
     f = S.split_tail(X.one_hot(X.build_features(panel(spark, sf))))
     feats = X.feature_names()
-    f = f.select("brand", "split", *[F.col(c).cast("double").alias(c) for c in feats], F.col("label").cast("double"))
+    f = f.select("brand", "posted_date", "split", *[F.col(c).cast("double").alias(c) for c in feats],
+                 F.col("label").cast("double"))
     tr, te = f.where(F.col("split") == "train"), f.where(F.col("split") == "test")
-    return _reg_scores(M.extra_trees(tr, te, feats, n_trees=10), "extra_trees")
+    return _reg_scores(M.extra_trees(tr, te, feats, n_trees=10, keys=["brand", "posted_date"]), "extra_trees")
 
 
 # ---------------------------------------------------------------- classification on deal days
@@ -213,8 +214,11 @@ def q_smote_forest(spark, sf):
                     F.col("label").cast("int").alias("label"), vector_to_array("features").alias("vec"))
     syn = smote(pts, "id", "label", "vec", k=5, seed=42)
     brand_of = pts.select("id", "brand")
-    syn = syn.join(brand_of, "id").select("brand", F.col("label").cast("double").alias("label"),
-                                           array_to_vector("vec").alias("features"))
-    balanced = tr.select("brand", "label", "features").unionByName(syn)
+    syn = syn.join(brand_of, "id").select(
+        "brand", F.concat_ws("#", "id", F.col("s").cast("string")).alias("id"),
+        F.col("label").cast("double").alias("label"), array_to_vector("vec").alias("features"))
+    real = tr.select("brand", F.concat_ws("|", "brand", F.col("posted_date").cast("string")).alias("id"),
+                     "label", "features")
+    balanced = M.canonical(real.unionByName(syn), ["id"])
     model = M.CLASSIFIERS["random_forest"](7).fit(balanced)
     return _cls_scores(model.transform(te), "smote_random_forest")
