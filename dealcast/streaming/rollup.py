@@ -1,15 +1,16 @@
 """Day roll-up of posts as they arrive (A1, incrementally).
 
 Posts land as files in a folder (what a scraper run produces). A streaming query
-parses them with the same column functions as the batch path and keeps the
-per-(brand, day) aggregates in Spark's state store. The watermark bounds that
-state: days older than the watermark are final and their state is dropped; a
-post older than the watermark when it arrives is ignored, so the delay must
-cover how late posts can arrive.
-
-Each micro-batch writes the keys it changed into its own folder ``batch=<id>``
-(overwrite), so a retried batch replaces its own output: the sink is idempotent.
-The current table is the latest batch's row per key.
+parses each micro-batch with the same column functions as the batch path and
+aggregates it per (brand, day) on its own: the batch's partial aggregates are
+written to ``batch=<id>`` with overwrite, so a retried batch replaces its own
+output (idempotent sink) and no state store is needed.
+
+Reading merges the partials (sums of counts, max discount, any gift). The merge
+is exact whatever the arrival order: a post that arrives months late is still
+counted -- no watermark drops it, and no partial row can overwrite a complete
+one. ``compact_rollup`` folds the batches written so far into one so the number
+of partial rows stays bounded by the keys, not by the number of batches.
 """
 
 from __future__ import annotations
@@ -20,10 +21,28 @@ from pyspark.sql import functions as F
 from dealcast.operators.rollup import COUNTERS, parse_posts
 from dealcast.sources.posts import POSTS_SCHEMA
 
+_PARTIALS = ["n_posts", *COUNTERS, "discount_off", "gwp", "has_ad"]
+
+
+def _partials(parsed: DataFrame) -> DataFrame:
+    return (parsed.where(F.col("posted_date").isNotNull()).groupBy("brand", "posted_date")
+            .agg(F.count(F.lit(1)).alias("n_posts"),
+                 *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in COUNTERS],
+                 F.max("discount_off").alias("discount_off"), F.bool_or("gwp").alias("gwp"),
+                 F.bool_or("is_ad").alias("has_ad")))
+
+
+def _merge(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("brand", "posted_date").agg(
+        F.sum("n_posts").cast("bigint").alias("n_posts"),
+        *[F.sum(c).cast("bigint").alias(c) for c in COUNTERS],
+        F.max("discount_off").alias("discount_off"), F.bool_or("gwp").alias("gwp"),
+        F.bool_or("has_ad").alias("has_ad"))
+
 
 def stream_daily_rollup(spark: SparkSession, source_dir: str, out_dir: str, checkpoint_dir: str,
-                        watermark: str = "30 days", fmt: str = "parquet", schema=POSTS_SCHEMA,
-                        max_files_per_trigger: int | None = None, available_now: bool = True):
+                        fmt: str = "parquet", schema=POSTS_SCHEMA, max_files_per_trigger: int | None = None,
+                        available_now: bool = True):
     """Start the incremental roll-up; returns the StreamingQuery."""
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
@@ -31,28 +50,23 @@ def stream_daily_rollup(spark: SparkSession, source_dir: str, out_dir: str, chec
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     posts = reader.load(source_dir)
-    parsed = (parse_posts(posts).where(F.col("posted_date").isNotNull())
-              .withColumn("event_ts", F.col("posted_date").cast("timestamp")))
-    agg = (parsed.withWatermark("event_ts", watermark)
-           .groupBy("brand", "event_ts")
-           .agg(F.count(F.lit(1)).alias("n_posts"),
-                *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in COUNTERS],
-                F.max("discount_off").alias("discount_off"), F.bool_or("gwp").alias("gwp"),
-                F.bool_or("is_ad").alias("has_ad")))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("posted_date", F.col("event_ts").cast("date")).drop("event_ts")
-         .write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}"))
+        _partials(parse_posts(batch)).write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}")
 
-    w = (agg.writeStream.outputMode("update").foreachBatch(write_batch)
-         .option("checkpointLocation", checkpoint_dir))
+    w = posts.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
 
 def read_rollup_state(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Latest value of every (brand, day) over all written batches."""
-    rows = spark.read.parquet(out_dir)
-    cols = [c for c in rows.columns if c not in ("brand", "posted_date", "batch")]
-    latest = F.max_by(F.struct(*cols), F.col("batch")).alias("v")
-    return rows.groupBy("brand", "posted_date").agg(latest).select("brand", "posted_date", "v.*")
+    """The current day roll-up: all partial batches merged per (brand, day)."""
+    return _merge(spark.read.parquet(out_dir).drop("batch"))
+
+
+def compact_rollup(spark: SparkSession, out_dir: str, into: str) -> DataFrame:
+    """Write the merged state once to ``into`` (a new folder) and return it; later
+    reads can start from it plus the batches that follow."""
+    merged = read_rollup_state(spark, out_dir)
+    merged.write.mode("overwrite").parquet(into)
+    return spark.read.parquet(into)
