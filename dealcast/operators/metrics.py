@@ -105,23 +105,49 @@ def _with_totals(base: DataFrame) -> DataFrame:
 
 
 def roc_points(preds: DataFrame, by: list[str], y: str = "y", score: str = "score",
-               digits: int | None = None) -> DataFrame:
-    """ROC curve points (E9): one point per distinct score (threshold), fpr/tpr at
-    ``score >= threshold``. Collinear points are kept (no intermediate dropping);
-    areas are unaffected."""
-    j = _with_totals(_curve_base(preds, by, y, score))
-    return j.select(*by, F.col("score").alias("threshold"),
-                    _r(F.try_divide(F.col("cum_neg"), F.col("neg_total")), digits).alias("fpr"),
-                    _r(F.try_divide(F.col("cum_pos"), F.col("pos_total")), digits).alias("tpr"))
+               digits: int | None = None, drop_intermediate: bool = True) -> DataFrame:
+    """ROC curve points (E9): (threshold, fpr, tpr), one candidate point per
+    distinct score (``score >= threshold`` is positive), plus the (0, 0) start
+    whose threshold is the top score + 1.
+
+    ``drop_intermediate`` keeps, besides the first and last point, only points
+    where the next step's (positives, negatives) increments differ from this
+    point's -- the standard thinning of suboptimal points; areas are unchanged.
+    """
+    g = _score_groups(preds, by, y, score)
+    base = running_sums(g, by, "score", ["pos", "neg"], descending=True, out_prefix="cum_",
+                        next_cols=["pos", "neg"])
+    j = _with_totals(base)
+    first = F.col("cum_pos") + F.col("cum_neg") == F.col("pos") + F.col("neg")
+    last = F.col("next_pos").isNull()
+    if drop_intermediate:
+        changes = (F.col("next_pos") != F.col("pos")) | (F.col("next_neg") != F.col("neg"))
+        j = j.where(first | last | changes)
+    pts = j.select(*by, F.col("score").alias("threshold"),
+                   F.try_divide(F.col("cum_neg"), F.col("neg_total")).alias("fpr"),
+                   F.try_divide(F.col("cum_pos"), F.col("pos_total")).alias("tpr"))
+    start = j.where(first).select(*by, (F.col("score") + 1).alias("threshold"), F.lit(0.0).alias("fpr"),
+                                  F.lit(0.0).alias("tpr"))
+    out = pts.unionByName(start)
+    return out.select(*by, "threshold", _r(F.col("fpr"), digits).alias("fpr"), _r(F.col("tpr"), digits).alias("tpr"))
 
 
 def pr_points(preds: DataFrame, by: list[str], y: str = "y", score: str = "score",
               digits: int | None = None) -> DataFrame:
-    """Precision-recall points (E10), one per distinct score threshold."""
+    """Precision-recall points (E10): one per distinct score threshold, from the
+    top score down to the first threshold reaching full recall, plus the
+    (precision 1, recall 0) end point without a threshold."""
     j = _with_totals(_curve_base(preds, by, y, score))
-    return j.select(*by, F.col("score").alias("threshold"),
-                    _r(F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg")), digits).alias("precision"),
-                    _r(F.try_divide(F.col("cum_pos"), F.col("pos_total")), digits).alias("recall"))
+    full = j.where(F.col("cum_pos") == F.col("pos_total")).groupBy(*by).agg(F.max("score").alias("_full"))
+    k = j.join(full, by, "left").where(F.col("_full").isNull() | (F.col("score") >= F.col("_full")))
+    pts = k.select(*by, F.col("score").alias("threshold"),
+                   (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("precision"),
+                   F.try_divide(F.col("cum_pos"), F.col("pos_total")).alias("recall"))
+    end = j.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).select(
+        *by, F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
+    out = pts.unionByName(end)
+    return out.select(*by, "threshold", _r(F.col("precision"), digits).alias("precision"),
+                      _r(F.col("recall"), digits).alias("recall"))
 
 
 def auroc(preds: DataFrame, by: list[str], y: str = "y", score: str = "score",

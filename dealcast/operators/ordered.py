@@ -23,10 +23,13 @@ from dealcast.session import cut_lineage
 
 def running_sums(df: DataFrame, by: list[str], order_col: str, value_cols: list[str],
                  descending: bool = False, out_prefix: str = "cum_", with_totals: bool = True,
-                 num_slices: int | None = None) -> DataFrame:
+                 num_slices: int | None = None, next_cols: list[str] | None = None) -> DataFrame:
     """Inclusive running sums of ``value_cols`` within ``by`` in ``order_col`` order.
 
     Adds ``{out_prefix}{c}`` and, with ``with_totals``, the group total ``tot_{c}``.
+    ``next_cols`` adds ``next_{c}``: the value on the following row of the group
+    (null on its last row), also across slice boundaries -- the first row of
+    the group's next non-empty slice, found on the (slice x group) table.
     """
     spark = df.sparkSession
     n_slices = num_slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -41,9 +44,22 @@ def running_sums(df: DataFrame, by: list[str], order_col: str, value_cols: list[
     offs = {f"_off_{c}": F.coalesce(F.sum(f"_t_{c}").over(w_prev), F.lit(0)) for c in value_cols}
     if with_totals:
         offs.update({f"tot_{c}": F.sum(f"_t_{c}").over(w_all) for c in value_cols})
+    nxt = next_cols or []
+    if nxt:
+        # first row of each (group, slice), handed to the group's previous slice
+        pick = F.max_by if descending else F.min_by
+        firsts = sliced.groupBy(*by, "_slice").agg(
+            pick(F.struct(*[F.col(c) for c in nxt]), F.col(order_col)).alias("_first"))
+        w_s = Window.partitionBy(*by).orderBy("_slice")
+        follow = firsts.select(*by, "_slice", F.lead("_first").over(w_s).alias("_follow"))
+        tot = tot.join(follow, [*by, "_slice"])
+        offs.update({f"_follow_{c}": F.col(f"_follow.{c}") for c in nxt})
+        local = local.withColumns({f"_ln_{c}": F.lead(c).over(Window.partitionBy(*by, "_slice").orderBy(o))
+                                   for c in nxt})
     off = tot.select(*by, "_slice", *[v.alias(k) for k, v in offs.items()])
     j = local.join(off, [*by, "_slice"])
     outs = [(F.col(f"_loc_{c}") + F.col(f"_off_{c}")).alias(f"{out_prefix}{c}") for c in value_cols]
     if with_totals:
         outs += [F.col(f"tot_{c}") for c in value_cols]
+    outs += [F.coalesce(F.col(f"_ln_{c}"), F.col(f"_follow_{c}")).alias(f"next_{c}") for c in nxt]
     return j.select(*df.columns, *outs)

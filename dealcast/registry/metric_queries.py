@@ -69,15 +69,22 @@ def q_ap(spark, sf):
     return E.average_precision(gwp_preds(spark, sf), BY, digits=D)
 
 
-@register("e9_roc_points", GWP_SQL + """
-SELECT brand, model, score AS threshold, round(cum_neg / N, 6) AS fpr, round(cum_pos / P, 6) AS tpr FROM cum""")
+@register("e9_roc_points", GWP_SQL + """,
+pts AS (SELECT *, lead(pos) OVER w AS next_pos, lead(neg) OVER w AS next_neg, row_number() OVER w AS rk
+        FROM cum WINDOW w AS (PARTITION BY brand, model ORDER BY score DESC))
+SELECT brand, model, score AS threshold, round(cum_neg / N, 6) AS fpr, round(cum_pos / P, 6) AS tpr FROM pts
+WHERE rk = 1 OR next_pos IS NULL OR next_pos <> pos OR next_neg <> neg
+UNION ALL SELECT brand, model, score + 1, 0.0, 0.0 FROM pts WHERE rk = 1""")
 def q_roc(spark, sf):
     return E.roc_points(gwp_preds(spark, sf), BY, digits=D)
 
 
-@register("e10_pr_points", GWP_SQL + """
-SELECT brand, model, score AS threshold, round(cum_pos / (cum_pos + cum_neg), 6) AS precision,
-       round(cum_pos / P, 6) AS recall FROM cum""")
+@register("e10_pr_points", GWP_SQL + """,
+fr AS (SELECT brand, model, max(score) AS fs FROM cum WHERE cum_pos = P GROUP BY ALL)
+SELECT c.brand, c.model, c.score AS threshold, round(cum_pos / (cum_pos + cum_neg), 6) AS precision,
+       round(cum_pos / P, 6) AS recall
+FROM cum c LEFT JOIN fr ON c.brand = fr.brand AND c.model = fr.model WHERE fr.fs IS NULL OR c.score >= fr.fs
+UNION ALL SELECT brand, model, CAST(NULL AS DOUBLE), 1.0, 0.0 FROM (SELECT DISTINCT brand, model FROM cum)""")
 def q_pr(spark, sf):
     return E.pr_points(gwp_preds(spark, sf), BY, digits=D)
 

@@ -94,3 +94,50 @@ def test_classification_report(spark):
     assert abs(rep["0"].precision - 4 / 6) < 1e-12 and rep["0"].support == 5
     assert abs(rep["macro avg"].f1 - (rep["0"].f1 + rep["1"].f1) / 2) < 1e-12
     assert abs(rep["accuracy"].f1 - 0.7) < 1e-12 and rep["accuracy"].support == 10 and rep["accuracy"].precision is None
+
+
+def _clf_curve(y, s):
+    order = sorted(range(len(s)), key=lambda i: -s[i])
+    ys, ss = [y[i] for i in order], [s[i] for i in order]
+    idx = [i for i in range(len(ss) - 1) if ss[i] != ss[i + 1]] + [len(ss) - 1]
+    cum = np.cumsum(ys)
+    tps = [int(cum[i]) for i in idx]
+    fps = [i + 1 - t for i, t in zip(idx, tps)]
+    return fps, tps, [ss[i] for i in idx]
+
+
+def _ref_roc(y, s):
+    fps, tps, thr = _clf_curve(y, s)
+    if len(fps) > 2:
+        keep = [0] + [i for i in range(1, len(fps) - 1)
+                      if fps[i + 1] - 2 * fps[i] + fps[i - 1] != 0 or tps[i + 1] - 2 * tps[i] + tps[i - 1] != 0] + [len(fps) - 1]
+        fps, tps, thr = [fps[i] for i in keep], [tps[i] for i in keep], [thr[i] for i in keep]
+    thr = [thr[0] + 1] + thr
+    fps, tps = [0] + fps, [0] + tps
+    return sorted((t, f / fps[-1], p / tps[-1]) for t, f, p in zip(thr, fps, tps))
+
+
+def _ref_pr(y, s):
+    fps, tps, thr = _clf_curve(y, s)
+    last = tps.index(tps[-1])
+    pts = [(thr[i], tps[i] / (tps[i] + fps[i]), tps[i] / tps[-1]) for i in range(last + 1)]
+    return pts + [(None, 1.0, 0.0)]
+
+
+def test_curves_match_reference_semantics(spark):
+    rnd = random.Random(21)
+    for trial in range(3):
+        y = [int(rnd.random() < 0.35) for _ in range(300)]
+        s = [round(rnd.random() * 0.6 + 0.3 * yi, 1 if trial else 2) for yi in y]
+        df = spark.createDataFrame([("m", a, b) for a, b in zip(y, s)], "model string, y int, score double")
+        got = sorted((r.threshold, r.fpr, r.tpr) for r in E.roc_points(df, ["model"]).collect())
+        ref = _ref_roc(y, s)
+        assert len(got) == len(ref)
+        assert all(abs(a[0] - b[0]) < 1e-12 and abs(a[1] - b[1]) < 1e-12 and abs(a[2] - b[2]) < 1e-12 for a, b in zip(got, ref))
+        pr = E.pr_points(df, ["model"]).collect()
+        key = lambda t: (t[0] is None, t[0] if t[0] is not None else 0)
+        got_pr = sorted(((r.threshold, r.precision, r.recall) for r in pr), key=key)
+        ref_pr = sorted(_ref_pr(y, s), key=key)
+        assert len(got_pr) == len(ref_pr)
+        for a, b in zip(got_pr, ref_pr):
+            assert a[0] == b[0] and abs(a[1] - b[1]) < 1e-12 and abs(a[2] - b[2]) < 1e-12
