@@ -64,3 +64,13 @@ def test_conform_keeps_common_columns(spark):
     b = spark.createDataFrame([(4, 5)], "z int, x int")
     a2, b2 = conform(a, b)
     assert a2.columns == ["x", "z"] and b2.columns == ["x", "z"]
+
+
+def test_end_to_end_run(spark):
+    from dealcast.plans.run import run
+    out = tempfile.mkdtemp(prefix="dealcast-run-")
+    run(spark, out, tables="/root/testdata/sf0.001")
+    adv = spark.read.parquet(os.path.join(out, "advice")).collect()
+    assert len(adv) == spark.read.parquet(os.path.join(out, "panel")).select("brand").distinct().count()
+    assert all(r.message for r in adv)
+    assert spark.read.parquet(os.path.join(out, "naive_scores")).count() > 0
