@@ -68,51 +68,86 @@ def _project(df: DataFrame, vec: str, u: list[float]) -> Column:
     return acc
 
 
+def _copy_groups(points: DataFrame, by: list[str], p_id: str, vec: str, need: int) -> DataFrame:
+    """One row per distinct (block, vector): multiplicity, representative id
+    (smallest) and the ``need`` smallest ids of the copies.
+
+    Copies are counted with a partially aggregated group-by. Only the rows of
+    vectors that have copies are ranked, by the distributed prefix count, so a
+    group of copies holding a large share of all rows is never sorted by one
+    task; unique vectors (the usual case) skip the ranking.
+    """
+    from dealcast.operators.ordered import running_sums
+    pts = points.select(*by, F.col(p_id).alias("_id"), F.col(vec).alias("_v"))
+    cnt = cut_lineage(pts.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("mult"), F.min("_id").alias("rep")))
+    single = cnt.where(F.col("mult") == 1).select(*by, F.col("_v").alias("p_vec"), F.col("rep").alias("nn_rep"),
+                                                  F.array("rep").alias("ids"), F.col("mult").cast("long").alias("mult"))
+    multi_keys = cnt.where(F.col("mult") > 1).select(*by, "_v")
+    rows = pts.join(multi_keys, [*by, "_v"], "left_semi").withColumn("_one", F.lit(1))
+    r = running_sums(rows, [*by, "_v"], "_id", ["_one"], out_prefix="_rk", with_totals=True)
+    multi = (r.where(F.col("_rk_one") <= need).groupBy(*by, "_v")
+             .agg(F.array_sort(F.collect_list("_id")).alias("ids"), F.first("tot__one").alias("mult")))
+    multi = multi.select(*by, F.col("_v").alias("p_vec"), F.col("ids")[0].alias("nn_rep"), "ids",
+                         F.col("mult").cast("long").alias("mult"))
+    return single.unionByName(multi)
+
+
 def knn_join(queries: DataFrame, points: DataFrame, k: int, q_id: str, p_id: str, vec: str = "vec",
              by: list[str] | None = None, exclude_self: bool = False, max_rounds: int = 60,
              n_dirs: int = 3, max_cells_per_dir: int = 10) -> DataFrame:
     """k nearest points for every query within the same ``by`` block (exact).
 
-    Every query carries its own search radius h_q. A round joins it with the
-    points in the grid cells its cube (side 2 h_q in the ``n_dirs`` projected
-    coordinates) touches, keeps candidates inside the cube, computes true
-    distances and keeps its k closest. A query is done when at least k
-    candidates lie within h_q. Otherwise its next radius is the distance of its
-    k-th candidate when it has k candidates -- an upper bound of its k-th
-    neighbour distance, so it finishes in the next round -- or a wider radius
-    when it has fewer. Once h_q spans the projected range every point of the
-    block is a candidate and the query is done. Usually two or three rounds;
-    each round is one join plus one small checkpoint.
+    Exact copies are collapsed first: the search runs over distinct vectors,
+    each carrying its multiplicity and its few smallest ids, so a large group of
+    identical points costs one representative, not pairs among its copies.
+
+    Every query vector carries its own search radius h_q. A round joins it with
+    the distinct point vectors in the grid cells its cube (side 2 h_q in the
+    ``n_dirs`` projected coordinates) touches, keeps those inside the cube and
+    computes true distances. It is done when the copies within distance h_q
+    number at least k (+1 when the query itself may be among them); it then
+    keeps every candidate up to the distance where that count is reached.
+    Otherwise its next radius is that distance when it is known -- an upper
+    bound, so it finishes in the next round -- or a wider radius. Once h_q
+    spans the projected range every point of the block is a candidate.
+    Finally each query id takes the copies of its selected vectors, ranked by
+    (distance, id), and keeps k.
 
     Output: (*by, q_id, ``nn_id``, ``rank`` 1..k, ``dist``); distance ties go to
     the smaller point id; ``exclude_self`` drops pairs with equal ids.
     """
     by = by or []
+    need = k + (1 if exclude_self else 0)
     dirs = principal_directions(points, vec, n_dirs)
     m = len(dirs)
     dim = len(dirs[0])
     pc = [f"p_c{i}" for i in range(m)]
     qc = [f"q_c{i}" for i in range(m)]
     bc = [f"_b{i}" for i in range(m)]
-    P = cut_lineage(points.select(*by, F.col(p_id).alias("nn_id"), F.col(vec).alias("p_vec"),
-                                  *[_project(points, vec, u).alias(c) for u, c in zip(dirs, pc)]))
+    groups = _copy_groups(points, by, p_id, vec, need)
+    P = cut_lineage(groups.select(*by, "nn_rep", "p_vec", "mult", "ids",
+                                  *[_project(groups, "p_vec", u).alias(c) for u, c in zip(dirs, pc)]))
     st = P.agg(*[F.min(c).alias(f"lo{i}") for i, c in enumerate(pc)],
                *[F.max(c).alias(f"hi{i}") for i, c in enumerate(pc)]).first()
     spans = [float((st[f"hi{i}"] or 0.0) - (st[f"lo{i}"] or 0.0)) for i in range(m)]
     span = max(spans) if spans else 0.0
+    # distinct query vectors, keyed by their smallest query id (an int key keeps
+    # the per-round windows and joins off the vector arrays); ids map back at the end
+    qids = queries.select(*by, F.col(q_id).alias("_q"), F.col(vec).alias("q_vec"))
+    qv = cut_lineage(qids.groupBy(*by, "q_vec").agg(F.min("_q").alias("q_key")))
+    qmap = qids.join(qv, [*by, "q_vec"]).select(*by, "_q", "q_key")
+    q0 = qv.select(*by, "q_key", "q_vec", *[_project(qv, "q_vec", u).alias(c) for u, c in zip(dirs, qc)])
     # initial radius from each block's own density: ~2k points of the block in the cube
-    q0 = queries.select(*by, F.col(q_id).alias("_q"), F.col(vec).alias("q_vec"),
-                        *[_project(queries, vec, u).alias(c) for u, c in zip(dirs, qc)])
     vol = None
     for c in pc:
         r = F.greatest(F.max(c) - F.min(c), F.lit(1e-12))
         vol = r if vol is None else vol * r
-    h0 = 0.5 * F.pow(vol * (2.0 * k) / F.count(F.lit(1)), 1.0 / m)
+    h0 = 0.5 * F.pow(vol * (2.0 * k) / F.sum("mult"), 1.0 / m)
     if by:
         q0 = q0.join(P.groupBy(*by).agg(h0.alias("_h0")), by, "left")
     else:
         q0 = q0.withColumn("_h0", F.lit(P.agg(h0.alias("h")).first()["h"]))
-    pending = cut_lineage(q0.select(*by, "_q", "q_vec", *qc,
+    pending = cut_lineage(q0.select(*by, "q_key", "q_vec", *qc,
                                     F.greatest(F.coalesce(F.col("_h0"), F.lit(span)), F.lit(1e-12)).alias("_h")))
     a = pending.agg(F.percentile_approx("_h", 0.5).alias("med"), F.max("_h").alias("mx")).first()
     w = max(float(a["med"] or 1e-12), float(a["mx"] or 0.0) / max_cells_per_dir, 1e-12)
@@ -127,35 +162,41 @@ def knn_join(queries: DataFrame, points: DataFrame, k: int, q_id: str, p_id: str
         for a_, b_ in zip(qc, pc):
             cond = F.abs(F.col(a_) - F.col(b_)) <= F.col("_h")
             inside = cond if inside is None else inside & cond
-        c = qb.join(pb, [*by, *bc]).where(inside)
-        if exclude_self:
-            c = c.where(F.col("_q") != F.col("nn_id"))
-        c = c.select(*by, "_q", "_h", "nn_id", F.sqrt(sq_dist("q_vec", "p_vec", dim)).alias("dist"))
-        wq = Window.partitionBy(*by, "_q")
-        top = cut_lineage(c.select("*", F.row_number().over(wq.orderBy("dist", "nn_id")).alias("rank"),
-                                   F.count_if(F.col("dist") <= F.col("_h")).over(wq).alias("_inside"))
-                          .where(F.col("rank") <= k))
-        finished = (F.col("_inside") >= k) | (F.col("_h") >= span)
-        fin = top.where(finished).select(*by, "_q", "nn_id", "rank", "dist")
+        c = (qb.join(pb, [*by, *bc]).where(inside)
+             .select(*by, "q_key", "_h", "nn_rep", "mult", "ids", F.sqrt(sq_dist("q_vec", "p_vec", dim)).alias("dist")))
+        wq = Window.partitionBy(*by, "q_key")
+        cum = F.sum("mult").over(wq.orderBy("dist", "nn_rep").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        c = c.select("*", cum.alias("_cum"))
+        # distance at which the copies reach `need` (null if they never do), and the count within h
+        reach = F.min(F.when(F.col("_cum") >= need, F.col("dist"))).over(wq)
+        within = F.sum(F.when(F.col("dist") <= F.col("_h"), F.col("mult")).otherwise(0)).over(wq)
+        c = cut_lineage(c.select("*", reach.alias("_reach"), within.alias("_within"))
+                        .where(F.col("_reach").isNull() | (F.col("dist") <= F.col("_reach"))))
+        finished = (F.col("_within") >= need) | (F.col("_h") >= span)
+        fin = c.where(finished).select(*by, "q_key", "nn_rep", "ids", "dist")
         done = fin if done is None else done.unionByName(fin)
-        kth = (top.where(~finished).groupBy(*by, "_q")
-               .agg(F.max(F.when(F.col("rank") == k, F.col("dist"))).alias("_kd"),
-                    F.max("rank").alias("_cnt")))
-        gone = top.where(finished).select(*by, "_q").distinct()
-        nxt = pending.join(gone, [*by, "_q"], "left_anti").join(kth, [*by, "_q"], "left")
-        # fewer than k candidates: widen in proportion to what is missing (2x..64x)
-        grow = F.least(F.greatest(F.lit(2.0 * k) / F.greatest(F.coalesce(F.col("_cnt"), F.lit(0)), F.lit(1)),
+        info = c.where(~finished).groupBy(*by, "q_key").agg(F.first("_reach").alias("_kd"),
+                                                              F.max("_cum").alias("_cnt"))
+        gone = c.where(finished).select(*by, "q_key").distinct()
+        nxt = pending.join(gone, [*by, "q_key"], "left_anti").join(info, [*by, "q_key"], "left")
+        grow = F.least(F.greatest(F.lit(2.0 * need) / F.greatest(F.coalesce(F.col("_cnt"), F.lit(0)), F.lit(1)),
                                   F.lit(2.0)), F.lit(64.0))
         # a query whose cube already spans everything and has no candidate has no neighbours
         nxt = nxt.where(F.col("_h") < span).select(
-            *by, "_q", "q_vec", *qc, F.coalesce(F.col("_kd"), F.col("_h") * grow).alias("_h"))
+            *by, "q_key", "q_vec", *qc, F.coalesce(F.col("_kd"), F.col("_h") * grow).alias("_h"))
         pending = cut_lineage(nxt)
         agg = pending.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("_h", 0.5).alias("med"),
                           F.max("_h").alias("mx")).first()
         if not agg["n"]:
             break
         w = max(float(agg["med"]), float(agg["mx"]) / max_cells_per_dir, 1e-12)
-    return done.select(*by, F.col("_q").alias(q_id), "nn_id", F.col("rank").cast("int").alias("rank"), "dist")
+    # expand to query ids: the copies of every selected vector, ranked by (distance, id)
+    sel = qmap.join(done, [*by, "q_key"]).select(*by, "_q", "dist", F.explode("ids").alias("nn_id"))
+    if exclude_self:
+        sel = sel.where(F.col("_q") != F.col("nn_id"))
+    rk = F.row_number().over(Window.partitionBy(*by, "_q").orderBy("dist", "nn_id"))
+    out = sel.select("*", rk.alias("rank")).where(F.col("rank") <= k)
+    return out.select(*by, F.col("_q").alias(q_id), "nn_id", F.col("rank").cast("int").alias("rank"), "dist")
 
 
 def knn_classify(queries: DataFrame, points: DataFrame, k: int, id_col: str, label: str, vec: str = "vec",

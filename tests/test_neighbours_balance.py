@@ -80,3 +80,20 @@ def test_knn_exact_on_tied_integer_grid(spark):
     for i, _, v in rows:
         cand = sorted((_d(v, w), j) for j, _, w in rows if j != i)[:5]
         assert [j for _, j in sorted(res[i])] == [j for _, j in cand]
+
+
+def test_knn_exact_with_hot_copy_group(spark):
+    rnd = random.Random(17)
+    rows = [(i, 0, [1.0, 2.0, 3.0]) for i in range(300)]                       # one vector, 300 copies
+    rows += [(300 + i, 0, [rnd.random() * 4, rnd.random() * 4, rnd.random() * 4]) for i in range(100)]
+    rows += [(400 + i, 0, [1.0, 2.0, 3.5]) for i in range(20)]                  # a second copy group nearby
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "id int, g int, vec array<double>")
+    got = knn_join(df, df, 5, "id", "id", "vec", by=["g"], exclude_self=True).collect()
+    res = {}
+    for r in got:
+        res.setdefault(r.id, []).append((r.rank, r.nn_id))
+    assert len(res) == len(rows)
+    for i, _, v in rows:
+        cand = sorted((_d(v, w), j) for j, _, w in rows if j != i)[:5]
+        assert [j for _, j in sorted(res[i])] == [j for _, j in cand], i
