@@ -33,16 +33,23 @@ def with_class_weight(df: DataFrame, label: str, by: list[str] | None = None, ou
     return df.join(w, [*(by or []), label])
 
 
-def smote(df: DataFrame, id_col: str, label: str, vec: str = "vec", k: int = 5, seed: int = 42) -> DataFrame:
+def smote(df: DataFrame, id_col: str, label: str, vec: str = "vec", k: int = 5, seed: int = 42,
+          chunk: int = 10_000) -> DataFrame:
     """SMOTE: synthesise minority rows until every class has the majority's count (B1).
 
     * the need of class c is n_max - n_c; row r (1-based rank by id inside its
       class, from a distributed prefix count) makes q or q + 1 samples so the
       class total is exact (q, rem = divmod(need, n_c); rank <= rem gets one more)
-    * sample s of row i takes neighbour number 1 + floor(5 * u1) of its k nearest
-      same-class neighbours (exact, ``knn_join`` per class) and a gap u2 in [0, 1):
-      x_new = x + u2 * (x_nn - x); u1, u2 are md5 draws of (seed, id, s), so the
-      result does not depend on partitioning or retries.
+    * sample s of row i takes neighbour number 1 + floor(n_nn * u1) of its k
+      nearest same-class neighbours (exact, ``knn_join`` per class) and a gap u2
+      in [0, 1): x_new = x + u2 * (x_nn - x); u1, u2 are md5 draws of (seed, id,
+      s), so the result does not depend on partitioning or retries.
+
+    Each source row first gets its vector and its k neighbours' vectors (one row
+    per source point); its quota is then split into chunks of ``chunk`` samples
+    that are hash-spread over tasks before the samples are generated from those
+    arrays. A tiny class that must grow a million-fold is therefore generated
+    by many tasks, with no join after the expansion.
 
     Output: synthetic rows (label, source id, s, neighbour id, gap, vec).
     """
@@ -53,18 +60,24 @@ def smote(df: DataFrame, id_col: str, label: str, vec: str = "vec", k: int = 5,
                           out_prefix="rank_", with_totals=False)
     alloc = ranked.join(need, label).select(
         id_col, label,
-        (F.floor(F.col("need") / F.col("n_c")) + F.when(F.col("rank__one") <= F.pmod(F.col("need"), F.col("n_c")), 1).otherwise(0)).cast("int").alias("m_i"))
-    reps = alloc.where(F.col("m_i") > 0).select(id_col, label, F.explode(F.sequence(F.lit(1), F.col("m_i"))).alias("s"))
+        (F.floor(F.col("need") / F.col("n_c")) + F.when(F.col("rank__one") <= F.pmod(F.col("need"), F.col("n_c")), 1).otherwise(0)).cast("long").alias("m_i"))
+    alloc = alloc.where(F.col("m_i") > 0)
     nn = knn_join(df.select(id_col, label, vec), df.select(id_col, label, vec), k, id_col, id_col, vec,
                   by=[label], exclude_self=True)
-    n_nn = nn.groupBy(id_col).agg(F.max("rank").alias("n_nn"))
-    pick = reps.join(n_nn, id_col).select(
-        id_col, label, "s",
-        (F.floor(uniform_draw(F.lit(seed), id_col, "s", F.lit("nn")) * F.col("n_nn")) + 1).cast("int").alias("rank"),
-        uniform_draw(F.lit(seed), id_col, "s", F.lit("gap")).alias("gap"))
-    j = pick.join(nn.select(id_col, "rank", "nn_id"), [id_col, "rank"])
-    src = df.select(id_col, F.col(vec).alias("_x"))
-    nbr = df.select(F.col(id_col).alias("nn_id"), F.col(vec).alias("_n"))
-    out = j.join(src, id_col).join(nbr, "nn_id")
-    new = F.zip_with("_x", "_n", lambda x, y: x.cast("double") + F.col("gap") * (y.cast("double") - x.cast("double")))
-    return out.select(label, id_col, "s", "nn_id", "gap", new.alias(vec))
+    vecs = df.select(F.col(id_col).alias("nn_id"), F.col(vec).alias("_n"))
+    nbrs = (nn.join(vecs, "nn_id").groupBy(id_col)
+            .agg(F.array_sort(F.collect_list(F.struct("rank", "nn_id", "_n"))).alias("_nbrs")))  # k per id
+    src = alloc.join(df.select(id_col, F.col(vec).alias("_x")), id_col).join(nbrs, id_col)
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = (src.select("*", F.explode(F.sequence(F.lit(0), F.floor((F.col("m_i") - 1) / chunk))).alias("_chunk"))
+              .repartition(n_parts, id_col, "_chunk"))
+    reps = chunks.select(
+        "*", F.explode(F.sequence(F.col("_chunk") * chunk + 1,
+                                  F.least(F.col("m_i"), (F.col("_chunk") + 1) * chunk))).alias("s"))
+    n_nn = F.size("_nbrs")
+    pick = F.element_at("_nbrs", (F.floor(uniform_draw(F.lit(seed), id_col, "s", F.lit("nn")) * n_nn) + 1).cast("int"))
+    reps = reps.select(label, id_col, F.col("s").cast("int").alias("s"), "_x", pick.alias("_p"),
+                       uniform_draw(F.lit(seed), id_col, "s", F.lit("gap")).alias("gap"))
+    new = F.zip_with("_x", F.col("_p._n"),
+                     lambda x, y: x.cast("double") + F.col("gap") * (y.cast("double") - x.cast("double")))
+    return reps.select(label, id_col, "s", F.col("_p.nn_id").alias("nn_id"), "gap", new.alias(vec))

@@ -97,3 +97,17 @@ def test_knn_exact_with_hot_copy_group(spark):
     for i, _, v in rows:
         cand = sorted((_d(v, w), j) for j, _, w in rows if j != i)[:5]
         assert [j for _, j in sorted(res[i])] == [j for _, j in cand], i
+
+
+def test_smote_chunked_generation_for_tiny_class(spark):
+    rnd = random.Random(8)
+    rows = [(i, 0, [rnd.random(), rnd.random()]) for i in range(400)] + [(400 + i, 1, [5 + i, 5.0]) for i in range(3)]
+    df = spark.createDataFrame(rows, "id int, label int, vec array<double>")
+    syn = smote(df, "id", "label", "vec", k=5, seed=1, chunk=10)
+    got = syn.collect()
+    assert len(got) == 397 and len({(r.id, r.s) for r in got}) == 397
+    pts = {i: v for i, _, v in rows}
+    for r in got:
+        assert r.label == 1 and r.nn_id in (400, 401, 402) and r.nn_id != r.id
+        exp = [x + r.gap * (y - x) for x, y in zip(pts[r.id], pts[r.nn_id])]
+        assert all(abs(a - b) < 1e-12 for a, b in zip(r.vec, exp))
