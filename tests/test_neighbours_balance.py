@@ -101,7 +101,7 @@ def test_knn_exact_with_hot_copy_group(spark):
 
 def test_smote_chunked_generation_for_tiny_class(spark):
     rnd = random.Random(8)
-    rows = [(i, 0, [rnd.random(), rnd.random()]) for i in range(400)] + [(400 + i, 1, [5 + i, 5.0]) for i in range(3)]
+    rows = [(i, 0, [rnd.random(), rnd.random()]) for i in range(400)] + [(400 + i, 1, [5.0 + i, 5.0]) for i in range(3)]
     df = spark.createDataFrame(rows, "id int, label int, vec array<double>")
     syn = smote(df, "id", "label", "vec", k=5, seed=1, chunk=10)
     got = syn.collect()
