@@ -83,6 +83,8 @@ def _copy_groups(points: DataFrame, by: list[str], p_id: str, vec: str, need: in
     single = cnt.where(F.col("mult") == 1).select(*by, F.col("_v").alias("p_vec"), F.col("rep").alias("nn_rep"),
                                                   F.array("rep").alias("ids"), F.col("mult").cast("long").alias("mult"))
     multi_keys = cnt.where(F.col("mult") > 1).select(*by, "_v")
+    if multi_keys.limit(1).count() == 0:  # no copies at all (one cheap job on the checkpoint)
+        return single
     rows = pts.join(multi_keys, [*by, "_v"], "left_semi").withColumn("_one", F.lit(1))
     r = running_sums(rows, [*by, "_v"], "_id", ["_one"], out_prefix="_rk", with_totals=True)
     multi = (r.where(F.col("_rk_one") <= need).groupBy(*by, "_v")
