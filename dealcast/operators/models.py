@@ -361,12 +361,14 @@ def rf_param_space(light: bool = False) -> dict:
 
 
 def random_search_classifier(folds: DataFrame, n_iter: int = 100, k: int = 10, seed: int = 42,
-                             space: dict | None = None, parallelism: int = 4):
+                             space: dict | None = None, parallelism: int = 4, scoring: str = "accuracy"):
     """Seeded random search over random-forest parameters with k-fold CV on a
     fold column (M22), then the best model refitted on all rows (M23).
 
-    Returns (best_model, score table of (draw, params, mean_auc)).
+    ``scoring``: "accuracy" (a classifier's default score, as in the reference's
+    forest search) or "roc_auc". Returns (best_model, table of (draw, params, mean_score)).
     """
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
     from pyspark.ml.classification import RandomForestClassifier as RFC
     from pyspark.ml.tuning import CrossValidator
     space = space or rf_param_space(light=True)
@@ -379,31 +381,33 @@ def random_search_classifier(folds: DataFrame, n_iter: int = 100, k: int = 10, s
                      rf.minInstancesPerNode: rng.choice(space["minInstancesPerNode"]),
                      rf.featureSubsetStrategy: rng.choice(space["featureSubsetStrategy"]),
                      rf.bootstrap: rng.choice(space["bootstrap"])})
-    cv = CrossValidator(estimator=rf, estimatorParamMaps=maps, evaluator=exact_auc_evaluator(),
+    ev = exact_auc_evaluator() if scoring == "roc_auc" else MulticlassClassificationEvaluator(metricName="accuracy")
+    cv = CrossValidator(estimator=rf, estimatorParamMaps=maps, evaluator=ev,
                         foldCol="fold", parallelism=parallelism, seed=seed)
     model = cv.fit(cut_lineage(folds))
     spark = folds.sparkSession
     table = spark.createDataFrame(
         [(i, str({p.name: v for p, v in m.items()}), float(a)) for i, (m, a) in enumerate(zip(maps, model.avgMetrics))],
-        "draw int, params string, mean_auc double")
+        "draw int, params string, mean_score double")
     return model.bestModel, table
 
 
 def walk_forward_search(frame: DataFrame, estimator_maps: list, n_splits_col, pos_col: str = "pos",
-                        n_col: str = "n_rows", parallelism: int = 4):
+                        n_col: str = "n_rows", parallelism: int = 4, scoring: str = "r2"):
     """Walk-forward model selection for regression (M22 regression branch).
 
     CrossValidator trains on all other folds; an expanding window must only
     train on the past, so the loop is explicit: for each parameter map and fold,
-    fit on the fold's train rows and score RMSE on its test rows. The
-    (candidate, fold) fits are independent Spark jobs submitted from
-    ``parallelism`` driver threads, as CrossValidator does.
-    Returns ((best index, best mean RMSE), [(index, mean RMSE), ...]).
+    fit on the fold's train rows and score its test rows. ``scoring``: "r2" (a
+    regressor's default score, as in the reference's search; higher is better)
+    or "rmse" (lower is better). The (candidate, fold) fits are independent
+    Spark jobs submitted from ``parallelism`` driver threads, as CrossValidator
+    does. Returns ((best index, best mean score), [(index, mean score), ...]).
     """
     from concurrent.futures import ThreadPoolExecutor
     from pyspark.ml.evaluation import RegressionEvaluator
     from dealcast.operators.splits import walk_forward_folds
-    ev = RegressionEvaluator(metricName="rmse")
+    ev = RegressionEvaluator(metricName=scoring)
     roles = cut_lineage(walk_forward_folds(frame, n_splits_col, pos_col=pos_col, n_col=n_col))
     n_folds = (roles.agg(F.max("fold")).first()[0] or 0) + 1
 
@@ -421,7 +425,7 @@ def walk_forward_search(frame: DataFrame, estimator_maps: list, n_splits_col, po
     for i in range(len(estimator_maps)):
         vals = [v for j, v in scores if j == i]
         results.append((i, sum(vals) / len(vals)))
-    best = min(results, key=lambda r: r[1])
+    best = (max if scoring == "r2" else min)(results, key=lambda r: r[1])
     return best, results
 
 

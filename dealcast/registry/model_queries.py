@@ -189,10 +189,10 @@ def q_wf_search(spark, sf):
     rf = RandomForestRegressor(seed=7)
     cands = [(dt, {dt.maxDepth: 3}), (dt, {dt.maxDepth: 6}), (rf, {rf.numTrees: 10, rf.maxDepth: 5})]
     k = F.when(F.col("n_rows") > 350, F.lit(20)).otherwise(F.lit(5))
-    best, results = M.walk_forward_search(vf, cands, k)
+    best, results = M.walk_forward_search(vf, cands, k, scoring="r2")
     names = ["decision_tree_depth3", "decision_tree_depth6", "random_forest_10x5"]
     rows = [(names[i], float(score), i == best[0]) for i, score in results]
-    return spark.createDataFrame(rows, "candidate string, mean_rmse double, best boolean")
+    return spark.createDataFrame(rows, "candidate string, mean_r2 double, best boolean")
 
 
 @register("m23_r7_model_advice")
