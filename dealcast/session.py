@@ -67,7 +67,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` to the reliable checkpoint folder and return it.
 
     Used between iterations of loops (boosting rounds, searches) so a lost executor
-    recomputes from the checkpoint, not from the raw scan.
+    recomputes from the checkpoint, not from the raw scan. The input is persisted
+    for the duration of the checkpoint: an eager checkpoint runs one job to
+    materialise and another to write, and without the cache the second would
+    recompute the whole input. The cache is released once the files are written.
     """
+    from pyspark import StorageLevel
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist(blocking=False)
