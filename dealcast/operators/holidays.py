@@ -107,6 +107,21 @@ HOLIDAY_YEARS = (1900, 2100)
 MAX_BROADCAST_DATES = 400_000
 
 
+_NEAREST: dict = {}
+
+
+def _nearest_table(spark: SparkSession, y0: int, y1: int, max_width: int, observed: bool) -> DataFrame:
+    """The nearest-holiday table for a year range, built once per application and
+    kept as a checkpoint in the reliable folder (a small dimension table: lineage
+    cut, survives executor loss, shared by every query of the session)."""
+    from dealcast.session import cut_lineage
+    key = (spark.sparkContext.applicationId, id(spark), y0, y1, max_width, observed)
+    if key not in _NEAREST:
+        yrs = spark.range(y0, y1 + 1).select(F.col("id").cast("int").alias("year"))
+        _NEAREST[key] = cut_lineage(nearest_holiday_by_date(yrs, max_width, observed))
+    return _NEAREST[key]
+
+
 def add_holiday_windows(panel: DataFrame, widths: dict = EVENT_WIDTHS, observed: bool = False,
                         years: tuple[int, int] = HOLIDAY_YEARS, date_col: str = "posted_date") -> DataFrame:
     """Name of the nearest holiday when it is closer than each width, else 'Normal' (J2).
@@ -120,8 +135,7 @@ def add_holiday_windows(panel: DataFrame, widths: dict = EVENT_WIDTHS, observed:
     """
     spark = panel.sparkSession
     y0, y1 = years[0] - 1, years[1] + 1
-    yrs = spark.range(y0, y1 + 1).select(F.col("id").cast("int").alias("year"))
-    near = nearest_holiday_by_date(yrs, max(widths.values()), observed).withColumnRenamed("posted_date", date_col)
+    near = _nearest_table(spark, y0, y1, max(widths.values()), observed).withColumnRenamed("posted_date", date_col)
     n_dates_bound = 366 * (y1 - y0 + 1)
     if n_dates_bound <= MAX_BROADCAST_DATES:
         near = F.broadcast(near)
