@@ -15,6 +15,8 @@ def class_balance(df: DataFrame, label: str, by: list[str] | None = None) -> Dat
     aggregated counts (one row per class), not on the data."""
     by = by or []
     c = df.groupBy(*by, label).agg(F.count(F.lit(1)).alias("n"))
+    if not by:
+        return c.withColumn("share", F.col("n") / F.lit(c.agg(F.sum("n")).first()[0]))
     return c.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(*by)))
 
 
@@ -22,6 +24,9 @@ def class_weights(df: DataFrame, label: str, by: list[str] | None = None) -> Dat
     """Balanced class weight n / (k * n_c) per class."""
     by = by or []
     c = df.groupBy(*by, label).agg(F.count(F.lit(1)).alias("n_c"))
+    if not by:
+        t = c.agg(F.sum("n_c").alias("n"), F.count(F.lit(1)).alias("k")).first()
+        return c.withColumn("weight", F.lit(float(t["n"])) / (F.lit(t["k"]) * F.col("n_c")))
     w = Window.partitionBy(*by)
     return c.withColumn("weight", F.sum("n_c").over(w) / (F.count(F.lit(1)).over(w) * F.col("n_c")))
 
@@ -54,8 +59,8 @@ def smote(df: DataFrame, id_col: str, label: str, vec: str = "vec", k: int = 5,
     Output: synthetic rows (label, source id, s, neighbour id, gap, vec).
     """
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_c"))
-    # one row per class: the global window runs on the class-count table only
-    need = counts.select(label, "n_c", (F.max("n_c").over(Window.partitionBy()) - F.col("n_c")).alias("need"))
+    n_max = counts.agg(F.max("n_c")).first()[0] or 0  # one scalar
+    need = counts.select(label, "n_c", (F.lit(n_max) - F.col("n_c")).alias("need"))
     ranked = running_sums(df.select(id_col, label).withColumn("_one", F.lit(1)), [label], id_col, ["_one"],
                           out_prefix="rank_", with_totals=False)
     alloc = ranked.join(need, label).select(

@@ -66,15 +66,13 @@ def feature_names(sources: dict = ONE_HOT_SOURCES) -> list[str]:
 
 
 def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    """Sorted distinct values -> 0..k-1 (X3). The codes are ranked over the
-    dictionary of distinct values (one row per category, e.g. 14 event names),
-    never over the data, and joined back."""
+    """Sorted distinct values -> 0..k-1 (X3), with MLlib's StringIndexer in
+    alphabetical order (the category dictionary is fitted once, then applied
+    row by row)."""
+    from pyspark.ml.feature import StringIndexer
     out = out or f"{col}_code"
-    d = df.select(col).distinct()
-    # code = number of distinct values strictly smaller
-    from pyspark.sql import Window  # noqa: WPS433
-    codes = d.select(col, (F.rank().over(Window.orderBy(col)) - 1).alias(out))
-    return df.join(codes, col, "left")
+    ix = StringIndexer(inputCol=col, outputCol="_ix", stringOrderType="alphabetAsc", handleInvalid="keep").fit(df)
+    return ix.transform(df).withColumn(out, F.col("_ix").cast("int")).drop("_ix")
 
 
 def conform(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
