@@ -115,3 +115,73 @@ def op5(spark, sf):
     from dealcast.llm.linedup import dedup_lines
     got = dedup_lines(table(spark, sf, "documents").select("doc_id", "text"))
     return got.select("doc.doc_id", "n_lines", "n_deleted", F.sha2(F.coalesce("doc.text", F.lit("")), 256).alias("text_sha256"))
+
+
+OP7_SQL = """
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda e: e IS NOT NULL AND isfinite(e)))
+    AND list_bool_or(list_transform(embedding, lambda e: e <> 0))),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_reduce(list_prepend(CAST(0 AS DOUBLE), list_transform(list_zip(q.x, c.x), lambda z: z[1] * z[2])), lambda a, b: a + b) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 20
+"""
+
+
+@op("op7_nearest_neighbours", OP7_SQL)
+def op7(spark, sf):
+    from pyspark.sql import functions as F
+
+    from dealcast.llm.neighbours import nearest
+    e = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return nearest(e, e.where(F.col("vec_id") % 20 == 0))
+
+
+def _op1_sql() -> str:
+    from dealcast.llm.licenses import COVER, templates
+    listed = lambda xs: "[" + ", ".join(f"'{x}'" for x in xs) + "]"
+    rows = ",\n    ".join(f"({k}, '{t['label']}', {listed(t['words'])}, {listed(t['key'])}, {t['key_at']}, {str(t['base']).lower()})" for k, t in enumerate(templates()))
+    return rf"""
+WITH templates(t, label, words, key, key_at, base) AS (VALUES
+    {rows}),
+d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+places AS (SELECT r, unnest(range(len(w))) AS p FROM d WHERE len(w) > 0),
+hits AS (SELECT d.r, t.label, t.base, p.p, t.words, t.key_at, d.w FROM places p JOIN d USING (r) JOIN templates t
+  ON d.w[p.p + 1] = t.key[1] AND list_slice(d.w, p.p + 1, p.p + len(t.key)) = t.key),
+scored AS (SELECT r, label, base, p,
+    len(list_filter(range(len(words)), lambda k: p - key_at + k >= 0 AND coalesce(w[p - key_at + k + 1] = words[k + 1], false))) / len(words) AS cover FROM hits),
+found AS (SELECT r, count(*) FILTER (WHERE base) AS n_base, min(p) FILTER (WHERE base) AS first_word, max(p) FILTER (WHERE base) AS last_word,
+    array_to_string(list_sort(list(DISTINCT label) FILTER (WHERE base)), ',') AS base_labels,
+    array_to_string(list_sort(list(DISTINCT label)), ',') AS labels, max(cover) AS score FROM scored WHERE cover >= {COVER} GROUP BY r)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(f.n_base, 0) AS n_base, f.first_word, f.last_word,
+  coalesce(f.base_labels, '') AS base_labels, coalesce(f.labels, '') AS labels, round(coalesce(f.score, 0.0), 6) AS score
+FROM d LEFT JOIN found f USING (r)
+"""
+
+
+@op("op1_license_scan", _op1_sql())
+def op1(spark, sf):
+    from pyspark.sql import functions as F
+
+    from dealcast.llm.licenses import scan
+    got = scan(table(spark, sf, "documents").select("doc_id", "text"))
+    base = F.filter("matches", lambda m: m["base"])
+    starts = F.transform(base, lambda m: m["start"])
+    names = lambda ms: F.array_join(F.array_sort(F.array_distinct(F.transform(ms, lambda m: m["label"]))), ",")
+    score = F.coalesce(F.array_max(F.transform("matches", lambda m: m["cover"])), F.lit(0.0))
+    return got.select("doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
+                      F.array_max(starts).alias("last_word"), names(base).alias("base_labels"), names(F.col("matches")).alias("labels"),
+                      F.round(score, 6).alias("score"))
+
+
+@op("op9_pii")
+def op9(spark, sf):
+    from pyspark.sql import functions as F
+
+    from dealcast.llm.pii import KINDS, find, joined
+    got = find(table(spark, sf, "documents").select("doc_id", "text"))
+    def of(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return got.select("doc_id", *map(of, KINDS), F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
