@@ -68,19 +68,18 @@ def row_id(name: str = "doc_id"):
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, learn, bound: int) -> list[tuple[str, int]]:
-    """Texts and labels of at most ``bound`` rows of each class, chosen by a hash of doc_id.
+    """Texts and labels of at most ``bound`` labelled rows, chosen by a hash of doc_id.
 
     ``learn`` is the predicate (on doc_id) of the rows that may be learned from. Only ids
-    pass the sort that chooses them; the bounded id list is then joined to the texts.
+    pass the top-k that chooses them; the bounded id list is then joined to the texts. A
+    doc_id with several labels or texts gives a row for each.
     """
-    spark = documents.sparkSession
     ids = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).where(learn) \
-        .select("doc_id", F.col(label).alias("y")).distinct()
-    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("y")]
-    chosen = [r for y in (0, 1) for r in ids.where(F.col("y") == y).orderBy(*order).limit(bound).collect()]
+        .select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
+    chosen = ids.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(bound).collect()
     if not chosen:
         return []
-    picked = spark.createDataFrame([(r["doc_id"], int(r["y"])) for r in chosen], "doc_id long, y int")
-    rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")) \
+    picked = documents.sparkSession.createDataFrame(sorted({tuple(r) for r in chosen}), "doc_id long, y int")
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")) \
         .join(F.broadcast(picked), "doc_id").collect()
     return [(r["text"], r["y"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["text"], r["y"]))]

@@ -185,3 +185,15 @@ def op9(spark, sf):
         return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     return got.select("doc_id", *map(of, KINDS), F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+@op("op4_toxicity")
+def op4(spark, sf):
+    from dealcast.llm.toxicity import toxicity
+    return toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@op("op10_quality_classifier")
+def op10(spark, sf):
+    from dealcast.llm.knnvote import quality
+    return quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
