@@ -7,8 +7,11 @@
    (the one with most neighbours over all its buckets) is its leader. Leader-member pairs
    are compared by signature, one batch of hashes after the other: with ``m`` of ``k`` equal
    under a uniform prior, the posterior of the similarity is Beta(1+m, 1+k-m), and a pair is
-   dropped when the threshold's posterior probability falls under ``MISS``. Survivors are
-   verified on their full shingle sets; confirmed links give components.
+   dropped when the threshold's posterior probability falls under ``MISS``. An odd sketch (the
+   parities of the elements in each of ``PARITIES`` cells) then bounds the pair: differing
+   parities never outnumber differing elements, so a pair with more of them than the
+   threshold allows is dropped without error. Survivors are verified on their full shingle
+   sets; confirmed links give components.
 3. Members that are still in different components are compared with each other inside their
    buckets, in blocks of bounded size, by the same batches and the same exact check. A pair
    is compared only in the first band that it shares, and never with its own component,
@@ -42,6 +45,8 @@ THRESHOLD = 85
 #: Members of a bucket in one block.
 BLOCK = 256
 HASHES = BANDS * ROWS
+#: Cells of an odd sketch.
+PARITIES = 2048
 MEMO_WORDS = 300_000
 
 
@@ -66,7 +71,7 @@ def _mixed(x):
     return x ^ (x >> np.uint64(33))
 
 
-def _odd(n: int, seed: int):
+def _odd_numbers(n: int, seed: int):
     import numpy as np
     return np.random.default_rng(seed).integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -96,12 +101,19 @@ def signature(hashes):
     return (least >> np.uint64(32)).astype("<u4")
 
 
+def odd_sketch(hashes):
+    """Parity of the number of elements in each cell, packed."""
+    import numpy as np
+    cells = np.bincount((hashes & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES)
+    return np.packbits((cells & 1).astype(np.uint8))
+
+
 def _setup():
     """Constants of the workers, made once per process (numpy stays inside tasks)."""
     global _FACTORS, _FUNCTIONS
     if "_FACTORS" not in globals():
-        _FACTORS = {w: _odd(w, 100 + w) for w in range(1, WORDS + 1)}
-        _FUNCTIONS = _odd(HASHES, 7)
+        _FACTORS = {w: _odd_numbers(w, 100 + w) for w in range(1, WORDS + 1)}
+        _FUNCTIONS = _odd_numbers(HASHES, 7)
 
 
 def _key(words: list[bytes]) -> bytes:
@@ -110,24 +122,25 @@ def _key(words: list[bytes]) -> bytes:
 
 
 def prints(docs: DataFrame) -> DataFrame:
-    """doc_id, key, n (size of the shingle set) and sig of every document."""
+    """doc_id, key, n (size of the shingle set), sig and odd (its sketches) of every document."""
     def run(batches):
         import pyarrow as pa
         _setup()
         known = WordHashes()
         for b in batches:
-            keys, sizes, sigs = [], [], []
+            keys, sizes, sigs, odd = [], [], [], []
             for t in b.column("text").to_pylist():
                 words = (t or b"").lower().split()
                 s = shingles(words, known)
                 keys.append(_key(words) if words else None)
                 sizes.append(len(s))
                 sigs.append(signature(s).tobytes() if words else None)
+                odd.append(odd_sketch(s).tobytes() if words else None)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
-                                              pa.array(sigs, pa.binary())], ["doc_id", "key", "n", "sig"])
+                                              pa.array(sigs, pa.binary()), pa.array(odd, pa.binary())], ["doc_id", "key", "n", "sig", "odd"])
 
     return docs.select("doc_id", F.col("text").cast("binary").alias("text")) \
-        .mapInArrow(run, "doc_id long, key binary, n long, sig binary")
+        .mapInArrow(run, "doc_id long, key binary, n long, sig binary, odd binary")
 
 
 def sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -178,9 +191,20 @@ def surviving(left, right, least: list[int]):
     return alive
 
 
-def _matrix(column):
+def possible(left, right, n_left, n_right, threshold: int):
+    """Which pairs of odd sketches differ in no more places than the threshold allows the sets to."""
     import numpy as np
-    return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(-1, HASHES)
+    differ = np.bitwise_count(left ^ right).sum(axis=1, dtype=np.int64)
+    return differ * (100 + threshold) <= (n_left + n_right) * (100 - threshold)
+
+
+def _matrix(column, kind="<u4", width=HASHES):
+    import numpy as np
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, width)
+
+
+def _odd(column):
+    return _matrix(column, "<u8", PARITIES // 64)
 
 
 def verified(pairs: DataFrame, classes: DataFrame, full: DataFrame, threshold: int) -> DataFrame:
@@ -191,8 +215,10 @@ def verified(pairs: DataFrame, classes: DataFrame, full: DataFrame, threshold: i
         import pyarrow as pa
         for b in batches:
             if b.num_rows:
-                on = pa.array(surviving(_matrix(b.column("sig_a")), _matrix(b.column("sig_b")), least))
-                yield b.select(["a", "b"]).take(on)
+                on = surviving(_matrix(b.column("sig_a")), _matrix(b.column("sig_b")), least)
+                n_a, n_b = b.column("n_a").to_numpy(), b.column("n_b").to_numpy()
+                on = on[possible(_odd(b.column("odd_a"))[on], _odd(b.column("odd_b"))[on], n_a[on], n_b[on], threshold)]
+                yield b.select(["a", "b"]).take(pa.array(on))
 
     def exactly(batches):
         import numpy as np
@@ -206,12 +232,11 @@ def verified(pairs: DataFrame, classes: DataFrame, full: DataFrame, threshold: i
                     on.append(k)
             yield b.select(["a", "b"]).take(pa.array(on, pa.int64()))
 
-    def side(table, value, name):
-        return table.select(F.col("key").alias(name), F.col(value).alias(f"{value}_{name}"), F.col("n").alias(f"n_{name}"))
+    def side(name):
+        return classes.select(F.col("key").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in ("sig", "odd", "n")))
 
     near_size = (100 * F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b"))
-    likely = pairs.join(side(classes, "sig", "a"), "a").join(side(classes, "sig", "b"), "b").where(near_size) \
-        .select("a", "b", "sig_a", "sig_b").mapInArrow(batches_of, "a binary, b binary")
+    likely = pairs.join(side("a"), "a").join(side("b"), "b").where(near_size).mapInArrow(batches_of, "a binary, b binary")
     likely = written(likely, "near-likely")
     named = lambda n: full.select(F.col("key").alias(n), F.col("shingles").alias(f"set_{n}"))
     return likely.join(named("a"), "a").join(named("b"), "b").select("a", "b", "set_a", "set_b") \
@@ -221,7 +246,7 @@ def verified(pairs: DataFrame, classes: DataFrame, full: DataFrame, threshold: i
 def blocked_pairs(members: DataFrame, threshold: int) -> DataFrame:
     """Likely pairs of different components inside buckets, compared block by block.
 
-    members: band, h, key, sig, n, root, size (members of the bucket). A member goes to every
+    members: band, h, key, sig, odd, n, root, size (members of the bucket). A member goes to every
     pair of blocks that its own block takes part in, so no group exceeds two blocks.
     """
     least = least_matches(threshold)
@@ -231,7 +256,7 @@ def blocked_pairs(members: DataFrame, threshold: int) -> DataFrame:
         import pyarrow as pa
         t = table.combine_chunks()
         band, i, j = t.column("band")[0].as_py(), t.column("i")[0].as_py(), t.column("j")[0].as_py()
-        sig, n = _matrix(t.column("sig")), t.column("n").to_numpy()
+        sig, odd, n = _matrix(t.column("sig")), _odd(t.column("odd")), t.column("n").to_numpy()
         raw = t.column("key").to_pylist()
         root = np.unique(np.array([r.hex() for r in t.column("root").to_pylist()]), return_inverse=True)[1]
         block = t.column("block").to_numpy()
@@ -249,12 +274,14 @@ def blocked_pairs(members: DataFrame, threshold: int) -> DataFrame:
             x, y = x[first], y[first]
         on = surviving(sig[x], sig[y], least)
         x, y = x[on], y[on]
+        on = possible(odd[x], odd[y], n[x], n[y], threshold)
+        x, y = x[on], y[on]
         return pa.table({"a": pa.array([raw[k] for k in x], pa.binary()), "b": pa.array([raw[k] for k in y], pa.binary())})
 
     blocks = F.greatest(F.ceil(F.col("size") / BLOCK).cast("int"), F.lit(1))
     own = F.pmod(F.xxhash64("key", F.lit(11)), blocks).cast("int")
     placed = members.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    placed = placed.select("band", "h", "key", "sig", "n", "root", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    placed = placed.select("band", "h", "key", "sig", "odd", "n", "root", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     return placed.groupBy("band", "h", "i", "j").applyInArrow(compare, "a binary, b binary")
 
 
@@ -263,7 +290,7 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     workers_ready(docs.sparkSession)
     seen = written(prints(docs), "near-prints")
     classes = written(seen.where(F.col("key").isNotNull()).groupBy("key").agg(
-        F.min("doc_id").alias("first_doc"), F.max("n").alias("n"), F.max("sig").alias("sig"), F.count(F.lit(1)).alias("copies")), "near-classes")
+        F.min("doc_id").alias("first_doc"), F.max("n").alias("n"), F.max("sig").alias("sig"), F.max("odd").alias("odd"), F.count(F.lit(1)).alias("copies")), "near-classes")
 
     band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.struct(
         k.alias("band"), F.xxhash64(F.substring("sig", k * (4 * ROWS) + 1, F.lit(4 * ROWS))).alias("h")))
@@ -288,7 +315,7 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     rooted = written(rooted, "near-rooted")
     split = written(rooted.groupBy("band", "h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
                     .where("lo != hi").select("band", "h"), "near-split")
-    open_ = rooted.join(split, ["band", "h"]).join(classes.select("key", "sig", "n"), "key")
+    open_ = rooted.join(split, ["band", "h"]).join(classes.select("key", "sig", "odd", "n"), "key")
     rest = written(blocked_pairs(open_, threshold), "near-rest")
     more = written(verified(rest, classes, full, threshold), "near-links")
     roots = written(components(links.unionByName(more)), "near-roots")
