@@ -13,8 +13,8 @@ chunks. Documents never shuffle: one pass, row by row, over whole texts.
 
 Defined cases: a null text is the empty text (no ids; digest of the empty string); very
 long pre-tokens cost time in proportion to their length; repeated rows give repeated
-results; other columns of the input are ignored. Code points that Unicode 15.1 leaves
-unassigned may be classed otherwise than by other Unicode versions.
+results; other columns of the input are ignored. Code points that Unicode has added since
+the tokenizer library's tables may be ordered or classed otherwise than there.
 """
 
 from __future__ import annotations

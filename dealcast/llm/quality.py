@@ -150,22 +150,27 @@ def distances(rows: DataFrame, params: DataFrame) -> DataFrame:
 
 
 def with_groups(rows: DataFrame, min_rows: int) -> DataFrame:
-    """``rows`` with grp: the group whose estimate judges them (null: none)."""
+    """``rows`` with grp, the group whose estimate judges them (null: none), and fits, the
+    groups whose estimates they take part in: their own, and their language's or that of all
+    documents where a smaller group needs it."""
     sizes = written(rows.groupBy("lang", "source").agg(F.count_if(~F.col("base_failed")).alias("n")), "quality-groups")
-    by_lang = sizes.groupBy("lang").agg(F.sum("n").alias("n_lang")).alias("l")
-    n_all = sizes.agg(F.sum("n")).first()[0] or 0
-    named = sizes.alias("s").join(by_lang, F.col("s.lang").eqNullSafe(F.col("l.lang"))).select("s.*", "l.n_lang")
-    grp = F.when(F.col("n") >= min_rows, F.to_json(F.struct(F.lit(2).alias("by"), "lang", "source"))) \
-        .when(F.col("n_lang") >= min_rows, F.to_json(F.struct(F.lit(1).alias("by"), "lang"))) \
-        .when(F.lit(n_all) >= min_rows, F.lit("{}"))
-    named = written(named.select("lang", "source", grp.alias("grp")), "quality-groups").alias("g")
+    by_lang = sizes.groupBy("lang").agg(F.sum("n").alias("n_lang"), F.min("n").alias("least")).alias("l")
+    named = sizes.alias("s").join(by_lang, F.col("s.lang").eqNullSafe(F.col("l.lang"))).select("s.*", "l.n_lang", "l.least")
+    whole = named.agg(F.sum("n").alias("n"), F.min("n_lang").alias("least")).first()
+    n_all, least_lang = whole["n"] or 0, whole["least"] or 0
+    own, lang, every = F.to_json(F.struct(F.lit(2).alias("by"), "lang", "source")), F.to_json(F.struct(F.lit(1).alias("by"), "lang")), F.lit("{}")
+    grp = F.when(F.col("n") >= min_rows, own).when(F.col("n_lang") >= min_rows, lang).when(F.lit(n_all) >= min_rows, every)
+    fits = F.array_compact(F.array(
+        F.when(F.col("n") >= min_rows, own), F.when((F.col("n_lang") >= min_rows) & (F.col("least") < min_rows), lang),
+        F.when(F.lit(n_all >= min_rows > least_lang), every)))
+    named = written(named.select("lang", "source", grp.alias("grp"), fits.alias("fits")), "quality-groups").alias("g")
     on = F.col("r.lang").eqNullSafe(F.col("g.lang")) & F.col("r.source").eqNullSafe(F.col("g.source"))
-    return rows.alias("r").join(named, on, "left").select("r.*", "g.grp")
+    return rows.alias("r").join(named, on, "left").select("r.*", "g.grp", "g.fits")
 
 
 def fit(rows: DataFrame) -> DataFrame:
-    """Centre and factored scatter of each group of ``rows`` (grp and the statistics)."""
-    rows = written(rows.where(F.col("grp").isNotNull()).select("grp", *X), "quality-stats")
+    """Centre and factored scatter of each group of ``rows`` (fits and the statistics)."""
+    rows = written(rows.select(F.explode("fits").alias("grp"), *X), "quality-stats")
     marks = rows.groupBy("grp").agg(*(F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.lit(1000)).alias(x) for x in X))
     start = [F.col("grp"), *(F.col(x)[1].alias(f"m_{x}") for x in X)]
     for k, a in enumerate(X):
