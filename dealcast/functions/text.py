@@ -87,11 +87,17 @@ def gwp_flag(c, words: list[str] = GWP_WORDS, ignore_case: bool = False) -> Colu
 def age_to_date(c, as_of) -> Column:
     """Relative age text such as "3 days ago" -> date (F2).
 
-    Sub-day units (sec/min/hr) mean today; the first number is a day count;
-    text without a number -> null (Q17).
+    Sub-day units mean today; weeks count seven days, months and years are
+    calendar ones; any other number is a day count; text without a number, or
+    with one too large for a date, -> null (Q17).
     """
     c = F.lower(_c(c))
     as_of = F.lit(as_of).cast("date") if not isinstance(as_of, Column) else as_of.cast("date")
-    n = F.nullif(F.regexp_extract(c, r"([0-9]+)", 1), F.lit("")).cast("int")
-    subday = c.rlike(r"\b(sec|secs|min|mins|hr|hrs)\b")
-    return F.when(subday, as_of).when(n.isNotNull(), F.date_sub(as_of, n))
+    n = F.nullif(F.regexp_extract(c, r"([0-9]+)", 1), F.lit("")).try_cast("int")
+    n = F.when(n <= 3_000_000, n)
+    subday = c.rlike(r"\b(sec|secs|second|seconds|min|mins|minute|minutes|hr|hrs|hour|hours)\b")
+    months = F.when(c.rlike(r"\b(month|months)\b"), n).when(c.rlike(r"\b(year|years)\b"), 12 * n)
+    days = F.when(c.rlike(r"\b(week|weeks)\b"), 7 * n).otherwise(n)
+    return (F.when(subday, as_of)
+             .when(months.isNotNull(), F.when(months <= 100_000, F.add_months(as_of, -months)))
+             .when(days.isNotNull(), F.date_sub(as_of, days)))

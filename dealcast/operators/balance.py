@@ -67,8 +67,13 @@ def smote(df: DataFrame, id_col: str, label: str, vec: str = "vec", k: int = 5,
         id_col, label,
         (F.floor(F.col("need") / F.col("n_c")) + F.when(F.col("rank__one") <= F.pmod(F.col("need"), F.col("n_c")), 1).otherwise(0)).cast("long").alias("m_i"))
     alloc = alloc.where(F.col("m_i") > 0)
-    nn = knn_join(df.select(id_col, label, vec), df.select(id_col, label, vec), k, id_col, id_col, vec,
-                  by=[label], exclude_self=True)
+    # only classes that need rows are searched, for the rows that make samples
+    lone = need.where((F.col("need") > 0) & (F.col("n_c") < 2)).select(label).limit(20).collect()
+    if lone:
+        raise ValueError(f"classes with a single row have no neighbours to draw from: {[r[0] for r in lone]}")
+    points = df.select(id_col, label, vec).join(need.where(F.col("need") > 0).select(label), label, "left_semi")
+    sources = points.join(alloc.select(id_col), id_col, "left_semi")
+    nn = knn_join(sources, points, k, id_col, id_col, vec, by=[label], exclude_self=True)
     vecs = df.select(F.col(id_col).alias("nn_id"), F.col(vec).alias("_n"))
     nbrs = (nn.join(vecs, "nn_id").groupBy(id_col)
             .agg(F.array_sort(F.collect_list(F.struct("rank", "nn_id", "_n"))).alias("_nbrs")))  # k per id

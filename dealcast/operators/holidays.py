@@ -100,46 +100,37 @@ def nearest_holiday_by_date(years: DataFrame, max_width: int = 30, observed: boo
             .select("posted_date", F.col("b.holiday_name").alias("near_name"), F.col("b.dist").alias("near_dist")))
 
 
-# Default calendar range of the nearest-holiday table. The table is built from
-# this parameter, not from the data, so its size is known before any job runs.
-HOLIDAY_YEARS = (1900, 2100)
-# A broadcast side must have a proven bound: at most 366 dates per year.
-MAX_BROADCAST_DATES = 400_000
+def nearest_holiday(date: Column, observed: bool = False) -> Column:
+    """Struct (dist, kind, holiday_date, holiday_name) of the holiday nearest to a date.
 
-
-_NEAREST: dict = {}
-
-
-def _nearest_table(spark: SparkSession, y0: int, y1: int, max_width: int, observed: bool) -> DataFrame:
-    """The nearest-holiday table for a year range, built once per application and
-    kept as a checkpoint in the reliable folder (a small dimension table: lineage
-    cut, survives executor loss, shared by every query of the session)."""
-    from dealcast.session import cut_lineage
-    key = (spark.sparkContext.applicationId, id(spark), y0, y1, max_width, observed)
-    if key not in _NEAREST:
-        yrs = spark.range(y0, y1 + 1).select(F.col("id").cast("int").alias("year"))
-        _NEAREST[key] = cut_lineage(nearest_holiday_by_date(yrs, max_width, observed))
-    return _NEAREST[key]
+    The rules of the date's own year and of the two beside it hold every holiday
+    that can be nearest; the smallest struct has the smallest distance, ties go
+    to the first holiday in list order.
+    """
+    items = []
+    for shift in (-1, 0, 1):
+        year = F.year(date) + shift
+        for kind, rules in ((0, FEDERAL_RULES), (1, PARENT_RULES)):
+            for name, rule, since in rules:
+                days = [(name, _rule_date(year, rule))]
+                if observed and kind == 0 and rule[0] == "fixed":
+                    days.append((name + " (Observed)", _observed(days[0][1])))
+                for label, d in days:
+                    items.append(F.when((year >= since) & d.isNotNull(), F.struct(
+                        F.abs(F.date_diff(d, date)).alias("dist"), F.lit(kind).alias("kind"),
+                        d.alias("holiday_date"), F.lit(label).alias("holiday_name"))))
+    return F.array_min(F.array(*items))
 
 
 def add_holiday_windows(panel: DataFrame, widths: dict = EVENT_WIDTHS, observed: bool = False,
-                        years: tuple[int, int] = HOLIDAY_YEARS, date_col: str = "posted_date") -> DataFrame:
+                        date_col: str = "posted_date") -> DataFrame:
     """Name of the nearest holiday when it is closer than each width, else 'Normal' (J2).
 
     Distance is symmetric and strict (< width); ties go to the first holiday in
-    list order. The nearest-holiday table covers ``years`` (plus one year either
-    side). It depends on parameters only: no second pass over the input to find
-    the data's year span, and its row count is bounded by 366 per year, which is
-    checked before it is broadcast; beyond the bound the join is left to the
-    planner. Dates outside the range get 'Normal'.
+    list order. Computed in each row from the date rules: no calendar table, no
+    join and no bound on the years.
     """
-    spark = panel.sparkSession
-    y0, y1 = years[0] - 1, years[1] + 1
-    near = _nearest_table(spark, y0, y1, max(widths.values()), observed).withColumnRenamed("posted_date", date_col)
-    n_dates_bound = 366 * (y1 - y0 + 1)
-    if n_dates_bound <= MAX_BROADCAST_DATES:
-        near = F.broadcast(near)
-    j = panel.join(near, date_col, "left")
-    ev = {name: F.when(F.col("near_dist") < w, F.col("near_name")).otherwise(F.lit(NORMAL))
+    j = panel.withColumn("_near", nearest_holiday(F.col(date_col), observed))
+    ev = {name: F.when(F.col("_near.dist") < w, F.col("_near.holiday_name")).otherwise(F.lit(NORMAL))
           for name, w in widths.items()}
-    return j.withColumns(ev).drop("near_name", "near_dist")
+    return j.withColumns(ev).drop("_near")

@@ -166,7 +166,8 @@ def average_precision(preds: DataFrame, by: list[str], y: str = "y", score: str
                       digits: int | None = None) -> DataFrame:
     """Average precision as a step sum (E8): sum of (recall step) x precision at each threshold."""
     j = _with_totals(_curve_base(preds, by, y, score))
-    term = (F.col("pos") / F.col("pos_total")) * (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg")))
+    # a group without positives has no recall: null, not an error
+    term = F.try_divide(F.col("pos"), F.col("pos_total")) * (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg")))
     return j.groupBy(*by).agg(_r(F.sum(term), digits).alias("average_precision"))
 
 
@@ -182,8 +183,8 @@ def roc_auc_trapezoid(preds: DataFrame, by: list[str], y: str = "y", score: str
                       digits: int | None = None) -> DataFrame:
     """E11 applied to the ROC curve (E9) from (0, 0): equals ``auroc``."""
     j = _with_totals(_curve_base(preds, by, y, score)).select(
-        *by, (F.col("cum_neg") / F.col("neg_total")).alias("fpr"), (F.col("cum_pos") / F.col("pos_total")).alias("tpr"),
-        (F.col("neg") / F.col("neg_total")).alias("dfpr"), (F.col("pos") / F.col("pos_total")).alias("dtpr"))
+        *by, F.try_divide("cum_neg", "neg_total").alias("fpr"), F.try_divide("cum_pos", "pos_total").alias("tpr"),
+        F.try_divide("neg", "neg_total").alias("dfpr"), F.try_divide("pos", "pos_total").alias("dtpr"))
     return trapezoid_auc_from_steps(j, by, "fpr", "tpr", "dfpr", "dtpr", digits).withColumnRenamed("area", "roc_auc")
 
 
@@ -263,7 +264,7 @@ def score_summary(preds: DataFrame, by: list[str], y: str = "y", score: str = "s
     g = j.groupBy(*by).agg(
         F.sum(F.col("pos") + F.col("neg")).alias("n_scored"),
         F.sum(F.col("pos") * (F.col("neg_total") - F.col("cum_neg") + F.col("neg") / 2.0)).alias("u"),
-        F.sum((F.col("pos") / F.col("pos_total")) * (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg")))).alias("ap"),
+        F.sum(F.try_divide(F.col("pos"), F.col("pos_total")) * (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg")))).alias("ap"),
         F.sum(F.when(above, F.col("pos")).otherwise(0)).alias("tp"),
         F.sum(F.when(above, F.col("neg")).otherwise(0)).alias("fp"),
         F.first("pos_total").alias("pos_total"), F.first("neg_total").alias("neg_total"))

@@ -16,8 +16,8 @@ import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                        NaiveBayes, RandomForestClassifier)
-from pyspark.ml.feature import (Bucketizer, OneHotEncoder, StringIndexer, UnivariateFeatureSelector,
-                                VectorAssembler)
+from pyspark.ml.feature import (Bucketizer, OneHotEncoder, StringIndexer, StringIndexerModel,
+                                UnivariateFeatureSelector, VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
@@ -28,32 +28,50 @@ from dealcast.session import cut_lineage
 
 # ----------------------------------------------------------------- matrices
 
-def vector_frame(df: DataFrame, feats: list[str], label: str, with_brand: bool = True,
-                 keep: list[str] | None = None) -> tuple[DataFrame, list[str]]:
-    """Assemble ``features`` (numeric feats [+ brand one-hot]) and ``label``.
-
-    The brand dictionary is fitted by StringIndexer (a distributed distinct).
-    Returns the frame and the feature names in vector order. The label column
-    is never an input of the assembler (Q12).
-    """
+def _matrix_input(df: DataFrame, feats: list[str], label: str, keep: list[str]) -> DataFrame:
     assert label not in feats, "label must not be a feature"
-    stages, inputs = [], [F.col(f).cast("double").alias(f) for f in feats]
-    keep = keep or []
     carried = [c for c in dict.fromkeys(["brand", *keep]) if c in df.columns and c not in feats and c != label]
-    base = df.select(*carried, *inputs, F.col(label).cast("double").alias("label"))
-    names = list(feats)
-    vec_in = list(feats)
+    return df.select(*carried, *[F.col(f).cast("double").alias(f) for f in feats], F.col(label).cast("double").alias("label"))
+
+
+def fit_matrix(df: DataFrame, feats: list[str], label: str, with_brand: bool = True):
+    """Fitted assembling pipeline of ``vector_frame``; give it to every frame of a model.
+
+    Brands are numbered alphabetically, whatever their frequencies; brands that the
+    fitted rows lack share one slot.
+    """
+    stages, vec_in = [], list(feats)
     if with_brand and "brand" in df.columns:
-        stages += [StringIndexer(inputCol="brand", outputCol="_brand_ix", handleInvalid="keep"),
+        stages += [StringIndexer(inputCol="brand", outputCol="_brand_ix", handleInvalid="keep", stringOrderType="alphabetAsc"),
                    OneHotEncoder(inputCols=["_brand_ix"], outputCols=["_brand_oh"], handleInvalid="keep")]
         vec_in.append("_brand_oh")
-        names.append("brand_one_hot")
     stages.append(VectorAssembler(inputCols=vec_in, outputCol="features", handleInvalid="keep"))
-    model = Pipeline(stages=stages).fit(base)
+    return Pipeline(stages=stages).fit(_matrix_input(df, feats, label, []))
+
+
+def matrix_names(fitted, feats: list[str], width: int) -> list[str]:
+    """Names of the vector's slots: the features, then one for each brand, then the unseen ones."""
+    brands = [f"brand={b}" for s in fitted.stages if isinstance(s, StringIndexerModel) for b in s.labels]
+    return ([*feats, *brands] + ["brand=(unseen)"] * width)[:width]
+
+
+def vector_frame(df: DataFrame, feats: list[str], label: str, with_brand: bool = True,
+                 keep: list[str] | None = None, fitted=None) -> tuple[DataFrame, list[str]]:
+    """Assemble ``features`` (numeric feats [+ brand one-hot]) and ``label``.
+
+    The brand dictionary is fitted by StringIndexer (a distributed distinct), or
+    taken from ``fitted`` (``fit_matrix`` of the training rows): frames that one
+    model trains on and scores must share it. Returns the frame and the feature
+    names in vector order. The label column is never an input of the assembler (Q12).
+    """
+    keep = keep or []
+    base = _matrix_input(df, feats, label, keep)
+    model = fitted or fit_matrix(df, feats, label, with_brand)
     # materialised once: every MLlib fit makes several passes over its input,
     # which would otherwise re-run the whole feature lineage each time
     keys = [c for c in dict.fromkeys(["brand", *keep]) if c in base.columns]
     out = model.transform(base).drop("_brand_ix", "_brand_oh").select(*keys, "features", "label")
+    names = matrix_names(model, feats, out.schema["features"].metadata["ml_attr"]["num_attrs"])
     # rows arrive from shuffles in fetch order and upstream partition bounds can
     # vary; hashing the row keys to a fixed partition count and sorting inside
     # each partition makes every pass (and MLlib's seeded sampling) see the same
@@ -110,8 +128,8 @@ def _evidence_1d(n, sxx, sxy, syy, ard=False, n_iter=300, tol=1e-3, a1=1e-6, a2=
     for _ in range(n_iter):
         coef_old = coef
         coef = sxy / (sxx + lam / alpha) if (sxx + lam / alpha) else 0.0
-        if ard and lam > threshold_lambda:
-            coef = 0.0
+        if ard and lam > threshold_lambda:  # pruned for good
+            return 0.0, (n + 2 * a1) / (syy + 2 * a2), lam
         rss = syy - 2 * coef * sxy + coef * coef * sxx
         gamma = alpha * sxx / (lam + alpha * sxx) if (lam + alpha * sxx) else 0.0
         lam = (gamma + 2 * l1) / (coef * coef + 2 * l2)
@@ -125,8 +143,8 @@ def bayes_trend(df: DataFrame, x: str, y: str, by: list[str], ard: bool = False)
     """Bayesian ridge (M3) or ARD (M4) line per group.
 
     One distributed aggregation gives the six moments per group; the evidence
-    iteration then runs per group on that single row (applyInPandas over the
-    moments table, i.e. one row per group, never the group's data).
+    iteration then runs on each of these rows (mapInPandas over the moments
+    table, one row per group, never the group's data, and no second shuffle).
     """
     m = trend_moments(df, x, y, by)
 
@@ -140,7 +158,7 @@ def bayes_trend(df: DataFrame, x: str, y: str, by: list[str], ard: bool = False)
         return pd.DataFrame(rows, columns=[*by, "slope", "intercept", "noise_precision", "weight_precision"])
 
     schema = ", ".join(f"{b} string" for b in by) + ", slope double, intercept double, noise_precision double, weight_precision double"
-    return m.groupBy(*by).applyInPandas(fit, schema)
+    return m.mapInPandas(lambda parts: map(fit, parts), schema)
 
 
 def apply_trend(df: DataFrame, coefs: DataFrame, x: str, by: list[str], out: str = "yhat") -> DataFrame:
@@ -371,7 +389,7 @@ def random_search_classifier(folds: DataFrame, n_iter: int = 100, k: int = 10, s
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
     from pyspark.ml.classification import RandomForestClassifier as RFC
     from pyspark.ml.tuning import CrossValidator
-    space = space or rf_param_space(light=True)
+    space = space or rf_param_space()
     rng = random.Random(seed)
     rf = RFC(seed=seed)
     maps = []

@@ -95,7 +95,7 @@ def _copy_groups(points: DataFrame, by: list[str], p_id: str, vec: str, need: in
 
 
 def knn_join(queries: DataFrame, points: DataFrame, k: int, q_id: str, p_id: str, vec: str = "vec",
-             by: list[str] | None = None, exclude_self: bool = False, max_rounds: int = 60,
+             by: list[str] | None = None, exclude_self: bool = False,
              n_dirs: int = 3, max_cells_per_dir: int = 10) -> DataFrame:
     """k nearest points for every query within the same ``by`` block (exact).
 
@@ -154,7 +154,7 @@ def knn_join(queries: DataFrame, points: DataFrame, k: int, q_id: str, p_id: str
     a = pending.agg(F.percentile_approx("_h", 0.5).alias("med"), F.max("_h").alias("mx")).first()
     w = max(float(a["med"] or 1e-12), float(a["mx"] or 0.0) / max_cells_per_dir, 1e-12)
     done = None
-    for _ in range(max_rounds):
+    while True:  # every round at least doubles the radius of unfinished queries, up to the whole range
         pb = P.withColumns({b: F.floor(F.col(c) / w) for b, c in zip(bc, pc)})
         qb = pending
         for b, c in zip(bc, qc):

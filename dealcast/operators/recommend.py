@@ -28,7 +28,7 @@ MSG_PCT_TODAY = "You have a discount today!"
 
 
 def horizon(preds: DataFrame, wait_days: int) -> DataFrame:
-    """First ``wait_days - 1`` days of the horizon (R5), as the app's slider did."""
+    """Forecast rows of the first ``wait_days - 1`` days (R5), as the app's slider plots them."""
     return preds.where(F.col("day_ahead") < wait_days - 1)
 
 
@@ -55,10 +55,9 @@ def advice_facts(preds: DataFrame) -> DataFrame:
     return g
 
 
-def recommend(preds: DataFrame, wait_days: int | None = None) -> DataFrame:
-    """Full advice row per brand with its message text."""
-    if wait_days is not None:
-        preds = horizon(preds, wait_days)
+def recommend(preds: DataFrame) -> DataFrame:
+    """Full advice row per brand with its message text (R7), always over the whole
+    year; the waiting time only cuts the plotted rows (``horizon``)."""
     f = advice_facts(preds)
     pct = lambda c: F.col(c) * 100.0  # noqa: E731  (F12)
     today = (F.when(~F.col("discount_today") & ~F.col("gwp_today"), F.lit(MSG_NONE_TODAY))

@@ -10,9 +10,9 @@ from dealcast.plans.classify import gwp_horizon
 from dealcast.plans.forecast import learned_discount_forecast
 
 
-def advise(panel: DataFrame, wait_days: int | None = None) -> DataFrame:
+def advise(panel: DataFrame) -> DataFrame:
     """Both horizons are keyed by (brand, day_ahead) (Q18), joined, then advised."""
     disc = learned_discount_forecast(panel)
     gift = gwp_horizon(panel)
     j = disc.join(gift, ["brand", "day_ahead"], "left").withColumn("pred_gwp", F.coalesce("pred_gwp", F.lit(False)))
-    return recommend(j, wait_days)
+    return recommend(j)

@@ -15,8 +15,8 @@ def build_panel(posts: DataFrame, holidays: bool = True, keep_lists: bool = Fals
 
     One pass over the posts. Shuffles: one for the day roll-up (after map-side
     partial aggregation) and one of the day rows by brand for the gap fill,
-    which the feature windows downstream reuse. The nearest-holiday table is a
-    broadcast of parameter-sized data (no shuffle of the panel).
+    which the feature windows downstream reuse. The nearest holiday is computed in
+    each row (no join).
     """
     parsed = parse_posts(posts, ignore_case_gwp=ignore_case_gwp, drop_ads=drop_ads, dedup=dedup)
     panel = add_calendar(fill_calendar(daily_rollup(parsed, keep_lists=keep_lists, distinct_counts=distinct_counts)))

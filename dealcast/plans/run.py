@@ -29,7 +29,7 @@ from dealcast.sources.panel import read_panel, write_panel
 from dealcast.sources.posts import deals_view, read_posts
 
 
-def run(spark, out: str, posts=None, tables: str | None = None, wait_days: int | None = None) -> None:
+def run(spark, out: str, posts=None, tables: str | None = None) -> None:
     posts = posts if posts is not None else deals_view(spark, tables)
     write_panel(build_panel(posts), f"{out}/panel")
     panel = read_panel(spark, f"{out}/panel")            # later steps start from the written table
@@ -41,7 +41,7 @@ def run(spark, out: str, posts=None, tables: str | None = None, wait_days: int |
     disc = spark.read.parquet(f"{out}/discount_forecast")
     gift = spark.read.parquet(f"{out}/gwp_forecast")
     j = disc.join(gift, ["brand", "day_ahead"], "left").withColumn("pred_gwp", F.coalesce("pred_gwp", F.lit(False)))
-    advice = cut_lineage(recommend(j, wait_days))
+    advice = cut_lineage(recommend(j))
     advice.write.mode("overwrite").parquet(f"{out}/advice")
     advice.write.mode("overwrite").option("header", True).csv(f"{out}/advice_csv")
 
@@ -52,11 +52,10 @@ def main(argv=None) -> None:
     src.add_argument("--posts", help="post CSV file(s) or glob with the scraper header")
     src.add_argument("--tables", help="directory of the shared parquet tables (posts view over them)")
     ap.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
-    ap.add_argument("--wait-days", type=int, default=None, help="advice horizon in days (default: whole year)")
-    a = ap.parse_args(argv)
+    a =ap.parse_args(argv)
     spark = get_spark(app="dealcast-run")
     posts = read_posts(spark, a.posts) if a.posts else None
-    run(spark, a.out, posts=posts, tables=a.tables, wait_days=a.wait_days)
+    run(spark, a.out, posts=posts, tables=a.tables)
 
 
 if __name__ == "__main__":

@@ -172,9 +172,9 @@ adv_in AS (SELECT brand, day_ahead, pred_discount, pred_gwp FROM ai WHERE split
 """
 
 
-def _advice_sql(where: str = "") -> str:
+def _advice_sql() -> str:
     return ADVICE_SQL.rstrip() + f""",
-src AS (SELECT * FROM adv_in {where}),
+src AS (SELECT * FROM adv_in),
 f AS (
   SELECT brand, max(pred_discount) AS best_discount,
     min(CASE WHEN pred_discount > 0 THEN day_ahead END) AS next_discount_day,
@@ -210,6 +210,7 @@ def q_recommend(spark, sf):
     return R.recommend(advice_in(spark, sf))
 
 
-@register("r5_horizon_recommend", _advice_sql("WHERE day_ahead < 29"))
-def q_recommend_horizon(spark, sf):
-    return R.recommend(advice_in(spark, sf), wait_days=30)
+@register("r5_horizon_recommend", ADVICE_SQL.rstrip() + """
+SELECT brand, day_ahead, pred_discount, pred_gwp FROM adv_in WHERE day_ahead < 29""")
+def q_horizon(spark, sf):
+    return R.horizon(advice_in(spark, sf), 30).select("brand", "day_ahead", "pred_discount", "pred_gwp")

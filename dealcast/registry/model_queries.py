@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from dealcast.operators import models as M
 from dealcast.operators import splits as S
 from dealcast.registry.base import D, register
 from dealcast.registry.core import filled, panel
+from dealcast.registry.panel_queries import FEAT_BASE
 from dealcast.session import ensure_checkpoint_dir
 
 TREND_SQL = T.BASE_FILLED + """,
@@ -120,7 +122,9 @@ def cls_frames(spark, sf):
 
 def _cls_scores(pred, model):
     p = M.positive_score(pred, model).select("brand", F.lit(model).alias("model"), F.col("label").alias("y"), "score")
-    return E.score_summary(p, ["brand", "model"], digits=D)
+    # a margin's decision boundary is 0, a probability's 0.5
+    threshold = 0.5 if "probability" in pred.columns else 0.0
+    return E.score_summary(p, ["brand", "model"], threshold=threshold, digits=D)
 
 
 @register("m12_m19_classifiers")
@@ -136,7 +140,7 @@ GNB_FEATS = X.NUMERIC_FEATURES
 
 
 @register("m14_gaussian_nb_params", "\n".join([
-    __import__("dealcast.registry.panel_queries", fromlist=["FEAT_BASE"]).FEAT_BASE.rstrip() + ",",
+    FEAT_BASE.rstrip() + ",",
     "lg AS (" + " UNION ALL ".join(f"SELECT y, '{f}' AS feature, CAST({f} AS DOUBLE) AS x FROM dd" for f in GNB_FEATS) + ")",
     """SELECT y AS class, feature, round(count(*) / max(tot), 6) AS prior, round(avg(x), 6) AS mean,
   round(var_pop(x), 6) AS var FROM (SELECT *, count(*) OVER (PARTITION BY feature) AS tot FROM lg) GROUP BY y, feature"""]))
@@ -149,7 +153,7 @@ def q_gnb(spark, sf):
 def q_gain(spark, sf):
     tr, te, names = cls_frames(spark, sf)
     gbt = M.CLASSIFIERS["gradient_boosting"](7).fit(tr)
-    path = os.path.join(ensure_checkpoint_dir(spark), f"gbt_model_{abs(hash(sf)) % 10**8}")
+    path = os.path.join(ensure_checkpoint_dir(spark), f"gbt_model_{uuid.uuid4().hex}")
     return M.gain_importance(gbt, names, path)
 
 
@@ -166,7 +170,7 @@ def q_spot(spark, sf):
 def q_search(spark, sf):
     tr, te, _ = cls_frames(spark, sf)
     folds = S.stratified_folds(tr, "label", ["posted_date"], k=3, seed=2, by=["brand"])
-    best, table = M.random_search_classifier(folds, n_iter=4, k=3, seed=42)
+    best, table = M.random_search_classifier(folds, n_iter=4, k=3, seed=42, space=M.rf_param_space(light=True))
     pred = best.transform(te)
     return _cls_scores(pred, "rf_tuned")
 

@@ -10,20 +10,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     scan because callers only ever select/filter the returned frame."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
-
-def spread(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Round-robin an under-split input over the session's cores.
-
-    A scan is split by file and row group; a big table stored as a few large row
-    groups yields fewer tasks than cores, and every row-wise expression after it
-    (text parsing here) runs on those few tasks. Only in that case the rows are
-    spread with a hash exchange on ``keys`` (deterministic on retry, and unlike
-    round-robin it needs no sort before partitioning; hashing only key columns
-    leaves column pruning free to drop the others). On a cluster
-    reading many files the input already has more splits than cores and this
-    returns ``df`` unchanged, so no shuffle is added at scale. Planning only:
-    no job is run.
-    """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
-    return df.repartition(want, *(keys or df.columns)) if have < want else df
