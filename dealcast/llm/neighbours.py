@@ -11,9 +11,11 @@ get ``sqrt(M*M - |x|**2)`` with the largest norm ``M``, queries get zero. Scores
 coordinate by coordinate in double precision on the original vectors.
 
 Tables of vectors and queries are cut into blocks: each task searches at most ``SHARD``
-vectors (on average) for at most ``QUERIES`` queries and returns k rows for each query, so
-neither side is broadcast and a task's memory is bounded. The best k of all shards follow
-from one grouped top-k over query ids.
+vectors (on average) for at most ``QUERIES`` queries, so neither side is broadcast and a
+task's memory is bounded. Shards are searched in rounds, each ``GROWTH`` times as many as all
+before. After a round each query's k-th best score so far bounds the next one: shards prune
+with it from their root on and return only what reaches it, about ``GROWTH * k`` rows a query
+and round however many shards there are. A round's results are merged by a grouped top-k.
 
 Defined cases: null vectors, vectors with null or non-finite components, zero vectors and
 rows with a null id take no part; only vectors of a query's own length are candidates;
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 
 from dealcast.llm.common import workers_ready, written
 
-K, SHARD, QUERIES, LEAF = 20, 1024, 4096, 64
+K, SHARD, QUERIES, LEAF, GROWTH = 20, 4096, 4096, 64, 16
 #: Share of the k-th best distance within which a shell is searched (1: exact).
 FACTOR = 1.0
 
@@ -61,10 +63,14 @@ class Tree:
             return rows
         return point, edge, self._node(rows[inner]), self._node(rows[~inner])
 
-    def search(self, queries, own, k, factor):
-        """Scores and ids of the k best of each query (id -1: none), largest first."""
+    def search(self, queries, own, k, factor, floor=None):
+        """Scores and ids of the k best of each query (score -inf: none), largest first.
+
+        Scores under a query's ``floor`` may be left out.
+        """
         import numpy as np
         self.k, self.factor = k, factor
+        self.floor = np.full(len(queries), -np.inf) if floor is None else floor
         self.queries, self.own = queries, own
         self.norm2 = (queries * queries).sum(axis=1)
         self.top2 = self.rest[0] ** 2 + (self.vectors[0] ** 2).sum()
@@ -73,9 +79,13 @@ class Tree:
         self._visit(self.root, np.arange(len(queries)))
         return self.best, self.best_id
 
+    def _kth(self, q):
+        import numpy as np
+        return np.maximum(self.best[q, -1], self.floor[q])
+
     def _reach(self, q):
         import numpy as np
-        kth = self.best[q, -1]
+        kth = self._kth(q)
         d2 = self.norm2[q] + self.top2 - 2 * np.where(np.isinf(kth), 0, kth)
         return np.where(np.isinf(kth), np.inf, np.sqrt(np.maximum(d2, 0)) * self.factor) + 1e-7
 
@@ -104,7 +114,7 @@ class Tree:
         for a, b in zip(part, cols):  # in the order of the coordinates, so that copies tie exactly
             score += a[:, None] * b[None, :]
         score[self.own[q][:, None] == self.ids[rows][None, :]] = -np.inf
-        better = (score >= self.best[q, -1][:, None]).any(axis=1)
+        better = (score >= self._kth(q)[:, None]).any(axis=1)
         if not better.any():
             return
         q, score = q[better], score[better]
@@ -137,19 +147,30 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, factor: float =
     def search(mine, theirs):
         import numpy as np
         import pyarrow as pa
-        empty = pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         if not mine.num_rows or not theirs.num_rows:
-            return empty
+            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         tree = Tree(_matrix(mine.column("v")), mine.column("vec_id").to_numpy(), top)
-        own = theirs.column("vec_id").to_numpy()
-        best, ids = tree.search(_matrix(theirs.column("v")), own, k, factor)
-        hit = ids >= 0 if (tree.ids >= 0).all() else ~np.isinf(best)
+        own, floor = theirs.column("vec_id").to_numpy(), theirs.column("floor").to_numpy()
+        best, ids = tree.search(_matrix(theirs.column("v")), own, k, factor, floor)
+        hit = ~np.isinf(best) & (best >= floor[:, None])
         return pa.table({"query_id": pa.array(np.repeat(own, hit.sum(axis=1))), "vec_id": pa.array(ids[hit]), "score": pa.array(best[hit])})
 
-    spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = x.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")).withColumn("block", spread(blocks))
-    right = q.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(blocks)).cast("int")).withColumn("shard", spread(shards))
-    keys = ["dim", "shard", "block"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    each = lambda lo, hi: F.explode(F.sequence(F.lit(lo), F.lit(hi - 1)))
+    left = x.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")).withColumn("block", each(0, blocks))
+    keys, order = ["dim", "shard", "block"], Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best, lo = None, 0
+    while lo < shards:
+        hi = min(shards, max(1, lo * GROWTH))
+        if best is None:
+            floored = q.withColumn("floor", F.lit(float("-inf")))
+        else:
+            kth = best.groupBy(F.col("query_id").alias("vec_id")).agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("kth"))
+            floored = q.join(kth, "vec_id", "left").withColumn("floor", F.when(F.col("n") >= k, F.col("kth")).otherwise(F.lit(float("-inf"))))
+        right = floored.select("vec_id", "v", "dim", "floor", F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(blocks)).cast("int").alias("block"), each(lo, hi).alias("shard"))
+        mine = left.where(F.col("shard").between(lo, hi - 1))
+        found = mine.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, "query_id long, vec_id long, score double")
+        if best is not None:
+            found = found.unionByName(best.drop("rank"))
+        best = written(found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k), "ann-best")
+        lo = hi
+    return best.select("query_id", "rank", "vec_id", "score")
