@@ -9,8 +9,7 @@ output (idempotent sink) and no state store is needed.
 Reading merges the partials (sums of counts, max discount, any gift). The merge
 is exact whatever the arrival order: a post that arrives months late is still
 counted -- no watermark drops it, and no partial row can overwrite a complete
-one. ``compact_rollup`` folds the batches written so far into one so the number
-of partial rows stays bounded by the keys, not by the number of batches.
+one. ``compact_rollup`` writes a snapshot of the batches so far, merged.
 """
 
 from __future__ import annotations
@@ -65,8 +64,8 @@ def read_rollup_state(spark: SparkSession, out_dir: str) -> DataFrame:
 
 
 def compact_rollup(spark: SparkSession, out_dir: str, into: str) -> DataFrame:
-    """Write the merged state once to ``into`` (a new folder) and return it; later
-    reads can start from it plus the batches that follow."""
+    """Write the merged state once to ``into`` (a new folder) and return it: a snapshot of
+    the batches written so far; batches that follow are only in the batch folder."""
     merged = read_rollup_state(spark, out_dir)
     merged.write.mode("overwrite").parquet(into)
     return spark.read.parquet(into)
