@@ -173,7 +173,7 @@ REGRESSORS = {
     "bagging": lambda seed: RandomForestRegressor(numTrees=20, featureSubsetStrategy="all", seed=seed),  # M8
     "random_forest": lambda seed: RandomForestRegressor(numTrees=20, seed=seed),                     # M9
     "gradient_boosting": lambda seed: GBTRegressor(maxIter=20, seed=seed),                           # M10
-    "linear": lambda seed: LinearRegression(solver="normal"),                                        # M1
+    "linear": lambda seed: LinearRegression(solver="auto"),  # M1; normal equations up to 4096 slots, L-BFGS beyond
     "lasso": lambda seed: LinearRegression(elasticNetParam=1.0, regParam=0.001),                     # M2
 }
 
@@ -371,6 +371,7 @@ def rf_param_space(light: bool = False) -> dict:
     """Random-forest search space. Full: the reference's ranges (trees 150-999,
     depth 10..110 or unlimited -> capped at MLlib's 30, leaf 1/2/4, sqrt/auto
     features, bootstrap on/off). Light: small forests for quick runs."""
+    # The ranges that the reference draws from.
     if light:
         return {"numTrees": (10, 50), "maxDepth": [3, 5, 8], "minInstancesPerNode": [1, 2, 4],
                 "featureSubsetStrategy": ["sqrt", "auto"], "bootstrap": [True, False]}
@@ -468,7 +469,7 @@ def compare_feature_sets(train: DataFrame, test: DataFrame, k: int = 10, n_featu
         if sel is not None:
             col, model = sel
             tr, te = model.transform(train), model.transform(test)
-        p = LinearRegression(featuresCol=col, solver="normal").fit(tr).transform(te)
+        p = LinearRegression(featuresCol=col, solver="auto").fit(tr).transform(te)
         e = F.col("prediction") - F.col("label")
         s = p.groupBy("brand").agg(F.round(F.sqrt(F.avg(e * e)), 6).alias("rmse")).withColumn("feature_set", F.lit(name))
         out = s if out is None else out.unionByName(s)

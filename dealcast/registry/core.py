@@ -7,6 +7,8 @@ places on both sides, as summation order differs between engines.
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from dealcast import sqltwins as T
 from dealcast.operators import metrics as E
 from dealcast.operators import naive as N
@@ -54,6 +56,15 @@ def q_daily_rollup(spark, sf):
     return A.daily_rollup(parsed(spark, sf))
 
 
+@register("a1_day_lists", T.with_ctes(T.POSTS, T.PARSED) + """
+SELECT brand, posted_date, array_to_string(list_sort(list(DISTINCT store)), '|') AS stores,
+  array_to_string(list_sort(list(DISTINCT discount)), '|') AS discounts
+FROM parsed WHERE posted_date IS NOT NULL GROUP BY brand, posted_date""")
+def q_day_lists(spark, sf):
+    daily = A.daily_rollup(parsed(spark, sf), keep_lists=True, distinct_counts=False)
+    return daily.select("brand", "posted_date", F.array_join("stores", "|").alias("stores"), F.array_join("discounts", "|").alias("discounts"))
+
+
 @register("j1_fill_calendar", T.BASE_FILLED + "SELECT * FROM filled")
 def q_fill_calendar(spark, sf):
     return filled(spark, sf)

@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from dealcast import sqltwins as T
 from dealcast.operators import models as M
 from dealcast.registry.base import register
-from dealcast.registry.core import panel, posts
+from dealcast.registry.core import panel, parsed, posts
 from dealcast.registry.model_queries import reg_frames
 from dealcast.session import ensure_checkpoint_dir
+from dealcast.sources.html import extract_deals, listing_page
 from dealcast.sources.panel import read_panel, write_panel
 from dealcast.sources.posts import read_posts, write_posts
 from dealcast.sources.runs import load_run, save_run
@@ -43,8 +44,11 @@ def q_panel_io(spark, sf):
     return read_panel(spark, path, ["discount_off", "gwp", "event_7days"])
 
 
-@register("i6_i7_model_run_roundtrip")
+@register("i6_i7_model_run_roundtrip", T.BASE_FILLED + """
+SELECT brand, posted_date, discount_off AS label, true AS same FROM filled WHERE rn < n AND rn >= n - 364""")
 def q_run(spark, sf):
+    """A fitted tree and its predictions, saved and loaded: every test row is back, and the
+    loaded model predicts what was saved."""
     tr, te, _ = reg_frames(spark, sf)
     model = M.REGRESSORS["decision_tree"](7).fit(tr)
     preds = model.transform(te).select("brand", "posted_date", "label", "prediction")
@@ -53,8 +57,20 @@ def q_run(spark, sf):
     saved, loaded = load_run(spark, path, DecisionTreeRegressionModel)
     again = loaded.transform(te).select("brand", "posted_date", F.col("prediction").alias("reloaded"))
     return saved.join(again, ["brand", "posted_date"]).select(
-        "brand", "posted_date", "label", "prediction", "reloaded",
-        (F.col("prediction") == F.col("reloaded")).alias("same"))
+        "brand", "posted_date", "label", (F.col("prediction") == F.col("reloaded")).alias("same"))
+
+
+AS_OF = "2002-01-01"
+
+
+@register("i8_extract_deals", T.with_ctes(T.POSTS, T.PARSED) + """
+SELECT brand, store, discount, strftime(posted_date, '%Y-%m-%d') AS posted_date, coalesce(comments_count, 0) AS comments_count,
+  bookmarks_count, shares_count FROM parsed""")
+def q_extract_deals(spark, sf):
+    """Every post rendered as a listing page (one page per row), and extracted again."""
+    rows = parsed(spark, sf)
+    pages = rows.select("brand", F.lit(0).alias("page_id"), listing_page(rows, AS_OF).alias("html"))
+    return extract_deals(pages, as_of=AS_OF)
 
 
 @register("a1_streaming_rollup", T.with_ctes(T.POSTS, T.PARSED, T.DAILY) + "SELECT * FROM daily")

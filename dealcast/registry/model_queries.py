@@ -63,7 +63,30 @@ def q_lasso_trend(spark, sf):
     return _trend_out(M.lasso_trend(tr, "rn", "discount_off", ["brand"], alpha=1.0), te)
 
 
-@register("m3_m4_bayes_trend")
+EVIDENCE_SQL = "WITH RECURSIVE " + TREND_SQL.strip().removeprefix("WITH ") + """,
+mo AS (
+  SELECT brand, CAST(count(*) AS DOUBLE) AS n, avg(rn) AS mx, avg(discount_off) AS my, var_pop(CAST(rn AS DOUBLE)) * count(*) AS sxx,
+    covar_pop(CAST(rn AS DOUBLE), discount_off) * count(*) AS sxy, var_pop(discount_off) * count(*) AS syy FROM tr GROUP BY brand),
+steps AS (
+  SELECT brand, model, n, sxx, sxy, syy, 0 AS i, CAST(0 AS DOUBLE) AS coef, CAST(1 AS DOUBLE) AS lam, 1 / (syy / n + 1e-12) AS alpha, false AS done
+  FROM mo, (VALUES ('bayesian_ridge'), ('ard')) AS m(model)
+  UNION ALL
+  SELECT brand, model, n, sxx, sxy, syy, i + 1, CASE WHEN pruned THEN 0 ELSE c END,
+    CASE WHEN pruned THEN lam ELSE (g + 2e-6) / (c * c + 2e-6) END,
+    CASE WHEN pruned THEN alpha ELSE (n - g + 2e-6) / (syy - 2 * c * sxy + c * c * sxx + 2e-6) END,
+    pruned OR (i > 0 AND abs(coef - c) < 1e-3)
+  FROM (SELECT *, sxy / (sxx + lam / alpha) AS c, alpha * sxx / (lam + alpha * sxx) AS g, model = 'ard' AND lam > 1e4 AS pruned
+        FROM steps WHERE NOT done AND i < 300)),
+cf AS (
+  SELECT s.brand, s.model, s.coef AS slope, mo.my - s.coef * mo.mx AS intercept
+  FROM (SELECT brand, model, max_by(coef, i) AS coef FROM steps GROUP BY brand, model) s JOIN mo ON s.brand = mo.brand),
+sc AS (SELECT te.brand, cf.model, sqrt(avg((cf.intercept + cf.slope * te.rn - te.discount_off) ^ 2)) AS test_rmse
+       FROM te JOIN cf ON te.brand = cf.brand GROUP BY te.brand, cf.model)
+SELECT cf.brand, cf.model, round(slope, 12) AS slope, round(intercept, 9) AS intercept, round(test_rmse, 6) AS test_rmse
+FROM cf JOIN sc ON cf.brand = sc.brand AND cf.model = sc.model"""
+
+
+@register("m3_m4_bayes_trend", EVIDENCE_SQL)
 def q_bayes_trend(spark, sf):
     tr, te = _trend_data(spark, sf)
     br = _trend_out(M.bayes_trend(tr, "rn", "discount_off", ["brand"]), te).withColumn("model", F.lit("bayesian_ridge"))

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dealcast.functions.text import age_to_date
@@ -25,17 +25,17 @@ class Layout:
     counters: dict = field(default_factory=dict)          # name -> regex, group 1 (digits)
 
 
-# Deal listing markup: one element per deal with a store link and age span in
-# the "r j-r" box, a "subtitle" title and "j-count" counters (comments,
-# bookmarks, shares in that order).
+# Class names of the deal listing's markup. One "mlist" element per deal with
+# a store link and age span in the "r j-r" box, a "subtitle" title and, in "stat-count",
+# "j-count" counters (comments, bookmarks, shares in that order; an empty one counts 0).
+# A block reaches to the next deal, however deeply its elements are nested.
+_COUNTER = r'(?s)class="stat-count"(?:.*?class="j-count"[^>]*>){%d}\s*([0-9]*)'
 LISTING = Layout(
-    block=r'(?s)<div class="mlist.*?</div>\s*</div>',
-    texts={"store": r'class="r j-r"[^>]*>\s*<a[^>]*>([^<]*)</a>',
+    block=r'(?s)<div class="mlist\b.*?(?=<div class="mlist\b|\z)',
+    texts={"store": r'(?s)class="r j-r"[^>]*>.*?<a[^>]*>([^<]*)</a>',
            "discount": r'class="subtitle"[^>]*>([^<]*)<',
-           "age_text": r'class="r j-r"[^>]*>.*?<span[^>]*>([^<]*)</span>'},
-    counters={"comments_count": r'(?s)class="j-count"[^>]*>([0-9]+)<',
-              "bookmarks_count": r'(?s)class="j-count"[^>]*>[0-9]+<.*?class="j-count"[^>]*>([0-9]+)<',
-              "shares_count": r'(?s)(?:class="j-count"[^>]*>[0-9]+<.*?){2}class="j-count"[^>]*>([0-9]+)<'},
+           "age_text": r'(?s)class="r j-r"[^>]*>.*?<span[^>]*>([^<]*)</span>'},
+    counters={"comments_count": _COUNTER % 1, "bookmarks_count": _COUNTER % 2, "shares_count": _COUNTER % 3},
 )
 
 # Generic crawl: links with their target and anchor text.
@@ -50,16 +50,46 @@ def extract_blocks(pages: DataFrame, layout: Layout, id_col: str = "page_id", ht
     blocks = pages.select(id_col, *(keep or []),
                           F.posexplode(F.regexp_extract_all(F.col(html_col), F.lit(layout.block), 0)).alias("pos", "block"))
     cols = [F.regexp_extract("block", p, 1).alias(n) for n, p in layout.texts.items()]
-    cols += [F.coalesce(F.nullif(F.regexp_extract("block", p, 1), F.lit("")).cast("bigint"), F.lit(0)).alias(n)
+    cols += [F.coalesce(F.nullif(F.regexp_extract("block", p, 1), F.lit("")).try_cast("bigint"), F.lit(0)).alias(n)
              for n, p in layout.counters.items()]
     return blocks.select(id_col, *(keep or []), "pos", *cols)
 
 
+# The characters that markup must escape, and their escapes.
+ESCAPES = [("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#39;")]
+
+
+def escaped(text) -> Column:
+    """``text`` as it stands in markup; null becomes empty."""
+    out = F.coalesce(text, F.lit(""))
+    for plain, mark in ESCAPES:
+        out = F.replace(out, F.lit(plain), F.lit(mark))
+    return out
+
+
+def unescaped(text) -> Column:
+    """The text that a browser shows for ``escaped`` text."""
+    for plain, mark in reversed(ESCAPES):
+        text = F.replace(text, F.lit(mark), F.lit(plain))
+    return text
+
+
+def listing_page(posts: DataFrame, as_of) -> Column:
+    """Listing markup of one post (a column of ``posts`` with a parsed date): the inverse of ``extract_deals``."""
+    age = F.coalesce(F.concat(F.date_diff(F.lit(as_of).cast("date"), "posted_date").cast("string"), F.lit(" days ago")), F.lit("soon"))
+    count = lambda c: F.concat(F.lit('<i class="j-count">'), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit("</i>"))
+    return F.concat(
+        F.lit('<html><body><div class="nav"><a href="/">home</a></div>\n<div class="mlist"><div class="box"><div class="r j-r">\n<a href="/store">'),
+        escaped(F.col("store")), F.lit("</a> <span>"), age, F.lit('</span></div>\n<div class="subtitle">'), escaped(F.col("discount")),
+        F.lit('</div></div><div class="stat-count"><div>'), *map(count, ("comments_count", "bookmarks_count", "shares_count")),
+        F.lit("</div></div></div>\n</body></html>"))
+
+
 def extract_deals(pages: DataFrame, brand_col: str = "brand", as_of=None,
                   id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """Deal rows from listing pages in the posts shape; the age text becomes a date (F2)."""
     rows = extract_blocks(pages, LISTING, id_col, html_col, keep=[brand_col])
     as_of = F.current_date() if as_of is None else F.lit(as_of).cast("date")
-    return rows.select(F.col(brand_col).alias("brand"), "store", "discount",
+    return rows.select(F.col(brand_col).alias("brand"), unescaped(F.col("store")).alias("store"), unescaped(F.col("discount")).alias("discount"),
                        F.date_format(age_to_date("age_text", as_of), "yyyy-MM-dd").alias("posted_date"),
                        "comments_count", "bookmarks_count", "shares_count")
