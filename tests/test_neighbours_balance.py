@@ -1,6 +1,8 @@
 import math
 import random
 
+import pytest
+
 from dealcast.operators.balance import class_balance, class_weights, smote
 from dealcast.operators.neighbours import knn_join
 
@@ -12,6 +14,9 @@ def _d(a, b):
     return math.sqrt(acc)
 
 
+SEARCHES = [{}, {"block": 48}, {"method": "grid"}]
+
+
 def _pts(spark, n, seed=1, dup=True):
     rnd = random.Random(seed)
     rows = []
@@ -24,10 +29,11 @@ def _pts(spark, n, seed=1, dup=True):
     return rows
 
 
-def test_knn_exact_vs_brute_force(spark):
+@pytest.mark.parametrize("how", SEARCHES)
+def test_knn_exact_vs_brute_force(spark, how):
     rows = _pts(spark, 300)
     df = spark.createDataFrame(rows, "id int, g int, vec array<double>")
-    got = knn_join(df, df, 5, "id", "id", "vec", by=["g"], exclude_self=True).collect()
+    got = knn_join(df, df, 5, "id", "id", "vec", by=["g"], exclude_self=True, **how).collect()
     res = {}
     for r in got:
         res.setdefault(r.id, []).append((r.rank, r.nn_id, r.dist))
@@ -38,10 +44,11 @@ def test_knn_exact_vs_brute_force(spark):
         assert all(abs(d - dd) < 1e-12 for (_, _, d), (dd, _) in zip(mine, cand))
 
 
-def test_knn_unblocked_small_group(spark):
+@pytest.mark.parametrize("how", SEARCHES)
+def test_knn_unblocked_small_group(spark, how):
     rows = [(0, 0, [0.0, 0.0]), (1, 0, [1.0, 0.0]), (2, 0, [5.0, 5.0])]
     df = spark.createDataFrame(rows, "id int, g int, vec array<double>")
-    got = knn_join(df, df, 5, "id", "id", "vec", exclude_self=True).collect()
+    got = knn_join(df, df, 5, "id", "id", "vec", exclude_self=True, **how).collect()
     assert sorted((r.id, r.nn_id) for r in got) == [(0, 1), (0, 2), (1, 0), (1, 2), (2, 0), (2, 1)]
 
 
@@ -68,12 +75,13 @@ def test_balance_and_weights(spark):
     assert abs(s[1] - 0.3) < 1e-12
 
 
-def test_knn_exact_on_tied_integer_grid(spark):
+@pytest.mark.parametrize("how", SEARCHES)
+def test_knn_exact_on_tied_integer_grid(spark, how):
     rnd = random.Random(9)
     rows = [(i, 0, [float(rnd.randint(1, 31)), float(rnd.randint(1, 12)), float(rnd.randint(1995, 2001)),
                     round(rnd.random(), 2)]) for i in range(400)]
     df = spark.createDataFrame(rows, "id int, g int, vec array<double>")
-    got = knn_join(df, df, 5, "id", "id", "vec", exclude_self=True).collect()
+    got = knn_join(df, df, 5, "id", "id", "vec", exclude_self=True, **how).collect()
     res = {}
     for r in got:
         res.setdefault(r.id, []).append((r.rank, r.nn_id))
@@ -82,14 +90,15 @@ def test_knn_exact_on_tied_integer_grid(spark):
         assert [j for _, j in sorted(res[i])] == [j for _, j in cand]
 
 
-def test_knn_exact_with_hot_copy_group(spark):
+@pytest.mark.parametrize("how", SEARCHES)
+def test_knn_exact_with_hot_copy_group(spark, how):
     rnd = random.Random(17)
     rows = [(i, 0, [1.0, 2.0, 3.0]) for i in range(300)]                       # one vector, 300 copies
     rows += [(300 + i, 0, [rnd.random() * 4, rnd.random() * 4, rnd.random() * 4]) for i in range(100)]
     rows += [(400 + i, 0, [1.0, 2.0, 3.5]) for i in range(20)]                  # a second copy group nearby
     rnd.shuffle(rows)
     df = spark.createDataFrame(rows, "id int, g int, vec array<double>")
-    got = knn_join(df, df, 5, "id", "id", "vec", by=["g"], exclude_self=True).collect()
+    got = knn_join(df, df, 5, "id", "id", "vec", by=["g"], exclude_self=True, **how).collect()
     res = {}
     for r in got:
         res.setdefault(r.id, []).append((r.rank, r.nn_id))
@@ -111,3 +120,13 @@ def test_smote_chunked_generation_for_tiny_class(spark):
         assert r.label == 1 and r.nn_id in (400, 401, 402) and r.nn_id != r.id
         exp = [x + r.gap * (y - x) for x, y in zip(pts[r.id], pts[r.nn_id])]
         assert all(abs(a - b) < 1e-12 for a, b in zip(r.vec, exp))
+
+
+def test_knn_of_nothing_and_of_text_ids(spark):
+    df = spark.createDataFrame([("a", 0, [0.0]), ("b", 0, [1.0]), ("c", None, [0.0]), ("d", 0, None)], "id string, g int, vec array<double>")
+    got = knn_join(df, df, 2, "id", "id", "vec", by=["g"], exclude_self=True).collect()
+    assert sorted((r.id, r.nn_id, r["rank"], r.dist) for r in got) == [("a", "b", 1, 1.0), ("b", "a", 1, 1.0)]
+    none = df.where("id = 'z'")
+    assert knn_join(none, none, 2, "id", "id", "vec", by=["g"]).count() == 0 and knn_join(none, none, 2, "id", "id", "vec").count() == 0
+    with pytest.raises(ValueError, match="method"):
+        knn_join(df, df, 2, "id", "id", "vec", method="other")
