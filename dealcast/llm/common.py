@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import io
 import os
-import shutil
-import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,13 +47,23 @@ def dropped(df: DataFrame) -> None:
 
 def workers_ready(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     """Bound the rows of an Arrow batch (a session setting that Spark reads at run time), and
-    send this package to the Python workers if they'd not find it by themselves."""
+    send this package, by way of the shared folder, to the Python workers if they'd not find it
+    by themselves."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     sc = spark.sparkContext
     found = [os.path.abspath(p) for p in [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]]
     if root not in found and os.path.isdir(root) and "dealcast.zip" not in sc._python_includes:
-        folder = tempfile.mkdtemp(prefix="dealcast-")
-        sc.addPyFile(shutil.make_archive(f"{folder}/dealcast", "zip", root, "dealcast"))
+        packed = io.BytesIO()
+        with zipfile.ZipFile(packed, "w") as z:
+            for folder, _, files in os.walk(f"{root}/dealcast"):
+                for f in files:
+                    if f.endswith(".py"):
+                        z.write(f"{folder}/{f}", os.path.relpath(f"{folder}/{f}", root))
+        path = sc._jvm.org.apache.hadoop.fs.Path(f"{shared_path(spark, 'package')}/dealcast.zip")
+        out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path)
+        out.write(bytearray(packed.getvalue()))
+        out.close()
+        sc.addPyFile(path.toString())
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
