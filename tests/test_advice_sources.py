@@ -4,7 +4,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from dealcast.operators import recommend as R
-from dealcast.sources.html import extract_deals
+from dealcast.sources.html import extract_deals, listing_page
 from dealcast.sources.panel import read_panel, write_panel
 from dealcast.sources.posts import POSTS_SCHEMA, read_posts, write_posts
 
@@ -43,6 +43,18 @@ def test_extract_deals_from_listing(spark):
         ("Tatcha", "Free Travel-Size Cream", "2020-06-21", 7, 0, 0)]
 
 
+def test_listing_pages_of_any_nesting(spark):
+    """Nested elements, empty counters, escapes, missing fields and digits too long for a counter."""
+    rows = [("b", "A & B <x>", "5% Off", "2020-06-20", None, 7, 3), ("b", "S", 'say "hi"', None, 1, None, 10)]
+    posts = spark.createDataFrame(rows, POSTS_SCHEMA).withColumn("posted_date", F.to_date("posted_date"))
+    pages = posts.select("brand", F.lit(1).alias("page_id"), listing_page(posts, "2020-06-21").alias("html"))
+    got = sorted(tuple(r) for r in extract_deals(pages, as_of="2020-06-21").collect())
+    assert got == [("b", "A & B <x>", "5% Off", "2020-06-20", 0, 7, 3), ("b", "S", 'say "hi"', None, 1, 0, 10)]
+    html = '<div class="mlist"><div><div class="subtitle">a</div></div></div><div class="mlist"><div class="stat-count"><b class="j-count">99999999999999999999</b></div></div>'
+    two = extract_deals(spark.createDataFrame([(1, "b", html)], "page_id long, brand string, html string"), as_of="2020-06-21").collect()
+    assert [(r.store, r.discount, r.comments_count, r.shares_count) for r in two] == [("", "a", 0, 0), ("", "", 0, 0)]
+
+
 def test_posts_csv_and_panel_roundtrip(spark):
     d = tempfile.mkdtemp(prefix="dealcast-test-")
     rows = [("kiehls", "Kiehl's", "20% Off", "6/20/2020", None, 7, 3), ("kiehls", "Kiehl's", "Gift, free", "2020-06-21", 4, 1, 0)]
