@@ -21,14 +21,15 @@ ONE_HOT_SOURCES = {"event_1day": EVENT_CATEGORIES, "event_7day": EVENT_CATEGORIE
                    "weekend_flg": [False, True]}
 
 
-def build_features(panel: DataFrame, y: str = "discount_off", fill_zero: bool = True) -> DataFrame:
+def build_features(panel: DataFrame, y: str = "discount_off", fill_zero: bool = True,
+                   digits: int | None = None) -> DataFrame:
     """The 25-column feature frame (X1): 5 lags, 12 rolling stats, calendar, 4 events.
 
     All lag/rolling columns share one window spec -> one exchange + one sort.
     Warm-up nulls become 0 (P6). The label is carried as ``label`` but is never
-    part of a feature list (Q12).
+    part of a feature list (Q12). ``digits`` rounds the rolling means and sums.
     """
-    cols = {**lag_columns(y), **rolling_columns(panel, y)}
+    cols = {**lag_columns(y), **rolling_columns(panel, y, digits=digits)}
     keep = [c for c in ["brand", "posted_date", "rn", "n", "gwp", "discount_off"] if c in panel.columns]
     out = panel.select(
         *keep, *[v.alias(k) for k, v in cols.items()],
@@ -131,23 +132,24 @@ def mutual_info(df: DataFrame, feats: list[str], y: str, bins: int = 10, by: lis
                 digits: int | None = None) -> DataFrame:
     """Binned mutual information between each feature and a discrete label (X6), in nats.
 
-    Features are cut at equal-width bins between their min and max (exact, no
-    sampling); MI = sum p(b, y) log(p(b, y) / (p(b) p(y))). The reference used a
+    Features are cut into equal-frequency bins at their exact percentiles (a value on a
+    cut belongs to the bin below; equal cuts leave fewer bins);
+    MI = sum p(b, y) log(p(b, y) / (p(b) p(y))). The reference used a
     neighbour-based estimator, so values differ; the ranking is what is used.
     """
     by = by or []
     x = {f: F.col(f).cast("double") for f in feats}
-    rng = df.groupBy(*by).agg(*[F.min(x[f]).alias(f"lo__{f}") for f in feats],
-                              *[F.max(x[f]).alias(f"hi__{f}") for f in feats])
-    # one range row per group (a single row when ungrouped): an equi join on the
+    # one row of cuts per group (a single row when ungrouped): an equi join on the
     # group key, or on a constant key, broadcast by AQE as it is one row per group
     key = by or ["_all"]
     if not by:
-        df, rng = df.withColumn("_all", F.lit(0)), rng.withColumn("_all", F.lit(0))
-    j = df.join(rng, key)
+        df = df.withColumn("_all", F.lit(0))
+    shares = [i / bins for i in range(1, bins)]
+    cuts = df.groupBy(*key).agg(*[F.percentile(x[f], shares).alias(f"cuts__{f}") for f in feats])
+    j = df.join(cuts, key)
+
     def b(f):
-        lo, hi = F.col(f"lo__{f}"), F.col(f"hi__{f}")
-        return F.when(hi == lo, 0).otherwise(F.least(F.floor((x[f] - lo) / (hi - lo) * bins), F.lit(bins - 1))).cast("int")
+        return F.size(F.filter(f"cuts__{f}", lambda c: c < x[f]))
     stack = ", ".join(f"'{f}', `b__{f}`" for f in feats)
     long = j.select(*by, F.col(y).alias("_y"), *[b(f).alias(f"b__{f}") for f in feats]).selectExpr(
         *by, "_y", f"stack({len(feats)}, {stack}) AS (feature, bin)")

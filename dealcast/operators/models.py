@@ -9,21 +9,26 @@ MLlib fits; iterative procedures checkpoint between rounds.
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 import random
 
 import pandas as pd
-from pyspark.ml import Pipeline
+from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                        NaiveBayes, RandomForestClassifier)
-from pyspark.ml.feature import (Bucketizer, OneHotEncoder, StringIndexer, StringIndexerModel,
+from pyspark.ml.feature import (OneHotEncoder, StringIndexer, StringIndexerModel,
                                 UnivariateFeatureSelector, VectorAssembler)
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol, HasSeed
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dealcast.functions.draws import uniform_draw
 from dealcast.session import cut_lineage
 
 # ----------------------------------------------------------------- matrices
@@ -260,41 +265,89 @@ def adaboost_r2(train: DataFrame, test: DataFrame, n_estimators: int = 10, max_d
 
 # ----------------------------------------------------------------- extra trees
 
-def extra_trees(train: DataFrame, test: DataFrame, feats: list[str], n_trees: int = 10, max_depth: int = 8,
-                n_cuts: int = 4, seed: int = 11, keys: list[str] | None = None) -> DataFrame:
-    """Randomised-threshold tree ensemble: for every tree each feature is cut at
-    ``n_cuts`` thresholds drawn uniformly between its min and max, a tree is
-    grown on the bucketised features (it can only split at those random
-    thresholds), and the trees' predictions are averaged. MLlib has no
-    per-node random thresholds; this draws them per tree instead.
+class ExtraTreesRegressor(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol, HasSeed):
+    """Ensemble of trees over random thresholds.
+
+    For every draw each slot of the vector is cut at ``numCuts`` thresholds drawn
+    uniformly between its least and greatest training value; MLlib then grows
+    ``treesPerDraw`` trees on the bucket numbers, so they can only split at those
+    thresholds, with the node-wise feature subsets and the bootstrap asked for. The
+    forecast is the mean of all trees. The reference's ensemble draws a threshold at
+    each node, which MLlib's trees cannot; trees are grown by variance alone.
+
+    Trees of one draw differ by feature subset or bootstrap only, so with neither
+    every draw holds one tree.
     """
-    if keys:
-        train = canonical(train, keys)
-    train, out = cut_lineage(train), cut_lineage(test)
-    lo_hi = train.agg(*[F.min(f).alias(f"lo_{f}") for f in feats], *[F.max(f).alias(f"hi_{f}") for f in feats]).first()
-    rng = random.Random(seed)
-    preds = []
-    for t in range(n_trees):
-        splits = {}
-        for f in feats:
-            lo, hi = lo_hi[f"lo_{f}"], lo_hi[f"hi_{f}"]
-            if hi is not None and hi > lo:
-                cuts = sorted({rng.uniform(lo, hi) for _ in range(n_cuts)})
-            else:  # constant (or empty) feature: one cut, all rows land in one bucket
-                cuts = [lo if lo is not None else 0.0]
-            splits[f] = [-float("inf"), *cuts, float("inf")]
-        bk = Bucketizer(splitsArray=[splits[f] for f in feats], inputCols=feats,
-                        outputCols=[f"_b_{f}" for f in feats], handleInvalid="keep")
-        asm = VectorAssembler(inputCols=[f"_b_{f}" for f in feats], outputCol="_bv", handleInvalid="keep")
-        pipe = Pipeline(stages=[bk, asm, DecisionTreeRegressor(featuresCol="_bv", maxDepth=max_depth,
-                                                               maxBins=max(32, n_cuts + 2), seed=seed + t,
-                                                               predictionCol=f"_t{t}")]).fit(train)
-        out = pipe.transform(out).drop(*[f"_b_{f}" for f in feats], "_bv")
-        preds.append(f"_t{t}")
-        if (t + 1) % 4 == 0:  # keep the prediction plan shallow
-            out = cut_lineage(out)
-    avg = sum((F.col(p) for p in preds), F.lit(0.0)) / len(preds)
-    return out.withColumn("prediction", avg).drop(*preds)
+
+    numTrees = Param(Params._dummy(), "numTrees", "trees of the ensemble", TypeConverters.toInt)
+    treesPerDraw = Param(Params._dummy(), "treesPerDraw", "trees that share one draw of thresholds", TypeConverters.toInt)
+    numCuts = Param(Params._dummy(), "numCuts", "random thresholds per slot and draw", TypeConverters.toInt)
+    maxDepth = Param(Params._dummy(), "maxDepth", "greatest depth of a tree", TypeConverters.toInt)
+    bootstrap = Param(Params._dummy(), "bootstrap", "whether a tree sees a bootstrap sample", TypeConverters.toBoolean)
+    featureSubsetStrategy = Param(Params._dummy(), "featureSubsetStrategy", "slots tried at a node", TypeConverters.toString)
+
+    def __init__(self, numTrees: int = 100, treesPerDraw: int = 10, numCuts: int = 30, maxDepth: int = 10,
+                 bootstrap: bool = False, featureSubsetStrategy: str = "onethird", seed: int = 11):
+        super().__init__()
+        self._set(numTrees=numTrees, treesPerDraw=treesPerDraw, numCuts=numCuts, maxDepth=maxDepth,
+                  bootstrap=bootstrap, featureSubsetStrategy=featureSubsetStrategy, seed=seed)
+
+    def setParams(self, **values) -> "ExtraTreesRegressor":
+        return self._set(**values)
+
+    def _fit(self, dataset: DataFrame) -> "ExtraTreesModel":
+        opt = {p.name: self.getOrDefault(p) for p in self.params if self.isDefined(p)}
+        features = F.col(opt["featuresCol"])
+        ends = dataset.select(Summarizer.metrics("min", "max").summary(features).alias("s")).select("s.*").first()
+        alike = opt["featureSubsetStrategy"] == "all" and not opt["bootstrap"]
+        per_draw = 1 if alike else opt["treesPerDraw"]
+        rng = random.Random(opt["seed"])
+        parts = []
+        for first in range(0, opt["numTrees"], per_draw):
+            cuts = [sorted(rng.uniform(lo, hi) for _ in range(opt["numCuts"])) if hi > lo else []
+                    for lo, hi in zip(ends["min"], ends["max"])]
+            trees = min(per_draw, opt["numTrees"] - first)
+            forest = RandomForestRegressor(featuresCol="_buckets", labelCol=opt["labelCol"], predictionCol="_trees",
+                                           numTrees=trees, maxDepth=opt["maxDepth"], maxBins=max(32, opt["numCuts"] + 2),
+                                           bootstrap=opt["bootstrap"], seed=opt["seed"] + first,
+                                           featureSubsetStrategy=opt["featureSubsetStrategy"])
+            parts.append((cuts, forest.fit(dataset.withColumn("_buckets", _bucket_numbers(features, cuts))), trees))
+        return self._copyValues(ExtraTreesModel(parts))
+
+
+class ExtraTreesModel(Model, HasFeaturesCol, HasLabelCol, HasPredictionCol, HasSeed):
+    """Forests of an ``ExtraTreesRegressor`` with the thresholds they were grown on."""
+
+    def __init__(self, parts: list):
+        super().__init__()
+        self.parts = parts
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        features, total = F.col(self.getOrDefault(self.featuresCol)), sum(n for _, _, n in self.parts)
+        out = dataset.withColumn("_sum", F.lit(0.0))
+        for i, (cuts, forest, n) in enumerate(self.parts):
+            out = forest.transform(out.withColumn("_buckets", _bucket_numbers(features, cuts)))
+            out = out.withColumn("_sum", F.col("_sum") + F.col("_trees") * n).drop("_buckets", "_trees")
+            if i % 10 == 9:  # keep the prediction plan shallow
+                out = cut_lineage(out)
+        return out.withColumn(self.getOrDefault(self.predictionCol), F.col("_sum") / total).drop("_sum")
+
+
+def _bucket_numbers(features, cuts: list[list[float]]):
+    """Vector of how many thresholds of its slot each value has reached."""
+    table = F.array(*[F.array(*[F.lit(c) for c in row]).cast("array<double>") for row in cuts])
+    reached = F.zip_with(vector_to_array(features), table,
+                         lambda v, row: F.size(F.filter(row, lambda c: c <= v)).cast("double"))
+    return array_to_vector(reached)
+
+
+def extra_trees(train: DataFrame, test: DataFrame, feats: list[str], n_trees: int = 100, max_depth: int = 10,
+                n_cuts: int = 30, seed: int = 11, keys: list[str] | None = None) -> DataFrame:
+    """``ExtraTreesRegressor`` on plain feature columns: ``test`` with ``prediction``."""
+    asm = VectorAssembler(inputCols=feats, outputCol="_x", handleInvalid="keep")
+    train = cut_lineage(asm.transform(canonical(train, keys) if keys else train))
+    est = ExtraTreesRegressor(numTrees=n_trees, maxDepth=max_depth, numCuts=n_cuts, seed=seed).setParams(featuresCol="_x")
+    return est.fit(train).transform(asm.transform(test)).drop("_x")
 
 
 # ----------------------------------------------------------------- importance
@@ -344,34 +397,69 @@ def exact_auc_evaluator():
     return BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0)
 
 
-def spot_check(folds: DataFrame, models: dict, k: int, seed: int = 7, parallelism: int = 4) -> DataFrame:
-    """Every model on every fold: train on the other folds, AUROC on the fold.
+def nearest_votes(train: DataFrame, test: DataFrame, k: int = 5, id_col: str = "row_id") -> DataFrame:
+    """``test`` with the share of label 1 among each row's k nearest training rows (M13) as ``rawPrediction``."""
+    from dealcast.operators.neighbours import knn_join
+    rows = [d.select(id_col, vector_to_array("features").alias("vec")) for d in (test, train)]
+    near = knn_join(rows[0], rows[1], k, id_col, id_col).join(
+        train.select(F.col(id_col).alias("nn_id"), F.col("label").alias("_near")), "nn_id")
+    return test.join(near.groupBy(id_col).agg(F.avg("_near").alias("rawPrediction")), id_col)
+
 
-    The fold frame is checkpointed once; the k x models fits are independent
-    jobs run from ``parallelism`` driver threads. Returns the long score table
-    (model, fold, metric, value).
+def spot_check(frame: DataFrame, models: dict, folds: list, evaluator=None, metric: str = "roc_auc",
+               parallelism: int = 4) -> DataFrame:
+    """Every model on every fold (M21): long score table (model, fold, metric, value).
+
+    ``models`` names estimators, or functions of (train, test) that return the test
+    rows with predictions. ``folds`` are (train, test) pairs of conditions on the
+    frame: ``column_folds`` or ``calendar_folds``. The frame is checkpointed once and
+    every fold selects its rows from it; the fits are independent jobs submitted
+    from ``parallelism`` driver threads.
     """
     from concurrent.futures import ThreadPoolExecutor
-    spark = folds.sparkSession
-    folds = cut_lineage(folds)
-    ev = exact_auc_evaluator()
+    spark, frame = frame.sparkSession, cut_lineage(frame)
+    ev = evaluator or exact_auc_evaluator()
 
     def run(task):
         name, f = task
-        tr = folds.where(F.col("fold") != f)
-        te = folds.where(F.col("fold") == f)
-        return name, f, "roc_auc", float(ev.evaluate(models[name](seed).fit(tr).transform(te)))
+        tr, te = (frame.where(side) for side in folds[f])
+        model = models[name]
+        pred = model.fit(tr).transform(te) if isinstance(model, Estimator) else model(tr, te)
+        return name, f, metric, float(ev.evaluate(pred))
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        rows = list(pool.map(run, [(m, f) for m in models for f in range(k)]))
+        rows = list(pool.map(run, [(m, f) for m in models for f in range(len(folds))]))
     return spark.createDataFrame(rows, "model string, fold int, metric string, value double")
 
 
+def column_folds(k: int, col: str = "fold") -> list:
+    """(train, test) conditions of a fold column: the other folds, and the fold."""
+    return [(F.col(col) != f, F.col(col) == f) for f in range(k)]
+
+
+def calendar_folds(frame: DataFrame, n_splits: int = 20, test_days: int | None = None, col: str = "posted_date") -> list:
+    """(train, test) conditions of expanding walk-forward folds with shared calendar cuts.
+
+    The last ``n_splits`` blocks of ``test_days`` days (default: days // (n_splits + 1))
+    are tested one by one, each by a fit on all earlier days. The cuts are dates, the
+    same for every group, so a pooled fit never sees a day later than its test block
+    starts, whichever group the day belongs to.
+    """
+    ends = frame.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
+    days = (ends["hi"] - ends["lo"]).days + 1
+    size = test_days or days // (n_splits + 1)
+    if size < 1 or size * n_splits >= days:
+        raise ValueError(f"{days} days hold no training day before {n_splits} test blocks of {size} days")
+    starts = [ends["hi"] - dt.timedelta(size * (n_splits - f) - 1) for f in range(n_splits)]
+    return [(F.col(col) < F.lit(s), (F.col(col) >= F.lit(s)) & (F.col(col) < F.lit(s + dt.timedelta(size)))) for s in starts]
+
+
+# The ranges that the reference's searches draw from. A pair is a
+# half-open range (whole numbers, or real ones), a list a choice.
 def rf_param_space(light: bool = False) -> dict:
     """Random-forest search space. Full: the reference's ranges (trees 150-999,
     depth 10..110 or unlimited -> capped at MLlib's 30, leaf 1/2/4, sqrt/auto
     features, bootstrap on/off). Light: small forests for quick runs."""
-    # The ranges that the reference draws from.
     if light:
         return {"numTrees": (10, 50), "maxDepth": [3, 5, 8], "minInstancesPerNode": [1, 2, 4],
                 "featureSubsetStrategy": ["sqrt", "auto"], "bootstrap": [True, False]}
@@ -379,73 +467,97 @@ def rf_param_space(light: bool = False) -> dict:
             "featureSubsetStrategy": ["sqrt", "auto"], "bootstrap": [True, False]}
 
 
-def random_search_classifier(folds: DataFrame, n_iter: int = 100, k: int = 10, seed: int = 42,
-                             space: dict | None = None, parallelism: int = 4, scoring: str = "accuracy"):
-    """Seeded random search over random-forest parameters with k-fold CV on a
-    fold column (M22), then the best model refitted on all rows (M23).
+def boosted_param_space() -> dict:
+    """Boosted-tree search space: rounds, step size, shares of rows and slots, depth, leaf size."""
+    return {"maxIter": (150, 1000), "stepSize": (0.01, 0.61), "subsamplingRate": (0.3, 1.2),
+            "maxDepth": [3, 4, 5, 6, 7, 8, 9], "featureSubsetStrategy": (0.5, 1.4), "minInstancesPerNode": [1, 2, 3, 4]}
+
+
+def extra_trees_space() -> dict:
+    """Extra-trees search space (the reference's second split criterion does not exist in MLlib)."""
+    return {"numTrees": (10, 110), "bootstrap": [True, False]}
+
+
+def drawn_columns(space: dict, seed: int, draw: str = "draw") -> list:
+    """The parameters of a draw number (M22) as columns.
 
-    ``scoring``: "accuracy" (a classifier's default score, as in the reference's
-    forest search) or "roc_auc". Returns (best_model, table of (draw, params, mean_score)).
+    A value is picked by the md5 draw of (seed, draw, parameter), so any engine draws
+    the same sets. Shares above 1 become 1.
+    """
+    cols = []
+    for name, values in space.items():
+        u = uniform_draw(F.lit(seed), draw, F.lit(name))
+        if isinstance(values, list):
+            col = F.element_at(F.array(*[F.lit(v) for v in values]), F.floor(u * len(values)).cast("int") + 1)
+        elif all(isinstance(v, int) for v in values):
+            col = (F.lit(values[0]) + F.floor(u * (values[1] - values[0]))).cast("int")
+        else:
+            col = F.least(F.lit(values[0]) + u * (values[1] - values[0]), F.lit(1.0))
+        cols.append(col.alias(name))
+    return cols
+
+
+def search_draws(spark, space: dict, n_iter: int, seed: int = 42) -> DataFrame:
+    """``n_iter`` parameter draws, one row each."""
+    return spark.range(n_iter).select(F.col("id").cast("int").alias("draw")).select("draw", *drawn_columns(space, seed))
+
+
+def param_maps(estimator, draws: DataFrame) -> list[dict]:
+    """The draws (one row each) as parameter maps of an estimator."""
+    return [{estimator.getParam(k): str(v) if k == "featureSubsetStrategy" else v for k, v in r.asDict().items() if k != "draw"}
+            for r in draws.orderBy("draw").collect()]
+
+
+def random_search_classifier(folds: DataFrame, n_iter: int = 100, k: int = 10, seed: int = 42,
+                             space: dict | None = None, parallelism: int = 4, scoring: str = "accuracy",
+                             estimator=None):
+    """Seeded random search with k-fold CV on a fold column (M22), then the best
+    model refitted on all rows (M23).
+
+    ``estimator``: a random forest by default; for boosted trees give a
+    ``GBTClassifier``, ``boosted_param_space()`` and scoring "roc_auc". ``scoring``:
+    "accuracy" (a classifier's default score, as in the reference's forest search) or
+    "roc_auc". Returns (best_model, table of (draw, params, mean_score)).
     """
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-    from pyspark.ml.classification import RandomForestClassifier as RFC
     from pyspark.ml.tuning import CrossValidator
-    space = space or rf_param_space()
-    rng = random.Random(seed)
-    rf = RFC(seed=seed)
-    maps = []
-    for _ in range(n_iter):
-        lo, hi = space["numTrees"]
-        maps.append({rf.numTrees: rng.randrange(lo, hi), rf.maxDepth: rng.choice(space["maxDepth"]),
-                     rf.minInstancesPerNode: rng.choice(space["minInstancesPerNode"]),
-                     rf.featureSubsetStrategy: rng.choice(space["featureSubsetStrategy"]),
-                     rf.bootstrap: rng.choice(space["bootstrap"])})
+    spark = folds.sparkSession
+    est = estimator or RandomForestClassifier(seed=seed)
+    maps = param_maps(est, search_draws(spark, space or rf_param_space(), n_iter, seed))
     ev = exact_auc_evaluator() if scoring == "roc_auc" else MulticlassClassificationEvaluator(metricName="accuracy")
-    cv = CrossValidator(estimator=rf, estimatorParamMaps=maps, evaluator=ev,
+    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, numFolds=k,
                         foldCol="fold", parallelism=parallelism, seed=seed)
     model = cv.fit(cut_lineage(folds))
-    spark = folds.sparkSession
     table = spark.createDataFrame(
         [(i, str({p.name: v for p, v in m.items()}), float(a)) for i, (m, a) in enumerate(zip(maps, model.avgMetrics))],
         "draw int, params string, mean_score double")
     return model.bestModel, table
 
 
-def walk_forward_search(frame: DataFrame, estimator_maps: list, n_splits_col, pos_col: str = "pos",
-                        n_col: str = "n_rows", parallelism: int = 4, scoring: str = "r2"):
+def walk_forward_search(frame: DataFrame, estimator_maps: list, folds: list, parallelism: int = 4, scoring: str = "r2"):
     """Walk-forward model selection for regression (M22 regression branch).
 
     CrossValidator trains on all other folds; an expanding window must only
-    train on the past, so the loop is explicit: for each parameter map and fold,
-    fit on the fold's train rows and score its test rows. ``scoring``: "r2" (a
-    regressor's default score, as in the reference's search; higher is better)
-    or "rmse" (lower is better). The (candidate, fold) fits are independent
-    Spark jobs submitted from ``parallelism`` driver threads, as CrossValidator
-    does. Returns ((best index, best mean score), [(index, mean score), ...]).
+    train on the past, so every (estimator, parameter map) is a model of a
+    ``spot_check`` on ``calendar_folds``. ``scoring``: "r2" (a regressor's default
+    score, as in the reference's search; higher is better) or "rmse" (lower is
+    better). Returns ((best index, best mean score), [(index, mean score), ...]).
     """
-    from concurrent.futures import ThreadPoolExecutor
     from pyspark.ml.evaluation import RegressionEvaluator
-    from dealcast.operators.splits import walk_forward_folds
-    ev = RegressionEvaluator(metricName=scoring)
-    roles = cut_lineage(walk_forward_folds(frame, n_splits_col, pos_col=pos_col, n_col=n_col))
-    n_folds = (roles.agg(F.max("fold")).first()[0] or 0) + 1
-
-    def run(task):
-        i, f = task
-        est, pm = estimator_maps[i]
-        tr = roles.where((F.col("fold") == f) & (F.col("role") == "train"))
-        te = roles.where((F.col("fold") == f) & (F.col("role") == "test"))
-        return i, ev.evaluate(est.fit(tr, pm).transform(te))
-
-    tasks = [(i, f) for i in range(len(estimator_maps)) for f in range(n_folds)]
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        scores = list(pool.map(run, tasks))
-    results = []
-    for i in range(len(estimator_maps)):
-        vals = [v for j, v in scores if j == i]
-        results.append((i, sum(vals) / len(vals)))
-    best = (max if scoring == "r2" else min)(results, key=lambda r: r[1])
-    return best, results
+    models = {str(i): est.copy(pm) for i, (est, pm) in enumerate(estimator_maps)}
+    scores = spot_check(frame, models, folds, RegressionEvaluator(metricName=scoring), scoring, parallelism)
+    mean = {r["model"]: r["v"] for r in scores.groupBy("model").agg(F.avg("value").alias("v")).collect()}
+    results = [(i, mean[str(i)]) for i in range(len(estimator_maps))]
+    return (max if scoring == "r2" else min)(results, key=lambda r: r[1]), results
+
+
+def extra_trees_search(frame: DataFrame, folds: list, n_iter: int = 10, seed: int = 42, parallelism: int = 4):
+    """The reference's regression search: ``n_iter`` draws of extra trees on walk-forward
+    folds by R2; returns (best estimator, [(index, mean score), ...]), to be fitted again on all rows."""
+    est = ExtraTreesRegressor(seed=seed)
+    maps = param_maps(est, search_draws(frame.sparkSession, extra_trees_space(), n_iter, seed))
+    best, results = walk_forward_search(frame, [(est, m) for m in maps], folds, parallelism)
+    return est.copy(maps[best[0]]), results
 
 
 def compare_feature_sets(train: DataFrame, test: DataFrame, k: int = 10, n_features: int | None = None) -> DataFrame:

@@ -30,12 +30,13 @@ def lag_columns(y: str = "discount_off", lags=LAGS, prefix: str = "t_") -> dict:
     return {f"{prefix}{k}": F.lag(y, k).over(w) for k in lags}
 
 
-def rolling_columns(df: DataFrame, y: str = "discount_off", widths=ROLL_WIDTHS, stats=ROLL_STATS) -> dict:
+def rolling_columns(df: DataFrame, y: str = "discount_off", widths=ROLL_WIDTHS, stats=ROLL_STATS,
+                    digits: int | None = None) -> dict:
     """Rolling stat of width k over the series shifted by k.
 
     Frame ``rowsBetween(-(2k-1), -k)``; null until the frame holds k rows
-    (position >= 2k), as a full-window rolling statistic would be. Means and
-    sums are rounded to 9 places.
+    (position >= 2k), as a full-window rolling statistic would be. ``digits`` rounds
+    means and sums, for bins and ranks that must not depend on summation order.
     """
     w = series_window()
     pos = _pos(df)
@@ -48,10 +49,8 @@ def rolling_columns(df: DataFrame, y: str = "discount_off", widths=ROLL_WIDTHS,
             if k == 1 and s in ("mean", "max", "sum", "min"):
                 # width 1 over lag 1 is the lag itself (Q13): no extra frame
                 out[name] = F.lag(y, 1).over(w)
-            elif s in ("mean", "sum"):
-                # 9 places: drops summation-order noise (values are cents), so bins
-                # and ranks built on these features do not depend on the engine
-                out[name] = F.when(pos >= 2 * k, F.round(fn[s](y).over(frame), 9))
+            elif s in ("mean", "sum") and digits is not None:
+                out[name] = F.when(pos >= 2 * k, F.round(fn[s](y).over(frame), digits))
             else:
                 out[name] = F.when(pos >= 2 * k, fn[s](y).over(frame))
     return out

@@ -23,18 +23,18 @@ def learned_discount_forecast(panel: DataFrame, estimator=None, candidates: list
     year: (brand, day_ahead, pred_discount). Features never include the label.
 
     ``candidates`` (estimator, parameter map pairs) are compared by walk-forward folds of
-    the training days and the best one is fitted again on all of them. Days that the
+    the training calendar and the best one is fitted again on all of them. Days that the
     decision rule doesn't take as discount days are forecast as zero.
     """
     f = split_tail(X.one_hot(X.build_features(panel)))
-    f = f.withColumns({"day_ahead": (F.col("rn") - (F.col("n") - 364)).cast("int"), "pos": F.col("rn") - 7, "n_rows": F.col("n") - 371})
+    f = f.withColumns({"day_ahead": (F.col("rn") - (F.col("n") - 364)).cast("int")})
     feats = X.feature_names()
     matrix = M.fit_matrix(f.where(F.col("split") == "train"), feats, "label")
-    vf, _ = M.vector_frame(f, feats, "label", keep=["split", "day_ahead", "pos", "n_rows"], fitted=matrix)
+    vf, _ = M.vector_frame(f, feats, "label", keep=["split", "day_ahead", "posted_date"], fitted=matrix)
     train = vf.where(F.col("split") == "train")
     est, params = estimator or M.REGRESSORS["random_forest"](7), None
     if candidates:
-        best, _ = M.walk_forward_search(train, candidates, F.lit(folds))
+        best, _ = M.walk_forward_search(train, candidates, M.calendar_folds(train, folds))
         est, params = candidates[best[0]]
     pred = est.fit(train, params).transform(vf.where(F.col("split") == "test"))
     pred = pred.select("brand", "day_ahead", F.greatest(F.col("prediction"), F.lit(0.0)).alias("pred_discount"))

@@ -5,16 +5,18 @@ from __future__ import annotations
 import os
 import uuid
 
+from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from dealcast import sqltwins as T
+from dealcast.functions.draws import sql_uniform_draw
 from dealcast.operators import features as X
 from dealcast.operators import metrics as E
 from dealcast.operators import models as M
 from dealcast.operators import splits as S
 from dealcast.registry.base import D, register
 from dealcast.registry.core import filled, panel
-from dealcast.registry.panel_queries import FEAT_BASE
+from dealcast.registry.panel_queries import FEAT_BASE, features
 from dealcast.session import ensure_checkpoint_dir
 
 TREND_SQL = T.BASE_FILLED + """,
@@ -96,7 +98,7 @@ def q_bayes_trend(spark, sf):
 
 # ---------------------------------------------------------------- pooled regression on the feature frame
 def reg_frames(spark, sf):
-    f = S.split_tail(X.one_hot(X.build_features(panel(spark, sf))))
+    f = S.split_tail(X.one_hot(features(spark, sf)))
     feats = X.feature_names()
     vf, names = M.vector_frame(f, feats, "label", keep=["posted_date", "split"])
     vf = vf.where(F.col("split").isin("train", "test"))
@@ -126,17 +128,17 @@ def q_adaboost(spark, sf):
 
 @register("m11_extra_trees_regressor")
 def q_extra_trees(spark, sf):
-    f = S.split_tail(X.one_hot(X.build_features(panel(spark, sf))))
+    f = S.split_tail(X.one_hot(features(spark, sf)))
     feats = X.feature_names()
     f = f.select("brand", "posted_date", "split", *[F.col(c).cast("double").alias(c) for c in feats],
                  F.col("label").cast("double"))
     tr, te = f.where(F.col("split") == "train"), f.where(F.col("split") == "test")
-    return _reg_scores(M.extra_trees(tr, te, feats, n_trees=10, keys=["brand", "posted_date"]), "extra_trees")
+    return _reg_scores(M.extra_trees(tr, te, feats, keys=["brand", "posted_date"]), "extra_trees")
 
 
 # ---------------------------------------------------------------- classification on deal days
 def cls_frames(spark, sf):
-    dd = X.one_hot(X.filter_deal_days(X.build_features(panel(spark, sf))))
+    dd = X.one_hot(X.filter_deal_days(features(spark, sf)))
     dd = S.split_random(dd, ["posted_date"], 0.7, 42, ["brand"])
     feats = X.feature_names()
     vf, names = M.vector_frame(dd.withColumn("y", F.col("gwp").cast("int")), feats, "y", keep=["posted_date", "split"])
@@ -168,7 +170,7 @@ GNB_FEATS = X.NUMERIC_FEATURES
     """SELECT y AS class, feature, round(count(*) / max(tot), 6) AS prior, round(avg(x), 6) AS mean,
   round(var_pop(x), 6) AS var FROM (SELECT *, count(*) OVER (PARTITION BY feature) AS tot FROM lg) GROUP BY y, feature"""]))
 def q_gnb(spark, sf):
-    dd = X.filter_deal_days(X.build_features(panel(spark, sf))).withColumn("y", F.col("gwp").cast("int"))
+    dd = X.filter_deal_days(features(spark, sf)).withColumn("y", F.col("gwp").cast("int"))
     return M.gaussian_nb_params(dd, GNB_FEATS, "y", digits=D)
 
 
@@ -180,19 +182,67 @@ def q_gain(spark, sf):
     return M.gain_importance(gbt, names, path)
 
 
+def cls_folds(spark, sf, k):
+    tr, te, _ = cls_frames(spark, sf)
+    return S.stratified_folds(tr, "label", ["posted_date"], k=k, seed=2, by=["brand"]), te
+
+
 @register("m21_spot_check")
 def q_spot(spark, sf):
-    tr, _, _ = cls_frames(spark, sf)
-    folds = S.stratified_folds(tr, "label", ["posted_date"], k=10, seed=2, by=["brand"])
-    models = {k: M.CLASSIFIERS[k] for k in ("logit", "naive_bayes", "decision_tree", "random_forest")}
-    scores = M.spot_check(folds, models, k=10)
+    """The reference's eight classifiers by area under ROC on ten stratified folds."""
+    folds, _ = cls_folds(spark, sf, 10)
+    folds = folds.withColumn("row_id", F.concat_ws("|", "brand", F.col("posted_date").cast("string")))
+    models = {name: make(7) for name, make in M.CLASSIFIERS.items()}
+    return E.cv_summary(M.spot_check(folds, models | {"knn": M.nearest_votes}, M.column_folds(10)), ["model"], digits=D)
+
+
+@register("m21_regressor_spot_check")
+def q_regressor_spot(spark, sf):
+    """The reference's six regressors by RMSE on walk-forward blocks of 84 days of the training calendar."""
+    from pyspark.ml.evaluation import RegressionEvaluator
+    tr, _, _ = reg_frames(spark, sf)
+    models = {name: M.REGRESSORS[name](7) for name in ("decision_tree", "bagging", "random_forest", "gradient_boosting")}
+    models |= {"adaboost": M.adaboost_r2, "extra_trees": M.ExtraTreesRegressor()}
+    folds = M.calendar_folds(tr, 20, 84)
+    scores = M.spot_check(tr, models, folds, RegressionEvaluator(metricName="rmse"), "rmse", parallelism=8)
     return E.cv_summary(scores, ["model"], digits=D)
 
 
+def _search_plan_sql() -> str:
+    day = lambda seed: sql_uniform_draw(f"concat_ws('|', '{seed}', CAST(posted_date AS VARCHAR))")
+    u = lambda name: sql_uniform_draw(f"concat_ws('|', '42', CAST(draw AS VARCHAR), '{name}')")
+    pick = lambda name, values: f"({values})[CAST(floor({u(name)} * len({values})) AS INT) + 1] AS {name}"
+    return FEAT_BASE.rstrip() + f""",
+tr AS (SELECT brand, posted_date, y FROM (
+  SELECT brand, posted_date, y, row_number() OVER (PARTITION BY brand ORDER BY {day(42)}, posted_date) AS rk,
+         count(*) OVER (PARTITION BY brand) AS cnt FROM dd) WHERE rk <= floor(cnt * CAST(0.7 AS DOUBLE))),
+fo AS (SELECT y, CAST((row_number() OVER (PARTITION BY brand, y ORDER BY {day(2)}, posted_date) - 1) % 10 AS INT) AS fold FROM tr),
+ct AS (SELECT fold, y, count(*) AS n_test FROM fo GROUP BY ALL),
+pl AS (SELECT *, CAST(sum(n_test) OVER (PARTITION BY y) - n_test AS BIGINT) AS n_train FROM ct)
+SELECT CAST(draw AS INT) AS draw, fold, y AS class, n_train, n_test,
+  CAST(150 + floor({u('numTrees')} * 850) AS INT) AS trees, {pick('maxDepth', '[10, 20, 30]')},
+  {pick('minInstancesPerNode', '[1, 2, 4]')}, {pick('featureSubsetStrategy', "['sqrt', 'auto']")}, {pick('bootstrap', '[true, false]')}
+FROM pl, range(100) AS t(draw)"""
+
+
+@register("m22_search_plan", _search_plan_sql())
+def q_search_plan(spark, sf):
+    """The reference's forest search as drawn: 100 parameter sets by 10 folds, with the rows of
+    either class that a fit trains on and is scored by."""
+    folds, _ = cls_folds(spark, sf, 10)
+    per = folds.groupBy("label").pivot("fold", list(range(10))).agg(F.count(F.lit(1)))
+    sizes = F.array(*[F.coalesce(F.col(str(f)), F.lit(0)) for f in range(10)])
+    total = F.aggregate("sizes", F.lit(0).cast("bigint"), lambda a, n: a + n)
+    one = per.select("label", sizes.alias("sizes")).select("label", total.alias("total"), F.posexplode("sizes").alias("fold", "n_test"))
+    plan = one.where("n_test > 0").select("*", F.explode(F.sequence(F.lit(0), F.lit(99))).alias("draw"))
+    out = plan.select("draw", "fold", F.col("label").cast("int").alias("class"), (F.col("total") - F.col("n_test")).alias("n_train"),
+                      "n_test", *M.drawn_columns(M.rf_param_space(), 42))
+    return out.withColumnRenamed("numTrees", "trees")
+
+
 @register("m22_m23_random_search")
 def q_search(spark, sf):
-    tr, te, _ = cls_frames(spark, sf)
-    folds = S.stratified_folds(tr, "label", ["posted_date"], k=3, seed=2, by=["brand"])
+    folds, te = cls_folds(spark, sf, 3)
     best, table = M.random_search_classifier(folds, n_iter=4, k=3, seed=42, space=M.rf_param_space(light=True))
     pred = best.transform(te)
     return _cls_scores(pred, "rf_tuned")
@@ -206,17 +256,11 @@ def q_feature_sets(spark, sf):
 
 @register("m21_m22_walk_forward_search")
 def q_wf_search(spark, sf):
-    """Regression model selection on expanding walk-forward folds of each brand's
-    training days (20 folds when a brand has more than 350 training days, else 5)."""
-    from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
-    f = S.split_tail(X.one_hot(X.build_features(panel(spark, sf)))).where(F.col("split") == "train")
-    f = f.withColumns({"pos": F.col("rn") - 7, "n_rows": F.col("n") - 371})
-    vf, _ = M.vector_frame(f, X.feature_names(), "label", keep=["pos", "n_rows"])
-    dt = DecisionTreeRegressor(seed=7)
-    rf = RandomForestRegressor(seed=7)
+    """Regression model selection on 20 expanding walk-forward folds of the training calendar."""
+    tr, _, _ = reg_frames(spark, sf)
+    dt, rf = DecisionTreeRegressor(seed=7), RandomForestRegressor(seed=7)
     cands = [(dt, {dt.maxDepth: 3}), (dt, {dt.maxDepth: 6}), (rf, {rf.numTrees: 10, rf.maxDepth: 5})]
-    k = F.when(F.col("n_rows") > 350, F.lit(20)).otherwise(F.lit(5))
-    best, results = M.walk_forward_search(vf, cands, k, scoring="r2")
+    best, results = M.walk_forward_search(tr, cands, M.calendar_folds(tr, 20), scoring="r2")
     names = ["decision_tree_depth3", "decision_tree_depth6", "random_forest_10x5"]
     rows = [(names[i], float(score), i == best[0]) for i, score in results]
     return spark.createDataFrame(rows, "candidate string, mean_r2 double, best boolean")

@@ -201,7 +201,8 @@ ROUNDED = [f"{s}_{k}" for s in ("mean", "sum") for k in (7, 14, 30)]
 
 
 def features(spark, sf):
-    return X.build_features(panel(spark, sf))
+    """The feature frame, with rolling values rounded as in the twins: exact bins and ranks follow."""
+    return X.build_features(panel(spark, sf), digits=9)
 
 
 def deal_days(spark, sf):
@@ -286,9 +287,8 @@ def q_fclassif(spark, sf):
 
 @register("x6_mutual_info", FEAT_BASE.rstrip() + f""",
 lg AS ({_long_sql(FSEL)}),
-rg AS (SELECT brand, feature, min(x) AS lo, max(x) AS hi FROM lg GROUP BY ALL),
-bn AS (SELECT l.brand, l.feature, l.y,
-         CAST(CASE WHEN r.hi = r.lo THEN 0 ELSE least(floor((l.x - r.lo) / (r.hi - r.lo) * 10), 9) END AS INT) AS bin
+rg AS (SELECT brand, feature, quantile_cont(x, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS cuts FROM lg GROUP BY ALL),
+bn AS (SELECT l.brand, l.feature, l.y, len(list_filter(r.cuts, lambda c: c < l.x)) AS bin
        FROM lg l JOIN rg r ON l.brand = r.brand AND l.feature = r.feature),
 ct AS (SELECT brand, feature, bin, y, count(*) AS c FROM bn GROUP BY ALL),
 pr AS (SELECT *, sum(c) OVER (PARTITION BY brand, feature) AS nn,
