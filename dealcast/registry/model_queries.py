@@ -189,23 +189,9 @@ def cls_folds(spark, sf, k):
 
 @register("m21_spot_check")
 def q_spot(spark, sf):
-    """The reference's eight classifiers by area under ROC on ten stratified folds."""
     folds, _ = cls_folds(spark, sf, 10)
-    folds = folds.withColumn("row_id", F.concat_ws("|", "brand", F.col("posted_date").cast("string")))
-    models = {name: make(7) for name, make in M.CLASSIFIERS.items()}
-    return E.cv_summary(M.spot_check(folds, models | {"knn": M.nearest_votes}, M.column_folds(10)), ["model"], digits=D)
-
-
-@register("m21_regressor_spot_check")
-def q_regressor_spot(spark, sf):
-    """The reference's six regressors by RMSE on walk-forward blocks of 84 days of the training calendar."""
-    from pyspark.ml.evaluation import RegressionEvaluator
-    tr, _, _ = reg_frames(spark, sf)
-    models = {name: M.REGRESSORS[name](7) for name in ("decision_tree", "bagging", "random_forest", "gradient_boosting")}
-    models |= {"adaboost": M.adaboost_r2, "extra_trees": M.ExtraTreesRegressor()}
-    folds = M.calendar_folds(tr, 20, 84)
-    scores = M.spot_check(tr, models, folds, RegressionEvaluator(metricName="rmse"), "rmse", parallelism=8)
-    return E.cv_summary(scores, ["model"], digits=D)
+    models = {k: M.CLASSIFIERS[k](7) for k in ("logit", "naive_bayes", "decision_tree", "random_forest")}
+    return E.cv_summary(M.spot_check(folds, models, M.column_folds(10)), ["model"], digits=D)
 
 
 def _search_plan_sql() -> str:
