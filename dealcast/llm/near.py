@@ -121,8 +121,13 @@ def _key(words: list[bytes]) -> bytes:
     return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
 
 
+def text_hash(text="text"):
+    """md5 of a text as it stands, made natively; with the id it names the rows of one document."""
+    return F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
+
+
 def prints(docs: DataFrame) -> DataFrame:
-    """doc_id, key, n (size of the shingle set), sig and odd (its sketches) of every document."""
+    """doc_id, th (text hash), key, n (size of the shingle set), sig and odd (its sketches) of every document."""
     def run(batches):
         import pyarrow as pa
         _setup()
@@ -136,11 +141,11 @@ def prints(docs: DataFrame) -> DataFrame:
                 sizes.append(len(s))
                 sigs.append(signature(s).tobytes() if words else None)
                 odd.append(odd_sketch(s).tobytes() if words else None)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
-                                              pa.array(sigs, pa.binary()), pa.array(odd, pa.binary())], ["doc_id", "key", "n", "sig", "odd"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("th"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
+                                              pa.array(sigs, pa.binary()), pa.array(odd, pa.binary())], ["doc_id", "th", "key", "n", "sig", "odd"])
 
-    return docs.select("doc_id", F.col("text").cast("binary").alias("text")) \
-        .mapInArrow(run, "doc_id long, key binary, n long, sig binary, odd binary")
+    return docs.select("doc_id", text_hash().alias("th"), F.col("text").cast("binary").alias("text")) \
+        .mapInArrow(run, "doc_id long, th binary, key binary, n long, sig binary, odd binary")
 
 
 def sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -285,12 +290,13 @@ def blocked_pairs(members: DataFrame, threshold: int) -> DataFrame:
     return placed.groupBy("band", "h", "i", "j").applyInArrow(compare, "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """doc_id, text -> doc_id, n_shingles, component_id, kept; one row per document."""
+def judged(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """doc_id, th, key, n, first of every row; first (none, doc_id, th) is the row that stands for
+    its component: the smallest id, then the smallest text hash. It is null for a sole row."""
     workers_ready(docs.sparkSession)
     seen = written(prints(docs), "near-prints")
     classes = written(seen.where(F.col("key").isNotNull()).groupBy("key").agg(
-        F.min("doc_id").alias("first_doc"), F.max("n").alias("n"), F.max("sig").alias("sig"), F.max("odd").alias("odd"), F.count(F.lit(1)).alias("copies")), "near-classes")
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("first"), F.max("n").alias("n"), F.max("sig").alias("sig"), F.max("odd").alias("odd"), F.count(F.lit(1)).alias("copies")), "near-classes")
 
     band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.struct(
         k.alias("band"), F.xxhash64(F.substring("sig", k * (4 * ROWS) + 1, F.lit(4 * ROWS))).alias("h")))
@@ -302,7 +308,7 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     leaders = written(ranked.groupBy("band", "h").agg(F.max(F.struct("met", "key")).getField("key").alias("leader")), "near-leaders")
     led = members.join(leaders, ["band", "h"]).where(F.col("key") != F.col("leader"))
 
-    wanted = central.join(classes, "key").select(F.col("first_doc").alias("doc_id"), "key")
+    wanted = central.join(classes, "key").select(F.col("first.doc_id").alias("doc_id"), "key")
     full = written(sets(docs, wanted).dropDuplicates(["key"]), "near-sets")
 
     stars = led.select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct()
@@ -321,13 +327,17 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     roots = written(components(links.unionByName(more)), "near-roots")
     dropped(full)
 
-    # Smallest doc_id of each component; sole documents need no entry.
+    # First row of each component; sole documents need no entry.
     named = classes.join(roots, classes["key"] == roots["node"], "left") \
-        .select("key", "first_doc", "copies", F.coalesce("root", "key").alias("root"), F.col("root").isNotNull().alias("linked"))
+        .select("key", "first", "copies", F.coalesce("root", "key").alias("root"), F.col("root").isNotNull().alias("linked"))
     named = written(named.where("linked or copies > 1"), "near-named")
-    least = written(named.groupBy("root").agg(F.min("first_doc").alias("component_id")), "near-least")
-    ids = written(named.join(least, "root").select("key", "component_id"), "near-ids")
-    out = seen.select("doc_id", "key", "n").join(ids, "key", "left")
-    component = F.when(F.col("component_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(component).alias("kept"))
+    least = written(named.groupBy("root").agg(F.min("first").alias("first")), "near-least")
+    ids = written(named.select("key", "root").join(least, "root").select("key", "first"), "near-ids")
+    return seen.select("doc_id", "th", "key", "n").join(ids, "key", "left")
+
+
+def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """doc_id, text -> doc_id, n_shingles, component_id, kept; one row per document."""
+    component = F.coalesce("first.doc_id", "doc_id")
+    return judged(docs, threshold).select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
+                                          F.col("doc_id").eqNullSafe(component).alias("kept"))

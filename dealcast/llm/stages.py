@@ -12,7 +12,7 @@ from dealcast.llm.bpe import encode_digests
 from dealcast.llm.common import written
 from dealcast.llm.linedup import dedup_lines
 from dealcast.llm.mixing import mix
-from dealcast.llm.near import near_duplicates
+from dealcast.llm.near import judged, text_hash
 from dealcast.llm.quality import screen
 from dealcast.llm.queries import tokenizer_path
 
@@ -33,20 +33,30 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest doc_id.
+    """One row of each group of near duplicates: the one with the smallest doc_id, then text hash.
 
-    Rows that share a doc_id are one document, of which one row stays.
+    Decided by (doc_id, text hash), so different texts under one doc_id or under none are judged
+    each for itself. Rows without words are no copies of anything, but those that share a doc_id
+    and text are one document, of which one row stays.
     """
-    judged = written(near_duplicates(docs), "near-judged")
-    gone = judged.where(~F.col("kept")).select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti")
-    again = written(judged.where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "near-again")
+    rows = judged(docs).where(F.col("first").isNotNull() | (F.col("key").isNull() & F.col("doc_id").isNotNull()))
+    stays = F.col("first").isNull() | (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("th") == F.col("first.th")))
+    rows = written(rows.select("doc_id", "th", stays.alias("stays")), "near-judged")
+    gone = rows.where("not stays").select("doc_id", "th").distinct()
+    again = written(rows.where("stays").groupBy("doc_id", "th").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id", "th"), "near-again")
+
+    hashed = docs.select(F.struct(*docs.columns).alias("doc"), text_hash().alias("th"))
+
+    def among(left, right, how):
+        on = F.col("l.doc.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("l.th") == F.col("r.th"))
+        return left.alias("l").join(right.alias("r"), on, how)
+
+    left = among(hashed, gone, "left_anti")
     if again.isEmpty():
-        return left.select(*docs.columns)
-    again = again.alias("a")
-    on = F.col("l.doc_id").eqNullSafe(F.col("a.doc_id"))
-    once = left.alias("l").join(again, on, "left_anti").select(*docs.columns)
-    return once.unionByName(left.alias("l").join(again, on, "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns))
+        return left.select("doc.*")
+    once = among(left, again, "left_anti").select("doc.*")
+    one = among(left, again, "left_semi").withColumn("doc_id", F.col("doc.doc_id")).dropDuplicates(["doc_id", "th"])
+    return once.unionByName(one.select("doc.*"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -325,6 +325,23 @@ def test_pipeline_near_stage_keeps_one_of_each_group(spark):
     assert sorted((r.doc_id is None, r.doc_id) for r in got) == [(False, 1), (False, 2), (True, None)]
 
 
+def test_pipeline_near_stage_judges_rows_not_ids(spark):
+    """Null ids and ids with several texts lose near copies only, and every text keeps one row."""
+    from dealcast.llm.stages import near_stage
+    rng = random.Random(5)
+    base = [[f"{name}{k}" for k in range(120)] for name in "pqrs"]
+    p, q, r, s = (" ".join(b) for b in base)
+    p2, q2, s2 = (edited(base[k], 1, rng) for k in (0, 1, 3))
+    rows = [(1, p), (2, p2), (2, "a text of its own under two"), (3, "first text under id three here"), (3, "second text under id three here"),
+            (None, q), (None, q2), (None, q), (None, r), (None, p), (4, s), (4, s2), (4, s),
+            (5, " "), (5, " "), (None, None), (None, "")]
+    got = collections.Counter((x.doc_id, x.text) for x in near_stage(spark, spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS), "").collect())
+    sure = [(1, p), (2, "a text of its own under two"), (3, "first text under id three here"), (3, "second text under id three here"), (None, r), (5, " "), (None, None), (None, "")]
+    assert all(got.pop(x) == 1 for x in sure)
+    assert len(got) == 2 and set(got.values()) == {1} and {i for i, _ in got} == {None, 4}
+    assert {t for _, t in got} <= {q, q2, s, s2}
+
+
 def test_pipeline_of_an_empty_table(spark):
     rows = spark.createDataFrame([], DOCS)
     for _, stage in corpus_pipeline.STAGES:
