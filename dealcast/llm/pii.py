@@ -2,19 +2,23 @@
 
 1. Every whole text is searched for the four kinds of personal data (``KINDS``). Matches and
    the pieces between them give exact code-point offsets; failing matches are dropped.
-2. Each value found is a protected entity, its contexts the lines that hold it. For a term
-   ``t`` and an entity ``e`` the corpus estimates ``p(e)``, ``p(t)`` and ``p(t, e)`` as shares
-   of all lines, and with them how much of the entity's information content the term
-   reveals: ``PMI(t, e) / -log2 p(e)``, which is 1 for a term found with the entity alone.
-3. Terms at or above ``DISCLOSURE`` in at least ``SUPPORT`` different lines are spans of the
-   kind ``term`` in the documents that hold the entity, and are generalised to a mark like
-   the entities themselves.
+2. Each value found is a protected entity. The events are the contexts of all lines: a line
+   with ``AROUND`` lines before and after it, without what the patterns match, equal ones of
+   a document counted once. For a term ``t`` and an entity ``e`` the corpus estimates
+   ``p(e)``, ``p(t)`` and ``p(t, e)`` as shares of the events that hold them, and with them
+   how much of the entity's information content the term reveals:
+   ``PMI(t, e) / -log2 p(e)``, which is 1 for a term found with the entity alone.
+3. Few observations say little, so ``p(t)`` is smoothed: ``SMOOTHING`` more events of the term
+   are assumed for the number of different contexts of the entity's own lines that it is seen
+   in. Terms whose smoothed share is at or above ``DISCLOSURE`` are spans of the kind ``term``
+   in the documents that hold the entity, and are generalised to a mark like the entities
+   themselves.
 
 The one large shuffle is the word count of the corpus, pre-aggregated by every task. Joint
 counts only concern lines with personal data; hot entities and terms are grouped sums.
 
-Defined cases: a null text is empty and has no spans; copies of a line count once for
-``SUPPORT``; rows that share doc_id and text get equal spans; other columns are ignored;
+Defined cases: a null text is empty and has no spans; copies of a context are
+one observation for the smoothing; rows that share doc_id and text get equal spans; other columns are ignored;
 overlapping spans of different kinds are all reported and replaced as one.
 """
 
@@ -38,10 +42,14 @@ KINDS = {
     # \+[0-9][\x20().0-9-]+[0-9]
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
+#: A character that every match of a kind holds.
+SIGNS = {"email": "@", "ip": ".", "phone": "+"}
 TERM = "term"
 LETTERS, OTHERS = r"\p{L}+", r"[^\p{L}]+"
-#: Share of an entity's information that a term may reveal, and different lines it must share with the entity.
-DISCLOSURE, SUPPORT = 0.9, 3
+#: Share of an entity's information that a term may reveal, and events added to a term by the smoothing.
+DISCLOSURE, SMOOTHING = 0.9, 1.0
+#: Lines before and after a line that belong to its context.
+AROUND = 1
 #: Letters that a term has at least.
 MIN_LETTERS = 3
 
@@ -99,34 +107,96 @@ def terms(line: Column) -> Column:
     return F.filter(F.array_distinct(F.split(F.lower(line), OTHERS)), lambda w: F.length(w) >= MIN_LETTERS)
 
 
+def bare_lines(text: Column) -> Column:
+    """Lines of a text without what the patterns match (no match spans two lines)."""
+    bare = F.coalesce(text, F.lit(""))
+    for kind, p in KINDS.items():
+        bare = let(bare, lambda t: F.when(F.contains(t, F.lit(SIGNS[kind])), F.regexp_replace(t, p, " ")).otherwise(t)) \
+            if kind in SIGNS else F.regexp_replace(bare, p, " ")
+    return F.split(bare, "\n")
+
+
+def context(lines: Column, i) -> Column:
+    """Line ``i`` with the lines around it; lines outside of the text are left out."""
+    return F.concat_ws("\n", *(F.when(i + k >= 0, F.get(lines, i + k)) for k in range(-AROUND, AROUND + 1)))
+
+
+def firsts(values: Column) -> Column:
+    """Positions of the different values of an array, one of each."""
+    def of_sorted(pairs):
+        return F.transform(F.filter(pairs, lambda x, k: (k == 0) | (F.get(pairs, k - 1)["v"] != x["v"])), lambda x: x["i"])
+
+    ordered = F.array_sort(F.transform(values, lambda v, i: F.struct(v.alias("v"), i.alias("i"))))
+    return F.when(F.size(F.array_distinct(values)) == F.size(values), F.transform(values, lambda _, i: i)).otherwise(let(ordered, of_sorted))
+
+
+def context_terms(text: Column) -> Column:
+    """Terms of each of the different contexts of a document's lines, its events.
+
+    Every line is taken apart once; contexts are told apart by the hashes of their lines.
+    """
+    def around(xs, i):
+        return [F.when(i + k >= 0, F.get(xs, i + k)) for k in range(-AROUND, AROUND + 1)]
+
+    def of(lines):
+        hashes = let(F.transform(lines, lambda x: F.xxhash64(x)), lambda hs: F.transform(hs, lambda _, i: F.xxhash64(*around(hs, i))))
+        none = F.array().cast("array<string>")
+        each = let(F.transform(lines, terms), lambda ts: F.transform(let(hashes, firsts), lambda i: F.array_distinct(
+            F.concat(*(F.coalesce(x, none) for x in around(ts, i))))))
+        return each
+
+    return let(bare_lines(text), of)
+
+
 def entities(found: DataFrame) -> DataFrame:
-    """doc_id, th, e, line of every span; found: rows with spans and text."""
-    rows = found.select("doc_id", "th", "text", F.explode("spans").alias("s"))
-    before = F.substring(F.col("text"), F.lit(1), F.col("s.start"))
-    number = F.length(before) - F.length(F.replace(before, F.lit("\n"), F.lit("")))
-    value = F.when(F.col("s.kind").isin("card", "phone"), digits(F.col("s.value"))).otherwise(F.lower("s.value"))
-    return rows.select("doc_id", "th", F.concat_ws(":", "s.kind", value).alias("e"), F.split("text", "\n")[number].alias("line"))
+    """doc_id, th, e, context, own, n: the events that hold an entity; found: rows with spans and text.
+
+    ``own`` tells contexts of a line that holds the entity from those of the lines around it,
+    ``n`` is the number of equal rows.
+    """
+    def name(s):
+        return F.concat_ws(":", s["kind"], F.when(s["kind"].isin("card", "phone"), digits(s["value"])).otherwise(F.lower(s["value"])))
+
+    def held(ls, i):
+        near = F.array(*(F.when((i + k >= 0) & (i + k < F.size(ls)), context(ls, i + k)) for k in range(-AROUND, AROUND + 1) if k))
+        return let(context(ls, i), lambda own: F.concat(
+            F.array(F.struct(own.alias("context"), F.lit(True).alias("own"))),
+            F.transform(F.array_except(near, F.array(own, F.lit(None))), lambda c: F.struct(c.alias("context"), F.lit(False).alias("own")))))
+
+    def places(ls):
+        def place(s):
+            before = F.substring(F.col("text"), F.lit(1), s["start"])
+            number = F.length(before) - F.length(F.replace(before, F.lit("\n"), F.lit("")))
+            return F.struct(name(s).alias("e"), s["start"].alias("start"), held(ls, number).alias("held"))
+        return F.transform("spans", place)
+
+    each = found.select("doc_id", "th", F.explode(let(bare_lines(F.col("text")), places)).alias("p"))
+    each = each.select("doc_id", "th", "p.e", "p.start", F.explode("p.held").alias("h"))
+    once = each.groupBy("doc_id", "th", "e", "start", "h.context", "h.own").agg(F.count(F.lit(1)).alias("n"))
+    return once.groupBy("doc_id", "th", "e", "context").agg(F.max("own").alias("own"), F.max("n").alias("n"))
 
 
-def revealing(docs: DataFrame, found: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+def revealing(docs: DataFrame, held: DataFrame, disclosure: float = DISCLOSURE, smoothing: float = SMOOTHING) -> DataFrame:
     """e, t, share: the terms that reveal an entity, and how much of its information."""
-    held = found.select("e", F.xxhash64("line").alias("lh"), "doc_id", "th", "line").distinct()
-    bare = F.col("line")
-    for p in KINDS.values():
-        bare = F.regexp_replace(bare, p, " ")
-    joint = held.select("e", "lh", F.explode(terms(bare)).alias("t")).groupBy("e", "t", "lh").agg(F.count(F.lit(1)).alias("n")) \
-        .groupBy("e", "t").agg(F.sum("n").alias("n_te"), F.count(F.lit(1)).alias("lines")).where(F.col("lines") >= support)
+    joint = held.select("e", F.xxhash64("context").alias("c"), "own", "n", F.explode(terms(F.col("context"))).alias("t")) \
+        .groupBy("e", "t", "c").agg(F.sum("n").alias("n"), F.max("own").alias("own")) \
+        .groupBy("e", "t").agg(F.sum("n").alias("n_te"), F.sum(F.col("own").cast("long")).alias("seen")).where("seen > 0")
     joint = written(joint, "pii-joint")
-    n_e = held.groupBy("e").agg(F.count(F.lit(1)).alias("n_e"))
-    lines = F.split(F.coalesce("text", F.lit("")), "\n")
-    n_lines = docs.agg(F.sum(F.size(lines))).first()[0] or 1
-    words = docs.select(F.explode(F.flatten(F.transform(lines, terms))).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n_t"))
+    n_e = held.groupBy("e").agg(F.sum("n").alias("n_e"))
+    # The empty term stands in every event.
+    every = F.flatten(F.transform(context_terms(F.col("text")), lambda ts: F.array_append(ts, F.lit(""))))
+    words = docs.select(F.explode(every).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n_t"))
+    asked = joint.select("t").distinct().unionByName(docs.sparkSession.createDataFrame([("",)], "t string"))
+    words = written(words.join(asked, "t", "left_semi"), "pii-words")
+    total = words.where("t = ''").first()
+    events = F.lit(float(total["n_t"] if total else 1))
     rows = joint.join(words, "t").join(n_e, "e")
-    share = F.log2(F.col("n_te") * F.lit(float(n_lines)) / (F.col("n_t") * F.col("n_e"))) / F.log2(F.lit(float(n_lines)) / F.col("n_e"))
+    smoothed = F.col("n_t") * (1 + smoothing / F.col("seen"))
+    share = F.try_divide(F.log2(F.col("n_te") * events / (smoothed * F.col("n_e"))), F.log2(events / F.col("n_e")))
     return rows.withColumn("share", share).where(F.col("share") >= disclosure).select("e", "t", "share")
 
 
-def find(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+def find(docs: DataFrame, disclosure: float = DISCLOSURE, smoothing: float = SMOOTHING) -> DataFrame:
     """doc_id, text -> doc_id, spans (kind, start, end, value), all kinds, and sanitised text of texts with spans.
 
     ``sanitised`` is null where nothing is to be removed.
@@ -136,7 +206,7 @@ def find(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT
     base = written(base.withColumn("text", F.when(F.size("spans") > 0, F.col("text"))), "pii-spans")
     hit = base.where(F.size("spans") > 0)
     held = written(entities(hit), "pii-entities")
-    told = written(revealing(docs.select("text"), held, disclosure, support), "pii-revealing")
+    told = written(revealing(docs.select("text"), held, disclosure, smoothing), "pii-revealing")
     wanted = held.select("doc_id", "th", "e").distinct().join(told, "e").groupBy("doc_id", "th").agg(F.collect_set("t").alias("terms"))
     wanted = written(wanted, "pii-terms").alias("w")
     rows = hit.alias("h").join(wanted, F.col("h.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("h.th") == F.col("w.th")), "left")

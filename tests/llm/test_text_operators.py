@@ -127,6 +127,43 @@ def test_copies_of_a_line_do_not_reveal(spark):
     assert all([s.kind for s in r.spans] == ["email"] for r in got)
 
 
+def revealed(spark, rows):
+    """Documents, and their texts in term spans."""
+    got = pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    text = dict(rows)
+    return {r.doc_id: {text[r.doc_id][s.start:s.end].lower() for s in r.spans if s.kind == "term"} for r in got}
+
+
+def test_name_in_the_address_reveals(spark):
+    """The name is spelled out on some of the lines with the address; matches are no lines of the name."""
+    rows = [(k, f"jane sent line w{k} from jane.doe@x.example" if k < 10 else f"ask jane.doe@x.example on day w{k}") for k in range(60)]
+    rows += [(100 + k, f"others sent line and ask from home on day w{k}") for k in range(3000)]
+    got = revealed(spark, rows)
+    assert all("jane" in got[k] and not got[k] & {"sent", "ask", "from", "day"} for k in range(10)) and not any(got[100 + k] for k in range(3000))
+
+
+def test_repeated_lines_reveal(spark):
+    """Lines that a document repeats count once, on both sides."""
+    log = "\n".join(f"zorblatt {x} zor@ship.example" for x in ("left", "met", "saw"))
+    rows = [(1, "\n".join([log] * 20))] + [(100 + k, f"someone left then met and saw number{k}") for k in range(500)]
+    got = revealed(spark, rows)
+    assert "zorblatt" in got[1] and not got[1] & {"left", "met", "saw"}
+
+
+def test_terms_on_the_next_line_and_in_few_lines(spark):
+    """Contexts go beyond the line; one observation is enough where the entity's content is large."""
+    rows = [(k, f"some text here\nzorblatt office\nzor@ship.example\nsome text there w{k}") for k in range(2)]
+    rows += [(100, "\n".join(f"some text here or there, another office w{k}" for k in range(60000)))]
+    got = revealed(spark, rows)
+    assert all("zorblatt" in got[k] and not got[k] & {"some", "text", "office"} for k in range(2))
+
+
+def test_equal_rows_count_on_both_sides(spark):
+    rows = [(k // 3, f"zorblatt went w{'abcdefgh'[k // 3]} zor@ship.example") for k in range(18)] + [(100 + k, f"all went home w{k}") for k in range(500)]
+    got = revealed(spark, rows)
+    assert all("zorblatt" in got[k] and "went" not in got[k] for k in range(6))
+
+
 def test_personal_data_empty(empty):
     assert pii.find(empty).count() == 0
 
