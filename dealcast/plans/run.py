@@ -29,15 +29,15 @@ from dealcast.sources.panel import read_panel, write_panel
 from dealcast.sources.posts import deals_view, read_posts
 
 
-def run(spark, out: str, posts=None, tables: str | None = None) -> None:
+def run(spark, out: str, posts=None, tables: str | None = None, candidates: list | None = None, search: dict | None = None) -> None:
     posts = posts if posts is not None else deals_view(spark, tables)
     write_panel(build_panel(posts), f"{out}/panel")
     panel = read_panel(spark, f"{out}/panel")            # later steps start from the written table
     preds = N.naive_forecasts(panel)
     preds.write.mode("overwrite").parquet(f"{out}/naive_forecasts")
     E.forecast_scores(spark.read.parquet(f"{out}/naive_forecasts")).write.mode("overwrite").parquet(f"{out}/naive_scores")
-    learned_discount_forecast(panel).write.mode("overwrite").parquet(f"{out}/discount_forecast")
-    gwp_horizon(panel).write.mode("overwrite").parquet(f"{out}/gwp_forecast")
+    learned_discount_forecast(panel, candidates=candidates).write.mode("overwrite").parquet(f"{out}/discount_forecast")
+    gwp_horizon(panel, search=search).write.mode("overwrite").parquet(f"{out}/gwp_forecast")
     disc = spark.read.parquet(f"{out}/discount_forecast")
     gift = spark.read.parquet(f"{out}/gwp_forecast")
     j = disc.join(gift, ["brand", "day_ahead"], "left").withColumn("pred_gwp", F.coalesce("pred_gwp", F.lit(False)))

@@ -254,10 +254,13 @@ def q_wf_search(spark, sf):
 
 @register("m23_r7_model_advice")
 def q_model_advice(spark, sf):
-    """The full flow: pooled forest forecasts of the discount over each brand's
-    test year and of gift days over the scoring frame, then the advice rows."""
+    """The full flow: the best of three regressors by walk-forward folds forecasts the discount
+    over each brand's test year, the best of a light forest search the gift days over the
+    scoring frame, then the advice rows."""
     from dealcast.plans.advise import advise
-    return advise(panel(spark, sf))
+    dt, rf = DecisionTreeRegressor(seed=7), RandomForestRegressor(seed=7)
+    cands = [(dt, {dt.maxDepth: 6}), (rf, {rf.numTrees: 20, rf.maxDepth: 5}), (rf, {rf.numTrees: 20, rf.maxDepth: 8})]
+    return advise(panel(spark, sf), cands, {"n_iter": 4, "k": 3, "space": M.rf_param_space(light=True)})
 
 
 @register("b1_m17_smote_forest")

@@ -131,3 +131,18 @@ def test_mutual_information_of_equal_frequency_bins(spark):
     df = spark.createDataFrame(rows, "skewed double, parity double, flat double, y int")
     got = {r.feature: r.mi for r in X.mutual_info(df, ["skewed", "parity", "flat"], "y", 4).collect()}
     assert got["skewed"] == pytest.approx(math.log(2)) and abs(got["parity"]) < 1e-12 and abs(got["flat"]) < 1e-12
+
+
+def test_advice_searches_refits_and_forecasts(spark, monkeypatch):
+    """The registered advice runs both searches, and what they choose makes the forecasts."""
+    from dealcast.operators import models as M
+    from dealcast.registry.base import QUERIES
+    ran = []
+    for name in ("walk_forward_search", "random_search_classifier"):
+        def noted(*a, f=getattr(M, name), n=name, **b):
+            ran.append(n)
+            return f(*a, **b)
+        monkeypatch.setattr(M, name, noted)
+    rows = QUERIES["m23_r7_model_advice"](spark, "/root/testdata/sf0.001").collect()
+    assert sorted(ran) == ["random_search_classifier", "walk_forward_search"]
+    assert rows and len({r.brand for r in rows}) == len(rows) and all(r.message for r in rows)
