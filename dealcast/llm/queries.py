@@ -197,3 +197,77 @@ def op4(spark, sf):
 def op10(spark, sf):
     from dealcast.llm.knnvote import quality
     return quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+OP11_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+sizes AS (SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n FROM d WHERE len(w) > 0),
+whole AS (SELECT count(*) AS nd, CAST(sum(n) AS BIGINT) AS nl FROM sizes),
+tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) GROUP BY ALL),
+q AS (SELECT item_id, t, count(*) AS q FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark) GROUP BY ALL),
+weights AS (SELECT t, CAST(floor(1000 * ln((2 * nd + 2) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT t, count(*) AS df FROM tf WHERE t IN (SELECT t FROM q) GROUP BY t), whole),
+scored AS (SELECT item_id, r, doc_id, CAST(sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nd) // nl)))) AS BIGINT) AS score
+  FROM q JOIN weights USING (t) JOIN tf USING (t) JOIN sizes USING (r), whole GROUP BY ALL),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@op("op11_ranked_search", OP11_SQL)
+def op11(spark, sf):
+    from dealcast.llm.lexical import search
+    return search(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark").select("item_id", "text"))
+
+
+def _join_sql(threshold: int, kept: bool = False) -> str:
+    return rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (SELECT DISTINCT r, md5(array_to_string(list_slice(w, i, i + 4), ' ')) AS s FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+sizes AS (SELECT r, count(*) AS n FROM sets GROUP BY r),
+links AS (
+  SELECT a, b FROM (SELECT x.r AS a, y.r AS b, count(*) AS shared FROM sets x JOIN sets y ON x.s = y.s AND x.r < y.r GROUP BY ALL) p
+  JOIN sizes m ON m.r = p.a JOIN sizes n ON n.r = p.b WHERE 100 * shared >= {threshold} * (m.n + n.n - shared)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT r AS a, r AS b FROM sizes UNION SELECT reach.a, l.b FROM reach JOIN both_ways l ON reach.b = l.a),
+least AS (SELECT a AS r, min(d.doc_id) AS component_id FROM reach JOIN d ON d.r = reach.b GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, d.doc_id) AS component_id{", d.doc_id IS NOT DISTINCT FROM coalesce(component_id, d.doc_id) AS kept" if kept else ""}
+FROM d LEFT JOIN sizes USING (r) LEFT JOIN least USING (r)
+"""
+
+
+SQL["op6_minhash_near_dedup"] = _join_sql(85, kept=True)
+
+
+@op("op12_ngram_jaccard_join", _join_sql(80))
+def op12(spark, sf):
+    from dealcast.llm.ngramjoin import ngram_join
+    return ngram_join(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+g AS (SELECT doc_id, t, u, len(u) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+  CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM g),
+p AS (SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle, array_to_string(u[b + 1:], '') AS suffix FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM p
+"""
+
+
+@op("op13_fill_in_middle", OP13_SQL)
+def op13(spark, sf):
+    from pyspark.sql import functions as F
+
+    from dealcast.llm.fim import fill_in_middle, restored
+    got = fill_in_middle(table(spark, sf, "documents").select("doc_id", "text"))
+    return got.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
