@@ -63,3 +63,31 @@ def running_sums(df: DataFrame, by: list[str], order_col: str, value_cols: list[
         outs += [F.col(f"tot_{c}") for c in value_cols]
     outs += [F.coalesce(F.col(f"_ln_{c}"), F.col(f"_follow_{c}")).alias(f"next_{c}") for c in nxt]
     return j.select(*df.columns, *outs)
+
+
+def quantiles(df: DataFrame, by: list[str], value: str, shares: list[float], out: str = "cuts") -> DataFrame:
+    """Exact quantiles of ``value`` per group as an array column: by, n, out.
+
+    The value at share p lies at position p * (n - 1) of the sorted non-null values,
+    interpolated between its neighbours. Values are counted once each, their running
+    counts come from range slices, and a position's value is the least one whose running
+    count passes it: no group is sorted or held by one task. A null key is a group of
+    its own; a group without values gives no row.
+    """
+    keys = [f"_k{i}" for i in range(len(by))]
+    # nulls of a key and of another group must not meet in a join: keys travel as structs, which are never null
+    counted = df.where(F.col(value).isNotNull()) \
+        .groupBy(*[F.struct(F.col(b).alias("v")).alias(k) for b, k in zip(by, keys)], F.col(value).cast("double").alias("_v")) \
+        .agg(F.count(F.lit(1)).alias("_c"))
+    if not by:
+        counted, keys = counted.withColumn("_all", F.lit(0)), ["_all"]
+    run = running_sums(counted, keys, "_v", ["_c"])
+    at = []
+    for p in shares:
+        h = (F.col("tot__c") - 1) * F.lit(float(p))
+        low = F.floor(h)
+        at += [F.min(F.when(F.col("cum__c") > low, F.col("_v"))), F.min(F.when(F.col("cum__c") > F.least(low + 1, F.col("tot__c") - 1), F.col("_v"))),
+               F.max(h - low)]
+    found = run.groupBy(*keys).agg(F.max("tot__c").alias("n"), *[c.alias(f"_a{i}") for i, c in enumerate(at)])
+    cuts = [F.col(f"_a{i}") + (F.col(f"_a{i + 1}") - F.col(f"_a{i}")) * F.col(f"_a{i + 2}") for i in range(0, len(at), 3)]
+    return found.select(*[F.col(k)["v"].alias(b) for b, k in zip(by, keys)], "n", F.array(*cuts).alias(out))
