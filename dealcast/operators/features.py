@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dealcast.functions.stats import safe_corr
+from dealcast.operators.ordered import quantiles
 from dealcast.operators.holidays import FEDERAL_RULES, NORMAL, PARENT_RULES
 from dealcast.operators.windows import lag_columns, rolling_columns
 
@@ -138,21 +139,12 @@ def mutual_info(df: DataFrame, feats: list[str], y: str, bins: int = 10, by: lis
     neighbour-based estimator, so values differ; the ranking is what is used.
     """
     by = by or []
-    x = {f: F.col(f).cast("double") for f in feats}
-    # one row of cuts per group (a single row when ungrouped): an equi join on the
-    # group key, or on a constant key, broadcast by AQE as it is one row per group
-    key = by or ["_all"]
-    if not by:
-        df = df.withColumn("_all", F.lit(0))
-    shares = [i / bins for i in range(1, bins)]
-    cuts = df.groupBy(*key).agg(*[F.percentile(x[f], shares).alias(f"cuts__{f}") for f in feats])
-    j = df.join(cuts, key)
-
-    def b(f):
-        return F.size(F.filter(f"cuts__{f}", lambda c: c < x[f]))
-    stack = ", ".join(f"'{f}', `b__{f}`" for f in feats)
-    long = j.select(*by, F.col(y).alias("_y"), *[b(f).alias(f"b__{f}") for f in feats]).selectExpr(
-        *by, "_y", f"stack({len(feats)}, {stack}) AS (feature, bin)")
+    stack = ", ".join(f"'{f}', CAST(`{f}` AS DOUBLE)" for f in feats)
+    long = df.withColumn("_y", F.col(y)).selectExpr(*by, "_y", f"stack({len(feats)}, {stack}) AS (feature, x)")
+    # one row of cuts per group and feature, from range slices: no group's values are in one buffer
+    cuts = quantiles(long, [*by, "feature"], "x", [i / bins for i in range(1, bins)]).drop("n")
+    below = F.coalesce(F.size(F.filter("cuts", lambda c: c < F.col("x"))), F.lit(0))
+    long = long.join(cuts, [*by, "feature"], "left").select(*by, "feature", "_y", below.alias("bin"))
     cnt = long.groupBy(*by, "feature", "bin", "_y").agg(F.count(F.lit(1)).alias("c"))
     from pyspark.sql import Window
     wf = Window.partitionBy(*by, "feature")

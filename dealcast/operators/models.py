@@ -11,25 +11,23 @@ from __future__ import annotations
 
 import datetime as dt
 import math
-import random
 
-import numpy as np
 import pandas as pd
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                        NaiveBayes, RandomForestClassifier)
 from pyspark.ml.feature import (OneHotEncoder, StringIndexer, StringIndexerModel,
                                 UnivariateFeatureSelector, VectorAssembler)
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol, HasSeed
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dealcast.functions.draws import uniform_draw
+from dealcast.operators import trees
 from dealcast.session import cut_lineage
 
 # ----------------------------------------------------------------- matrices
@@ -267,94 +265,55 @@ def adaboost_r2(train: DataFrame, test: DataFrame, n_estimators: int = 10, max_d
 # ----------------------------------------------------------------- extra trees
 
 class ExtraTreesRegressor(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol, HasSeed):
-    """Ensemble of trees over random thresholds.
+    """Ensemble of trees over random thresholds (M11): one threshold per tree, node and slot of
+    the vector, the best of them splits the node (``trees.random_grown``). The forecast is the mean of all trees.
 
-    For every draw each slot of the vector is cut at ``numCuts`` thresholds drawn
-    uniformly between its least and greatest training value; MLlib then grows
-    ``treesPerDraw`` trees on the bucket numbers, so they can only split at those
-    thresholds, with the node-wise feature subsets and the bootstrap asked for. The
-    forecast is the mean of all trees. The reference's ensemble draws a threshold at
-    each node, which MLlib's trees cannot; trees are grown by variance alone.
-
-    Trees of one draw differ by feature subset or bootstrap only, so with neither
-    every draw holds one tree.
+    ``featureSubsetStrategy``: "all", "onethird" or "sqrt" of the slots are tried at a node. Rows are told apart, for the bootstrap,
+    by their place in the checkpointed input.
     """
 
     numTrees = Param(Params._dummy(), "numTrees", "trees of the ensemble", TypeConverters.toInt)
-    treesPerDraw = Param(Params._dummy(), "treesPerDraw", "trees that share one draw of thresholds", TypeConverters.toInt)
-    numCuts = Param(Params._dummy(), "numCuts", "random thresholds per slot and draw", TypeConverters.toInt)
     maxDepth = Param(Params._dummy(), "maxDepth", "greatest depth of a tree", TypeConverters.toInt)
+    minInstancesPerNode = Param(Params._dummy(), "minInstancesPerNode", "fewest rows of a node", TypeConverters.toInt)
     bootstrap = Param(Params._dummy(), "bootstrap", "whether a tree sees a bootstrap sample", TypeConverters.toBoolean)
     featureSubsetStrategy = Param(Params._dummy(), "featureSubsetStrategy", "slots tried at a node", TypeConverters.toString)
 
-    def __init__(self, numTrees: int = 100, treesPerDraw: int = 10, numCuts: int = 30, maxDepth: int = 10,
-                 bootstrap: bool = False, featureSubsetStrategy: str = "onethird", seed: int = 11):
+    def __init__(self, numTrees: int = 100, maxDepth: int = 10, minInstancesPerNode: int = 1, bootstrap: bool = False,
+                 featureSubsetStrategy: str = "all", seed: int = 11):
         super().__init__()
-        self._set(numTrees=numTrees, treesPerDraw=treesPerDraw, numCuts=numCuts, maxDepth=maxDepth,
-                  bootstrap=bootstrap, featureSubsetStrategy=featureSubsetStrategy, seed=seed)
+        self._set(numTrees=numTrees, maxDepth=maxDepth, minInstancesPerNode=minInstancesPerNode, bootstrap=bootstrap,
+                  featureSubsetStrategy=featureSubsetStrategy, seed=seed)
 
     def setParams(self, **values) -> "ExtraTreesRegressor":
         return self._set(**values)
 
     def _fit(self, dataset: DataFrame) -> "ExtraTreesModel":
         opt = {p.name: self.getOrDefault(p) for p in self.params if self.isDefined(p)}
-        features = F.col(opt["featuresCol"])
-        ends = dataset.select(Summarizer.metrics("min", "max").summary(features).alias("s")).select("s.*").first()
-        alike = opt["featureSubsetStrategy"] == "all" and not opt["bootstrap"]
-        per_draw = 1 if alike else opt["treesPerDraw"]
-        rng = random.Random(opt["seed"])
-        parts = []
-        for first in range(0, opt["numTrees"], per_draw):
-            cuts = [sorted(rng.uniform(lo, hi) for _ in range(opt["numCuts"])) if hi > lo else []
-                    for lo, hi in zip(ends["min"], ends["max"])]
-            trees = min(per_draw, opt["numTrees"] - first)
-            forest = RandomForestRegressor(featuresCol="_buckets", labelCol=opt["labelCol"], predictionCol="_trees",
-                                           numTrees=trees, maxDepth=opt["maxDepth"], maxBins=max(32, opt["numCuts"] + 2),
-                                           bootstrap=opt["bootstrap"], seed=opt["seed"] + first,
-                                           featureSubsetStrategy=opt["featureSubsetStrategy"])
-            cut = dataset.select(opt["labelCol"], _bucket_numbers(features, cuts).alias("_buckets")).persist()
-            parts.append((cuts, forest.fit(cut), trees))  # several passes over the cached buckets
-            cut.unpersist()
-        return self._copyValues(ExtraTreesModel(parts))
+        rows = dataset.select(F.monotonically_increasing_id().alias("row"), F.col(opt["labelCol"]).alias("y"), vector_to_array(opt["featuresCol"]).alias("x"))
+        rows = cut_lineage(rows)
+        width = len(rows.select("x").first()[0])
+        tried = {"all": width, "onethird": math.ceil(width / 3), "sqrt": math.ceil(math.sqrt(width))}[opt["featureSubsetStrategy"]]
+        model = trees.random_grown(rows, width, opt["numTrees"], opt["maxDepth"], opt["minInstancesPerNode"], tried, opt["bootstrap"], opt["seed"])
+        return self._copyValues(ExtraTreesModel(model))
 
 
 class ExtraTreesModel(Model, HasFeaturesCol, HasLabelCol, HasPredictionCol, HasSeed):
-    """Forests of an ``ExtraTreesRegressor`` with the thresholds they were grown on."""
+    """The grown trees of an ``ExtraTreesRegressor``."""
 
-    def __init__(self, parts: list):
+    def __init__(self, grown: trees.Trees):
         super().__init__()
-        self.parts = parts
+        self.grown = grown
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        features, total = F.col(self.getOrDefault(self.featuresCol)), sum(n for _, _, n in self.parts)
-        out = dataset.withColumn("_sum", F.lit(0.0))
-        for i, (cuts, forest, n) in enumerate(self.parts):
-            out = forest.transform(out.withColumn("_buckets", _bucket_numbers(features, cuts)))
-            out = out.withColumn("_sum", F.col("_sum") + F.col("_trees") * n).drop("_buckets", "_trees")
-            if i % 10 == 9:  # keep the prediction plan shallow
-                out = cut_lineage(out)
-        return out.withColumn(self.getOrDefault(self.predictionCol), F.col("_sum") / total).drop("_sum")
-
-
-def _bucket_numbers(features, cuts: list[list[float]]):
-    """Vector of how many thresholds of its slot each value has reached (Arrow batches:
-    a binary search a slot, where expressions would compare with every threshold)."""
-    @F.pandas_udf("array<double>")
-    def reached(rows: pd.Series) -> pd.Series:
-        if rows.empty:
-            return rows
-        values = np.stack(rows)
-        return pd.Series(list(np.stack([np.searchsorted(c, values[:, i], side="right") for i, c in enumerate(cuts)], axis=1).astype(float)))
-
-    return array_to_vector(reached(vector_to_array(features)))
+        return trees.predicted(dataset, self.grown, vector_to_array(self.getOrDefault(self.featuresCol)), self.getOrDefault(self.predictionCol))
 
 
 def extra_trees(train: DataFrame, test: DataFrame, feats: list[str], n_trees: int = 100, max_depth: int = 10,
-                n_cuts: int = 30, seed: int = 11, keys: list[str] | None = None) -> DataFrame:
+                seed: int = 11, keys: list[str] | None = None) -> DataFrame:
     """``ExtraTreesRegressor`` on plain feature columns: ``test`` with ``prediction``."""
     asm = VectorAssembler(inputCols=feats, outputCol="_x", handleInvalid="keep")
-    train = cut_lineage(asm.transform(canonical(train, keys) if keys else train))
-    est = ExtraTreesRegressor(numTrees=n_trees, maxDepth=max_depth, numCuts=n_cuts, seed=seed).setParams(featuresCol="_x")
+    train = asm.transform(canonical(train, keys) if keys else train)
+    est = ExtraTreesRegressor(numTrees=n_trees, maxDepth=max_depth, seed=seed).setParams(featuresCol="_x")
     return est.fit(train).transform(asm.transform(test)).drop("_x")
 
 

@@ -133,7 +133,7 @@ def q_extra_trees(spark, sf):
     f = f.select("brand", "posted_date", "split", *[F.col(c).cast("double").alias(c) for c in feats],
                  F.col("label").cast("double"))
     tr, te = f.where(F.col("split") == "train"), f.where(F.col("split") == "test")
-    return _reg_scores(M.extra_trees(tr, te, feats, keys=["brand", "posted_date"]), "extra_trees")
+    return _reg_scores(M.extra_trees(tr, te, feats, max_depth=7, keys=["brand", "posted_date"]), "extra_trees")
 
 
 # ---------------------------------------------------------------- classification on deal days
