@@ -59,14 +59,13 @@ terms AS (
   SELECT t.source, t.k + 1, t.p * (r.rate / r.parts) / (t.k + 1), t.upto + t.p * (r.rate / r.parts) / (t.k + 1)
   FROM terms t JOIN parts r ON t.source IS NOT DISTINCT FROM r.source WHERE t.k < 89),
 draws AS (
-  SELECT d.doc_id, d.source, p.rate, j,
-    CAST('0x' || substr(md5('17:' || coalesce(CAST(d.doc_id AS VARCHAR), 'null') || ':' || CAST(j AS VARCHAR)), 1, 12) AS BIGINT) / 281474976710656.0 AS u
-  FROM documents d JOIN parts p ON d.source IS NOT DISTINCT FROM p.source, unnest(range(1, p.parts + 1)) AS x(j)),
+  SELECT d.doc_id, d.name, d.source, p.rate, j, CAST('0x' || substr(md5('17:' || d.name || ':' || CAST(j AS VARCHAR)), 1, 12) AS BIGINT) / 281474976710656.0 AS u
+  FROM (SELECT doc_id, source, coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || md5(coalesce(text, '')) || ':0' AS name FROM documents) d JOIN parts p ON d.source IS NOT DISTINCT FROM p.source, unnest(range(1, p.parts + 1)) AS x(j)),
 counts AS (
-  SELECT doc_id, source, any_value(rate) AS rate, CAST(sum((SELECT count(*) FROM terms t WHERE t.source IS NOT DISTINCT FROM draws.source AND t.upto < draws.u)) AS BIGINT) AS n
-  FROM draws GROUP BY doc_id, source)
+  SELECT doc_id, name, source, any_value(rate) AS rate, CAST(sum((SELECT count(*) FROM terms t WHERE t.source IS NOT DISTINCT FROM draws.source AND t.upto < draws.u)) AS BIGINT) AS n
+  FROM draws GROUP BY doc_id, name, source)
 SELECT doc_id, source, round(rate, 6) AS rate, CAST(c AS INT) AS copy,
-       md5('order:17:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || CAST(c AS VARCHAR)) AS order_key
+       md5('order:17:' || name || ':' || CAST(c AS VARCHAR)) AS order_key
 FROM counts, unnest(range(1, n + 1)) AS x(c)
 """
 
@@ -76,7 +75,7 @@ def op3(spark, sf):
     from pyspark.sql import functions as F
 
     from dealcast.llm.mixing import mix
-    got = mix(table(spark, sf, "documents").select("doc_id", "source"))
+    got = mix(table(spark, sf, "documents").select("doc_id", "source", "text"), keep=["doc_id", "source"])
     return got.select("doc.doc_id", "doc.source", F.round("rate", 6).alias("rate"), "copy", "order_key")
 
 

@@ -206,6 +206,20 @@ def test_mixing_is_poisson_and_order_is_mixed(spark):
     assert keys[:200] == sorted(keys[:200])
 
 
+@pytest.mark.parametrize("seed", [17, 18])
+def test_mixing_rows_without_or_under_one_id(spark, seed):
+    """Rows under null or one id, with unlike texts or wholly equal, keep their rate and spread."""
+    rows = [(None, f"t{k}", "s") for k in range(1500)] + [(7, f"u{k}", "s") for k in range(1500)] + [(8, "same", "s") for _ in range(1500)] + [(None, None, "s") for _ in range(1500)]
+    rows += [(100 + k, f"v{k}", "s") for k in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("a.b", F.lit(1)).repartition(5)
+    got = mixing.mix(docs, total=len(rows), seed=seed).cache()
+    kind = F.when(F.col("doc.doc_id").isNotNull(), F.least(F.col("doc.doc_id"), F.lit(100))).when(F.col("doc.text").isNull(), -1).otherwise(-2)
+    counts = {r[0]: r[1] for r in got.groupBy(kind).count().collect()}
+    assert len(counts) == 5 and all(abs(n - 1500) < 5 * 1500 ** 0.5 for n in counts.values()), counts
+    sizes = sorted(r[0] for r in got.groupBy(F.pmod(F.xxhash64("order_key"), F.lit(8))).count().select("count").collect())
+    assert sizes[-1] < 2 * sizes[4] and got.select("order_key").distinct().count() == got.count()
+
+
 def test_mixing_empty_and_no_weight(spark):
     docs = spark.createDataFrame([(1, None, None, None, 1), (1, None, None, None, 1)], DOCS)
     assert mixing.mix(docs.where("false")).count() == 0 and mixing.mix(docs, {"z": 1.0}).count() == 0
