@@ -28,8 +28,10 @@ HEADLINE = [
     "s4_walk_forward_folds",    # fold explode + summary
     "x5_f_classif",             # ANOVA F per feature
     "i8_extract_links",         # HTML block extraction
-    "j5_knn_pairs",             # exact k-NN by projection band join
+    "j5_knn_pairs",             # exact k-NN in blocks
     "b1_smote",                 # SMOTE with exact class totals
+    "m6_exact_tree",            # tree of depth 2 over every cut
+    "m3_m4_bayes_features",     # Gramian + evidence iteration
 ]
 
 
