@@ -45,7 +45,7 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     gone = rows.where("not stays").select("doc_id", "th").distinct()
     again = written(rows.where("stays").groupBy("doc_id", "th").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id", "th"), "near-again")
 
-    hashed = docs.select(F.struct(*docs.columns).alias("doc"), text_hash().alias("th"))
+    hashed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), text_hash().alias("th"))
 
     def among(left, right, how):
         on = F.col("l.doc.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("l.th") == F.col("r.th"))

@@ -361,3 +361,14 @@ def test_pipeline_of_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         rows = stage(spark, rows, "")
     assert rows.count() == 0
+
+
+def test_stages_keep_columns_with_dots_and_clashing_names(spark):
+    from dealcast.llm import stages
+    rows = [(k, f"some words of text number {k} and a few more words so that none is short", "en", "s", 1, 2) for k in (1, 2, 3)]
+    rows += [(4, rows[0][1], "en", "s", 1, 2), (None, None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, `a.b` int, th int")
+    for stage in (stages.quality_stage, stages.line_stage, stages.near_stage, stages.mixing_stage):
+        got = stage(spark, docs, SMALL)
+        assert got.columns == docs.columns and got.count() >= 0
+    assert sorted(r.doc_id or 0 for r in stages.near_stage(spark, docs, SMALL).collect()) == [0, 1, 2, 3]
