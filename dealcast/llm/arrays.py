@@ -31,3 +31,22 @@ def blank_words(text: Column) -> Column:
 def following(items: Column, k: int, size: Column) -> Column:
     """``items`` from their (k+1)-th on."""
     return F.slice(items, F.lit(k + 1), F.greatest(size - k, F.lit(0)))
+
+
+def running(values: Column, zero: Column, add, chunk: int = 256) -> Column:
+    """For each value the fold of those before it, ``zero`` for the first.
+
+    Folded chunk by chunk, as an array that grows is copied by every step.
+    """
+    def before(xs, start):
+        first = F.struct(start.alias("at"), F.slice(F.array(zero), F.lit(1), F.lit(0)).alias("out"))
+        return F.aggregate(xs, first, lambda a, x: F.struct(add(a["at"], x).alias("at"), F.array_append(a["out"], a["at"]).alias("out")), lambda a: a["out"])
+
+    def chunks(v):
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / chunk).cast("int")), lambda c: F.slice(v, c * chunk + 1, F.lit(chunk)))
+
+    def of(parts):
+        offsets = before(F.transform(parts, lambda p: F.aggregate(p, zero, add)), zero)
+        return F.flatten(F.zip_with(parts, offsets, before))
+
+    return let(values, lambda v: F.when(F.size(v) == 0, v).otherwise(let(chunks(v), of)))

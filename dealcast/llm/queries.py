@@ -183,7 +183,8 @@ def op9(spark, sf):
     def of(kind):
         return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-    return got.select("doc_id", *map(of, KINDS), F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+    return got.select("doc_id", *map(of, KINDS), F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
+                      F.sha2("sanitised", 256).alias("sanitised_sha256"))
 
 
 @op("op4_toxicity")

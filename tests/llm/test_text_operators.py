@@ -2,7 +2,10 @@
 
 import collections
 import hashlib
+import math
+import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -164,6 +167,91 @@ def test_equal_rows_count_on_both_sides(spark):
     assert all("zorblatt" in got[k] and "went" not in got[k] for k in range(6))
 
 
+def plain_terms(rows, disclosure=pii.DISCLOSURE, smoothing=pii.SMOOTHING):
+    """Term spans of (doc_id, text) rows by plain counting of events."""
+    def words(t):
+        return {w for w in re.findall(r"[^\W\d_]+", t.lower())}
+
+    def names(line):
+        found = [(k, m[0]) for k, p in PLAIN.items() for m in re.finditer(p, line) if valid(k, m[0])]
+        return {f"{k}:{re.sub('[^0-9]', '', v) if k in ('card', 'phone') else v.lower()}" for k, v in found}
+
+    n_t, n_e, total = collections.Counter(), collections.Counter(), 0
+    n_te, seen, of_row = collections.Counter(), collections.defaultdict(set), []
+    for _, text in rows:
+        lines = (text or "").split("\n")
+        bare = [re.sub("|".join(PLAIN.values()), " ", x) for x in lines]
+        around = ["\n".join(bare[max(0, i - 1):i + 2]) for i in range(len(bare))]
+        held = collections.defaultdict(set)
+        for i, x in enumerate(lines):
+            for e in names(x):
+                for j in (i - 1, i, i + 1):
+                    if 0 <= j < len(lines):
+                        held[e].add(around[j])
+                for t in words(around[i]):
+                    seen[e, t].add(around[i])
+        for c in set(around):
+            total += 1
+            n_t.update(words(c))
+        for e, cs in held.items():
+            n_e[e] += len(cs)
+            for c in cs:
+                n_te.update((e, t) for t in words(c))
+        of_row.append(set(held))
+    told = set()
+    for (e, t), cs in seen.items():
+        if n_e[e] < total and math.log2(n_te[e, t] * total / (n_t[t] * (1 + smoothing / len(cs)) * n_e[e])) / math.log2(total / n_e[e]) >= disclosure:
+            told.add((e, t))
+    out = {}
+    for (i, text), es in zip(rows, of_row):
+        masked = re.sub(PLAIN["email"], lambda m: "\n" * len(m[0]), text or "")
+        out[i] = [(m.start(), m.end()) for m in re.finditer(r"[^\W\d_]+", masked) if any((e, m[0].lower()) in told for e in es)]
+    return out
+
+
+def test_terms_equal_plain_counts(spark):
+    """Term spans of random texts against plain counting."""
+    rng = random.Random(5)
+    people = [(f"p{k}.x@mail{k}.example", f"name{'abcdefghij'[k]}", f"Ort{'abcdefghij'[k]}") for k in range(10)]
+    rows = []
+    for i in range(400):
+        lines = []
+        for _ in range(rng.randint(0, 5)):
+            line = [rng.choice(["the", "a", "note", "from", "we", "Große", "met", f"w{rng.randint(0, 99)}"]) for _ in range(rng.randint(0, 6))]
+            if rng.random() < 0.1:
+                mail, name, place = rng.choice(people)
+                line += [mail] * rng.randint(1, 2) + [name] * (rng.random() < 0.7) + [place] * (rng.random() < 0.4)
+            rng.shuffle(line)
+            lines.append(" ".join(line))
+        rows.append((i, "\n".join(lines)))
+    got = {r.doc_id: sorted((s.start, s.end) for s in r.spans if s.kind == "term") for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = plain_terms(rows)
+    assert got == want and sum(map(len, want.values())) > 20
+
+
+def test_one_line_of_many_addresses(spark):
+    """The work is linear in a line's length."""
+    text = " ".join(f"user{k}@mail{k}.example" for k in range(20_000))
+    rows = [(1, text), (2, f"zorblatt {text} end"), (3, "nothing here")] + [(10 + k, "some other line of text") for k in range(50)]
+    began = time.perf_counter()
+    got = {r.doc_id: r for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert time.perf_counter() - began < 20
+    assert [(s.kind, s.start, s.end) for s in got[1].base] == plain_spans(text) and len(got[2].base) == 20_000
+    assert got[1].sanitised == " ".join(["[EMAIL]"] * 20_000) and got[3].sanitised is None
+
+
+def test_overlapping_spans_are_replaced_as_one(spark):
+    rows = [(1, "\U0001f600 call +1 (499) 555-6503.1.2.3 é1.2.3.4 a@1.2.3.4 end"), (2, "1.1.1.1"), (3, "x 4111111111111111@b.co y")]
+    got = {r.doc_id: r for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        want, at = [], 0
+        for lo, hi, kind in sorted((s.start, s.end, s.kind) for s in got[i].spans):
+            if lo >= at:
+                want += [text[at:lo], f"[{kind.upper()}]"]
+            at = max(at, hi)
+        assert got[i].sanitised == "".join(want) + text[at:]
+
+
 def test_personal_data_empty(empty):
     assert pii.find(empty).count() == 0
 
