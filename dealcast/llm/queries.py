@@ -137,7 +137,7 @@ def op7(spark, sf):
 
 
 def _op1_sql() -> str:
-    from dealcast.llm.licenses import COVER, templates
+    from dealcast.llm.licenses import templates
     listed = lambda xs: "[" + ", ".join(f"'{x}'" for x in xs) + "]"
     rows = ",\n    ".join(f"({k}, '{t['label']}', {listed(t['words'])}, {listed(t['key'])}, {t['key_at']}, {str(t['base']).lower()})" for k, t in enumerate(templates()))
     return rf"""
@@ -152,7 +152,7 @@ scored AS (SELECT r, label, base, p,
     len(list_filter(range(len(words)), lambda k: p - key_at + k >= 0 AND coalesce(w[p - key_at + k + 1] = words[k + 1], false))) / len(words) AS cover FROM hits),
 found AS (SELECT r, count(*) FILTER (WHERE base) AS n_base, min(p) FILTER (WHERE base) AS first_word, max(p) FILTER (WHERE base) AS last_word,
     array_to_string(list_sort(list(DISTINCT label) FILTER (WHERE base)), ',') AS base_labels,
-    array_to_string(list_sort(list(DISTINCT label)), ',') AS labels, max(cover) AS score FROM scored WHERE cover >= {COVER} GROUP BY r)
+    array_to_string(list_sort(list(DISTINCT label)), ',') AS labels, max(cover) AS score FROM scored GROUP BY r)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(f.n_base, 0) AS n_base, f.first_word, f.last_word,
   coalesce(f.base_labels, '') AS base_labels, coalesce(f.labels, '') AS labels, round(coalesce(f.score, 0.0), 6) AS score
 FROM d LEFT JOIN found f USING (r)

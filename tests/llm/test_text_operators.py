@@ -56,21 +56,31 @@ def licence_row(doc_id, text):
             if w[p:p + len(t["key"])] == t["key"]:
                 at = p - t["key_at"]
                 cover = sum(0 <= at + k < len(w) and w[at + k] == x for k, x in enumerate(t["words"])) / len(t["words"])
-                if cover >= licenses.COVER:
-                    found.append((t["label"], t["base"], p))
+                found.append((t["label"], t["base"], p, round(cover, 6)))
     return doc_id, len(w), tuple(sorted(found))
 
 
 def test_licences(docs, texts):
     got = licenses.scan(docs).collect()
-    same([(r.doc_id, r.n_words, tuple(sorted((m.label, m.base, m.start) for m in r.matches))) for r in got], [licence_row(*x) for x in texts])
+    same([(r.doc_id, r.n_words, tuple(sorted((m.label, m.base, m.start, round(m.cover, 6)) for m in r.matches))) for r in got], [licence_row(*x) for x in texts])
 
 
 def test_licences_any_index_word_finds_all(docs, texts):
     """Whichever word of a key phrase is the rarest, no place is missed."""
     counts = {w: 1000 - k for k, w in enumerate(sorted({w for t in licenses.templates() for w in t["key"]}))}
     got = licenses.scan(docs, counts).collect()
-    same([(r.doc_id, r.n_words, tuple(sorted((m.label, m.base, m.start) for m in r.matches))) for r in got], [licence_row(*x) for x in texts])
+    same([(r.doc_id, r.n_words, tuple(sorted((m.label, m.base, m.start, round(m.cover, 6)) for m in r.matches))) for r in got], [licence_row(*x) for x in texts])
+
+
+@pytest.mark.parametrize("text, label", [
+    ("MIT License", "mit"), ("Apache License 2.0", "apache"), ("Mozilla Public License 2.0", "mpl"), ("Creative Commons Attribution 4.0", "cc-by-4.0"),
+    ("# SPDX-License-Identifier: Apache-2.0", "apache-2.0"), ("SPDX-License-Identifier: BSD-3-Clause", "bsd-3-clause"),
+    ("Released under the MIT License, later the MIT License again", "mit")])
+def test_licence_short_forms(spark, text, label):
+    """A verified key phrase is reported whatever stands around it."""
+    [row] = licenses.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert {m.label for m in row.matches} == {label} and len(row.matches) == text.count("MIT License") or label != "mit"
+    assert all(0 < m.cover <= 1 for m in row.matches)
 
 
 def test_licences_empty(empty):
