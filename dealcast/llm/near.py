@@ -149,23 +149,21 @@ def prints(docs: DataFrame) -> DataFrame:
 
 
 def sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """key, shingles (packed sorted hashes) of the wanted keys; wanted: doc_id, key."""
+    """key, shingles (packed sorted hashes) of the wanted keys; wanted: doc_id, th, key, one row of each.
+
+    Joined on id and text hash, so that rows of one id meet their own key alone.
+    """
     def run(batches):
         import pyarrow as pa
         _setup()
         known = WordHashes()
         for b in batches:
-            keys, packed = [], []
-            for t, k in zip(b.column("text").to_pylist(), b.column("key").to_pylist()):
-                words = (t or b"").lower().split()
-                if words and _key(words) == k:
-                    keys.append(k)
-                    packed.append(shingles(words, known).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(packed, pa.binary())], ["key", "shingles"])
+            packed = [shingles((t or b"").lower().split(), known).tobytes() for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(packed, pa.binary())], ["key", "shingles"])
 
-    d = docs.select("doc_id", F.col("text").cast("binary").alias("text")).alias("d")
+    d = docs.select("doc_id", text_hash().alias("th"), F.col("text").cast("binary").alias("text")).alias("d")
     w = wanted.alias("w")
-    return d.join(w, F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))).select("d.text", "w.key") \
+    return d.join(w, F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.th") == F.col("w.th"))).select("d.text", "w.key") \
         .mapInArrow(run, "key binary, shingles binary")
 
 
@@ -308,7 +306,7 @@ def judged(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     leaders = written(ranked.groupBy("band", "h").agg(F.max(F.struct("met", "key")).getField("key").alias("leader")), "near-leaders")
     led = members.join(leaders, ["band", "h"]).where(F.col("key") != F.col("leader"))
 
-    wanted = central.join(classes, "key").select(F.col("first.doc_id").alias("doc_id"), "key")
+    wanted = central.join(classes, "key").select("first.doc_id", "first.th", "key")
     full = written(sets(docs, wanted).dropDuplicates(["key"]), "near-sets")
 
     stars = led.select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct()
@@ -319,10 +317,12 @@ def judged(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     rooted = led.join(found, led["key"] == found["node"], "left") \
         .select("band", "h", "key", "size", F.coalesce("root", "key").alias("root"))
     rooted = written(rooted, "near-rooted")
+    dropped(members)
     split = written(rooted.groupBy("band", "h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
                     .where("lo != hi").select("band", "h"), "near-split")
     open_ = rooted.join(split, ["band", "h"]).join(classes.select("key", "sig", "odd", "n"), "key")
     rest = written(blocked_pairs(open_, threshold), "near-rest")
+    dropped(rooted)
     more = written(verified(rest, classes, full, threshold), "near-links")
     roots = written(components(links.unionByName(more)), "near-roots")
     dropped(full)
