@@ -1,6 +1,6 @@
 """Approximate nearest neighbours by vantage-point trees per shard.
 
-Vectors are dealt to shards by a hash of their id; each shard's tree is built where it is
+Vectors are dealt to shards by a hash of id and vector; each shard's tree is built where it is
 searched. A node splits its vectors at the median distance to a vantage point. By the
 triangle inequality a side can hold a nearer vector only if the query's distance to the
 shell is at most the distance ``r`` of its k-th best so far; a side is left out when that
@@ -156,7 +156,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, factor: float =
         return pa.table({"query_id": pa.array(np.repeat(own, hit.sum(axis=1))), "vec_id": pa.array(ids[hit]), "score": pa.array(best[hit])})
 
     each = lambda lo, hi: F.explode(F.sequence(F.lit(lo), F.lit(hi - 1)))
-    left = x.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")).withColumn("block", each(0, blocks))
+    left = x.withColumn("shard", F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).cast("int")).withColumn("block", each(0, blocks))
     keys, order = ["dim", "shard", "block"], Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     best, lo = None, 0
     while lo < shards:
@@ -166,7 +166,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, factor: float =
         else:
             kth = best.groupBy(F.col("query_id").alias("vec_id")).agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("kth"))
             floored = q.join(kth, "vec_id", "left").withColumn("floor", F.when(F.col("n") >= k, F.col("kth")).otherwise(F.lit(float("-inf"))))
-        right = floored.select("vec_id", "v", "dim", "floor", F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(blocks)).cast("int").alias("block"), each(lo, hi).alias("shard"))
+        right = floored.select("vec_id", "v", "dim", "floor", F.pmod(F.xxhash64("vec_id", "v", F.lit(3)), F.lit(blocks)).cast("int").alias("block"), each(lo, hi).alias("shard"))
         mine = left.where(F.col("shard").between(lo, hi - 1))
         found = mine.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, "query_id long, vec_id long, score double")
         if best is not None:
