@@ -15,6 +15,9 @@ from dealcast.session import ensure_checkpoint_dir
 #: Rows per Arrow batch sent to a Python worker; documents can be long, so batches stay small.
 ARROW_ROWS = 256
 
+#: Bytes of text that a labelled sample holds, at most.
+SAMPLE_BYTES = 64 << 20
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -73,23 +76,37 @@ def ascii_lower(text):
 
 
 def row_id(name: str = "doc_id"):
-    """``crc32`` of an id as text, the fold rule of the labelled rows."""
-    return F.crc32(F.col(name).cast("string").cast("binary"))
+    """``crc32`` of an id as text, the fold rule of the labelled rows; a null id is the empty text."""
+    return F.crc32(F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary"))
 
 
-def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, learn, bound: int) -> list[tuple[str, int]]:
-    """Texts and labels of at most ``bound`` labelled rows, chosen by a hash of doc_id.
+def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, learn, bound: int, bound_bytes: int = SAMPLE_BYTES) -> list[tuple[str, int]]:
+    """Different texts and labels of at most ``bound`` labelled rows, chosen by a hash of doc_id.
 
-    ``learn`` is the predicate (on doc_id) of the rows that may be learned from. Only ids
-    pass the top-k that chooses them; the bounded id list is then joined to the texts. A
-    doc_id with several labels or texts gives a row for each.
+    ``learn`` is the predicate (on doc_id) of the rows that may be learned from. Repeated label
+    rows and repeated texts of a doc_id count once; a doc_id with several labels or texts gives
+    a row for each. Of these the first ``bound`` by a hash of id and text are taken, and of those
+    as many as ``bound_bytes`` hold. Only ids, hashes and lengths pass the two top-k; whole
+    texts are read for the rows taken alone.
     """
+    spark = documents.sparkSession
     ids = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).where(learn) \
-        .select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
+        .select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).distinct()
     chosen = ids.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(bound).collect()
     if not chosen:
         return []
-    picked = documents.sparkSession.createDataFrame(sorted({tuple(r) for r in chosen}), "doc_id long, y int")
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")) \
-        .join(F.broadcast(picked), "doc_id").collect()
-    return [(r["text"], r["y"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["text"], r["y"]))]
+    picked = F.broadcast(spark.createDataFrame(chosen, "doc_id long, y int"))
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    hashed = docs.join(picked, "doc_id").select("doc_id", "y", F.md5(F.col("text").cast("binary")).alias("th"), F.octet_length("text").alias("size"))
+    rows = hashed.distinct().orderBy(F.xxhash64("doc_id", "th"), "doc_id", "th", "y").limit(bound).collect()
+    taken, used = [], 0
+    for r in rows:
+        if used + r["size"] <= bound_bytes:
+            taken.append((r["doc_id"], r["y"], r["th"]))
+            used += r["size"]
+    if not taken:
+        return []
+    wanted = F.broadcast(spark.createDataFrame(taken, "doc_id long, y int, th string"))
+    texts = docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi").withColumn("th", F.md5(F.col("text").cast("binary"))) \
+        .join(wanted, ["doc_id", "th"]).dropDuplicates(["doc_id", "th", "y"]).collect()
+    return [(r["text"], r["y"]) for r in sorted(texts, key=lambda r: (r["doc_id"], r["text"], r["y"]))]

@@ -7,13 +7,14 @@ document's vector is multiplied with those of all labelled documents in blocks (
 cosines, no index), and its ``K`` nearest vote with their similarity to a power; the score is
 the share of the votes for label 1, drawn towards the label's share in the sample.
 
-The projection and the labelled vectors come from at most ``SAMPLE`` labelled texts, chosen
-by a hash of doc_id, so what is broadcast has a fixed bound (``SAMPLE * RANK`` and
+The projection and the labelled vectors come from at most ``SAMPLE`` different labelled texts
+(and ``SAMPLE_BYTES``), chosen by a hash of doc_id, so what is broadcast has a fixed bound (``SAMPLE * RANK`` and
 ``BUCKETS * RANK`` single-precision numbers). Scoring is one pass without a shuffle.
 
 Defined cases: null, empty and very short texts have a zero vector and get the sample's
 share of label 1 (0.5 without labels); of equally near neighbours the first in the sample's
-order vote; repeated rows score alike; other columns are ignored.
+order vote; repeated rows score alike; a null doc_id goes by the empty text's remainder (0,
+not held out) and is never learned from; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -72,6 +73,15 @@ def fit(sample: list[tuple[str, int]]):
     return (idf[:, None] * project).astype(np.float32), normalised(x @ project).astype(np.float32), y, float(y.mean())
 
 
+def nearest(similar, k: int):
+    """Columns of the k largest values of each row; of equal values the first ones."""
+    import numpy as np
+    edge = -np.partition(-similar, k - 1, axis=1)[:, k - 1:k]
+    above, level = similar > edge, similar == edge
+    taken = above | (level & (np.cumsum(level, axis=1) <= k - above.sum(axis=1, keepdims=True)))
+    return np.nonzero(taken)[1].reshape(-1, k)
+
+
 def votes(rows, model):
     """Scores of a block of trigram counts."""
     import numpy as np
@@ -81,7 +91,7 @@ def votes(rows, model):
     z = normalised(np.log1p(rows) @ project)
     similar = z @ known.T
     k = min(K, len(known))
-    order = np.argpartition(-similar, k - 1, axis=1)[:, :k]
+    order = nearest(similar, k)
     near = np.take_along_axis(similar, order, axis=1)
     weight = np.maximum(near, 0.0) ** POWER
     s = ((weight * y[order]).sum(axis=1) + PRIOR * share) / (weight.sum(axis=1) + PRIOR)

@@ -10,13 +10,14 @@ toxic dictionary describes it. Mean, largest and thresholded differences of all
 a score by a logistic curve. The curve is calibrated on windows scored with dictionaries that
 were trained on the other half of the labelled texts.
 
-Only a bounded sample of labelled texts reaches the driver (``SAMPLE``, chosen by a hash of
-doc_id); dictionaries of a few KB and a handful of numbers go to the workers. Scoring
+Only a bounded sample of different labelled texts reaches the driver (``SAMPLE`` rows and
+``SAMPLE_BYTES``, chosen by a hash of doc_id); dictionaries of a few KB and a handful of numbers go to the workers. Scoring
 is one pass over whole texts without a shuffle.
 
 Defined cases: a null or empty text is one empty window and gets the score of no difference;
 without both classes the score is the share of toxic labels (0 without labels); repeated rows
-score alike; other columns are ignored.
+score alike; a null doc_id is held out as the empty text's remainder (0) says and is never
+learned from; other columns are ignored.
 """
 
 from __future__ import annotations

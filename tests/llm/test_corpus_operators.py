@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from dealcast.llm import knnvote, linedup, mixing, near, neighbours, toxicity
+from dealcast.llm import common, knnvote, linedup, mixing, near, neighbours, toxicity
 from dealcast.llm.components import components
 from dealcast.llm.queries import OPS, SQL, tokenizer_path
 from tests.conftest import SMALL
@@ -99,6 +99,16 @@ def test_near_repeated_ids_and_empty(spark):
     assert near.near_duplicates(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_near_sets_of_a_hot_id(spark):
+    """Rows under one id or none meet their own key alone."""
+    rows = [(None if k % 2 else 7, f"alpha beta gamma delta w{k // 4} epsilon zeta eta w{k // 4}") for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = near.prints(docs)
+    wanted = seen.groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("first")).select("first.doc_id", "first.th", "key")
+    got = near.sets(docs, wanted).collect()
+    assert len(got) == 200 and len({bytes(r.key) for r in got}) == 100
+
+
 def test_batches_keep_what_reaches_the_threshold():
     """Over all numbers of equal hashes that a pair at the threshold is likely to have."""
     least = near.least_matches(85)
@@ -255,6 +265,15 @@ def test_nearest(spark):
     assert neighbours.nearest(e.where("false"), e.where("false")).count() == 0
 
 
+def test_nearest_with_many_vectors_under_one_id(spark):
+    rng = np.random.default_rng(4)
+    rows = [(0 if k < 150 else int(k), [float(x) for x in rng.normal(size=4)]) for k in range(300)]
+    e = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.nearest(e, e.where(F.col("vec_id") % 20 == 0), shard=32)
+    want = brute_nearest(rows, 20)
+    assert {(r.query_id, r.rank, r.vec_id, round(r.score, 9)) for r in got.collect()} == {(q, r, j, round(s, 9)) for q, r, j, s in want}
+
+
 def test_nearest_relaxed_pruning_keeps_recall():
     rng = np.random.default_rng(8)
     centres = rng.normal(size=(40, 16)) * 4
@@ -290,6 +309,73 @@ def test_classifier_edges(spark, apply, label):
     assert apply(docs.where("false"), none).count() == 0
 
 
+def test_labelled_sample_is_bounded(spark):
+    """Repeated labels and one id of many texts don't crowd out others; rows and bytes are bounded."""
+    hot = spark.range(3000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"))
+    docs = spark.range(100, 1100).select(F.col("id").alias("doc_id"), F.lit("plain text").alias("text")).union(hot)
+    labels = spark.createDataFrame([(7, 1)] * 2000 + [(k, k % 2) for k in range(100, 1100)] * 2, "doc_id long, toxic int")
+    everything = common.labelled_sample(docs, labels, "toxic", F.lit(True), 10_000)
+    assert len(everything) == 4000 and sum(t == "plain text" for t, _ in everything) == 1000
+    some = common.labelled_sample(docs, labels, "toxic", F.lit(True), 500)
+    assert len(some) == 500 and {y for _, y in some} == {0, 1}
+    small = common.labelled_sample(docs, labels, "toxic", F.lit(True), 500, bound_bytes=300)
+    assert 20 < len(small) < 50 and sum(len(t) for t, _ in small) <= 300
+    assert common.labelled_sample(docs, labels, "toxic", F.lit(True), 500, bound_bytes=1) == []
+
+
+@pytest.mark.parametrize("apply, label, held", [(toxicity.toxicity, "toxic", True), (knnvote.quality, "quality", False)])
+def test_rows_without_an_id_have_a_fold(spark, apply, label, held):
+    docs = spark.createDataFrame([(None, "a text"), (4, "another")], "doc_id long, text string")
+    got = {r.doc_id: r.held_out for r in apply(docs, spark.createDataFrame([], f"doc_id long, {label} int")).collect()}
+    assert got[None] is held and got[4] is not None
+
+
+def plain_votes(sample, texts):
+    """The votes of the nearest labelled vectors in plain double precision."""
+    project, known, y, share = knnvote.fit(sample)
+    out = []
+    for t in texts:
+        z = np.log1p(knnvote.counts(t.encode()).astype(float)) @ project.astype(float)
+        z = z / max(np.sqrt(z @ z), 1e-12)
+        near = sorted(((-float(z @ k), i) for i, k in enumerate(known.astype(float))))[:knnvote.K]
+        w = [max(-s, 0.0) ** knnvote.POWER for s, _ in near]
+        out.append((sum(a * y[i] for a, (_, i) in zip(w, near)) + knnvote.PRIOR * share) / (sum(w) + knnvote.PRIOR))
+    return out
+
+
+def test_votes_equal_plain_votes(spark):
+    docs = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()]
+    label = {r.doc_id: r.quality for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
+    sample = [(t, label[i]) for i, t in docs if i in label]
+    got = knnvote.score(spark.createDataFrame(docs, "doc_id long, text string"), knnvote.fit(sample)).collect()
+    want = collections.defaultdict(list)
+    for (i, _), s in zip(docs, plain_votes(sample, [t for _, t in docs])):
+        want[i].append(s)
+    assert all(min(abs(r.score - s) for s in want[r.doc_id]) < 1e-3 for r in got) and len(got) == len(docs)
+
+
+def test_equal_neighbours_are_taken_in_order():
+    similar = np.array([[0.5, 0.9, 0.5, 0.5, 0.5], [0.1, 0.1, 0.1, 0.1, 0.1], [0.0, 0.2, 0.3, 0.1, 0.3]], np.float32)
+    assert knnvote.nearest(similar, 3).tolist() == [[0, 1, 2], [0, 1, 2], [1, 2, 4]]
+
+
+def test_toxicity_equals_plain_compression(spark):
+    """Features and score of a given model, from lengths that zstandard reports for each window."""
+    import zstandard
+    rng = random.Random(2)
+    vocabulary = [f"word{k}" for k in range(300)]
+    texts = [(k, " ".join(rng.choice(vocabulary[150 * (k // 2 % 2):][:200]) for _ in range(rng.randint(0, 120)))) for k in range(60)]
+    model = toxicity.fit([(t, k // 2 % 2) for k, t in texts])
+    packers = [zstandard.ZstdCompressor(level=toxicity.LEVEL, dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT),
+                                        write_content_size=False, write_dict_id=False) for d in model[:2]]
+    got = {r.doc_id: r.score for r in toxicity.score(spark.createDataFrame(texts, "doc_id long, text string"), model).collect()}
+    for k, t in texts:
+        d = [len(packers[0].compress(w)) - len(packers[1].compress(w)) for w in toxicity.windows(t)]
+        over = [sum(x >= e for x in d) for e in toxicity.THRESHOLDS]
+        f = [1.0, sum(d) / len(d), max(d) / 10, math.log1p(sum(x - 1 for x in d if x > 1)), *(o / len(d) * 10 for o in over), *(math.log1p(o) for o in over)]
+        assert abs(got[k] - 1 / (1 + math.exp(-max(-30, min(30, float(np.dot(f, model[2]))))))) < 1e-9
+
+
 def test_labels_of_the_held_out_fold_do_not_matter(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     labels = spark.read.parquet(f"{SMALL}/labels.parquet")
