@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dealcast.functions.draws import uniform_draw
-from dealcast.operators import trees
+from dealcast.operators import boosting, trees
 from dealcast.session import cut_lineage
 
 # ----------------------------------------------------------------- matrices
@@ -215,51 +215,12 @@ def kbest_logit(train: DataFrame, test: DataFrame, k: int = 5) -> DataFrame:
 
 # ----------------------------------------------------------------- AdaBoost.R2 (M7)
 
-def _weighted_median(preds: list[str], weights: list[float]):
-    arr = F.array_sort(F.array(*[F.struct(F.col(p).alias("v"), F.lit(w).alias("w")) for p, w in zip(preds, weights)]))
-    total = sum(weights)
-    # first value whose cumulative weight reaches half of the total
-    cum = F.aggregate(arr, F.struct(F.lit(0.0).alias("c"), F.lit(None).cast("double").alias("m")),
-                      lambda acc, e: F.struct(
-                          (acc["c"] + e["w"]).alias("c"),
-                          F.when(acc["m"].isNull() & (acc["c"] + e["w"] >= total / 2.0), e["v"]).otherwise(acc["m"]).alias("m")))
-    return cum["m"]
-
-
-def adaboost_r2(train: DataFrame, test: DataFrame, n_estimators: int = 10, max_depth: int = 3, seed: int = 7):
-    """AdaBoost.R2 with linear loss on weighted MLlib trees.
-
-    Each round: weighted tree fit (``weightCol``, deterministic instead of the
-    library's weighted bootstrap), one aggregation for max error and weighted
-    loss, weight update, and a checkpoint of the reweighted rows. Prediction is
-    the weighted median of the trees (log(1/beta) weights).
-    """
-    cur = cut_lineage(train.withColumn("w", F.lit(1.0)))
-    models, alphas = [], []
-    for m in range(n_estimators):
-        tree = DecisionTreeRegressor(maxDepth=max_depth, weightCol="w", seed=seed + m).fit(cur)
-        p = tree.transform(cur).withColumn("err", F.abs(F.col("prediction") - F.col("label")))
-        st = p.agg(F.max("err").alias("d"), F.sum("w").alias("sw")).first()
-        if not st["d"]:
-            models.append(tree); alphas.append(1.0)
-            break
-        p = p.withColumn("loss", F.col("err") / F.lit(st["d"]))
-        avg_loss = p.agg((F.sum(F.col("w") * F.col("loss")) / F.sum("w")).alias("l")).first()["l"]
-        if avg_loss >= 0.5:
-            if not models:
-                models.append(tree); alphas.append(1.0)
-            break
-        beta = avg_loss / (1 - avg_loss)
-        models.append(tree)
-        alphas.append(math.log(1 / beta) if beta > 0 else 1.0)
-        cur = cut_lineage(p.withColumn("w", F.col("w") * F.pow(F.lit(beta), 1 - F.col("loss")))
-                          .drop("prediction", "err", "loss"))
-    out = test
-    cols = []
-    for i, mdl in enumerate(models):
-        out = mdl.setPredictionCol(f"_p{i}").transform(out)
-        cols.append(f"_p{i}")
-    return out.withColumn("prediction", _weighted_median(cols, alphas)).drop(*cols)
+def adaboost_r2(train: DataFrame, test: DataFrame, n_estimators: int = 50, max_depth: int = 3, seed: int = 7,
+                keys: list[str] | None = None) -> DataFrame:
+    """``boosting.adaboost_r2`` on vector frames (``features``, ``label``): ``test`` with ``prediction``."""
+    rows = train.select(vector_to_array("features").alias("x"), F.col("label").alias("y"), *(keys or []))
+    model = boosting.adaboost_r2(rows, n_estimators, max_depth, seed=seed, keys=keys)
+    return model.transform(test, vector_to_array("features"))
 
 
 # ----------------------------------------------------------------- extra trees

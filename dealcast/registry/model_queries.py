@@ -123,7 +123,7 @@ def q_regressors(spark, sf):
 @register("m7_adaboost_regressor")
 def q_adaboost(spark, sf):
     tr, te, _ = reg_frames(spark, sf)
-    return _reg_scores(M.adaboost_r2(tr, te, n_estimators=10), "adaboost_r2")
+    return _reg_scores(M.adaboost_r2(tr, te, n_estimators=10, keys=["brand", "posted_date"]), "adaboost_r2")
 
 
 @register("m11_extra_trees_regressor")

@@ -34,7 +34,7 @@ def test_twin(spark, con, name):
 
 
 FAST_NO_SQL = [n for n in sorted(QUERIES) if n not in SQL and n in (
-    "m3_m4_bayes_trend", "i6_i7_model_run_roundtrip", "m7_adaboost_regressor", "x7_compare_feature_sets")]
+    "m3_m4_bayes_trend", "i6_i7_model_run_roundtrip", "x7_compare_feature_sets")]
 
 
 @pytest.mark.parametrize("name", FAST_NO_SQL)
