@@ -1,24 +1,29 @@
 """Quality rules: base counts of every text and robust multivariate outliers.
 
-For each (language, source) group a minimum-covariance-determinant estimate is made by
-concentration steps: distances under the current centre and scatter, the group's share
-``CORE`` of rows nearest to the centre, their mean and covariance, and again. A document
-whose Mahalanobis distance exceeds a chi-square cut-off is rejected. All steps are grouped
-sums and quantile sketches over a narrow table of one row per document, so a group that
-holds a third of all rows is pre-aggregated by every task; only group parameters move.
+For each (language, source) group the minimum covariance determinant is searched from
+several starts: the group's medians and quartile spreads, and ``STARTS`` small sets of rows
+drawn by hash. A concentration step takes distances under a start's centre and scatter, the
+group's share ``CORE`` of rows nearest to the centre, and their mean and covariance. After
+``SCREENING`` steps the ``BEST`` starts of least determinant go on, each until its
+determinant stops falling, and the least one is the group's estimate. A document whose
+Mahalanobis distance exceeds a chi-square cut-off is rejected. All steps are grouped sums
+and quantile sketches over a narrow table of one row per document, so a group that holds a
+third of all rows is pre-aggregated by every task; only group parameters move.
 
 Defined cases: a null text has no words and fails the base rule; null languages and
 sources are groups of their own; groups under ``MIN_ROWS`` documents use their language's
 estimate, small languages that of all documents, and where even those are fewer no
 document is rejected by distance. Other columns are kept untouched by ``screen``,
-repeated rows are judged alike, and an empty table gives an empty result.
+repeated rows are judged alike, and an empty table gives an empty result. Rows of a start
+are drawn by a hash of their statistics, so repeated rows are drawn as one and ids and
+partitions don't matter; equal determinants go to the first start.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dealcast.llm.arrays import blank_words, following, let
@@ -27,8 +32,12 @@ from dealcast.llm.common import written
 MIN_WORDS, MAX_REPEATED_PERCENT, WINDOW = 10, 20, 5
 SYMBOLS = r"[#*$%&|<>]"
 
-#: Share of a group that the estimate rests on, and concentration steps.
-CORE, STEPS = 0.75, 4
+#: Share of a group that the estimate rests on, and the accuracy of its edge's sketch.
+CORE, ACCURACY = 0.75, 10_000
+#: Starts drawn besides the medians, rows drawn for each, steps of all starts, and starts that go on.
+STARTS, DRAWN, SCREENING, BEST = 6, 6, 2, 2
+#: A determinant falls if its logarithm does by more than this.
+FALL = 1e-3
 #: Documents a group needs for an estimate of its own.
 MIN_ROWS = 200
 #: Share of ordinary documents that the cut-off may reject, were the statistics normal.
@@ -111,13 +120,13 @@ def statistics(c) -> dict[str, Column]:
 
 
 def moments(rows: DataFrame) -> DataFrame:
-    """Mean and covariance (with noise) of each group."""
+    """Mean and covariance (with noise) of each group's rows under each start."""
     sums = [F.count(F.lit(1)).alias("n"), *(F.sum(x).alias(f"s_{x}") for x in X)]
     sums += [F.sum(F.col(a) * F.col(b)).alias(f"s_{a}{b}") for k, a in enumerate(X) for b in X[:k + 1]]
-    m = rows.groupBy("grp").agg(*sums)
+    m = rows.groupBy("grp", "start").agg(*sums)
     # The share CORE of normal rows nearest to the centre has this much less scatter.
     widen = CORE / chi2_even(chi2_even_quantile(CORE, len(X)), len(X) + 2)
-    out = [F.col("grp"), *((F.col(f"s_{x}") / F.col("n")).alias(f"m_{x}") for x in X)]
+    out = [F.col("grp"), F.col("start"), *((F.col(f"s_{x}") / F.col("n")).alias(f"m_{x}") for x in X)]
     for k, a in enumerate(X):
         for b in X[:k + 1]:
             cov = F.col(f"s_{a}{b}") / F.col("n") - F.col(f"s_{a}") * F.col(f"s_{b}") / F.col("n") / F.col("n")
@@ -126,7 +135,7 @@ def moments(rows: DataFrame) -> DataFrame:
 
 
 def factored(params: DataFrame) -> DataFrame:
-    """The lower triangular (Cholesky) factor of each group's covariance, as columns l_*."""
+    """The lower triangular (Cholesky) factor of each covariance, as columns l_*, and the logarithm of its determinant."""
     for k, a in enumerate(X):
         for j, b in enumerate(X[:k + 1]):
             rest = F.col(f"c_{a}{b}")
@@ -134,11 +143,12 @@ def factored(params: DataFrame) -> DataFrame:
                 rest = rest - F.col(f"l_{a}{c}") * F.col(f"l_{b}{c}")
             value = F.sqrt(F.greatest(rest, F.lit(1e-9))) if a == b else rest / F.col(f"l_{b}{b}")
             params = params.withColumn(f"l_{a}{b}", value)
-    return params.select("grp", *(f"m_{x}" for x in X), *(f"l_{a}{b}" for k, a in enumerate(X) for b in X[:k + 1]))
+    logdet = 2 * sum((F.log(f"l_{x}{x}") for x in X[1:]), F.log(f"l_{X[0]}{X[0]}"))
+    return params.select("grp", "start", logdet.alias("logdet"), *(f"m_{x}" for x in X), *(f"l_{a}{b}" for k, a in enumerate(X) for b in X[:k + 1]))
 
 
-def distances(rows: DataFrame, params: DataFrame) -> DataFrame:
-    """``rows`` with d2, the squared Mahalanobis distance in their group."""
+def distances(rows: DataFrame, params: DataFrame, more: tuple = ()) -> DataFrame:
+    """``rows`` with d2, the squared Mahalanobis distance in their group, and columns ``more`` of the estimate."""
     out = rows.join(params, "grp", "left")
     for k, a in enumerate(X):
         rest = F.col(a) - F.col(f"m_{a}")
@@ -146,7 +156,7 @@ def distances(rows: DataFrame, params: DataFrame) -> DataFrame:
             rest = rest - F.col(f"l_{a}{c}") * F.col(f"z_{c}")
         out = out.withColumn(f"z_{a}", rest / F.col(f"l_{a}{a}"))
     d2 = sum((F.col(f"z_{x}") * F.col(f"z_{x}") for x in X[1:]), F.col(f"z_{X[0]}") * F.col(f"z_{X[0]}"))
-    return out.withColumn("d2", d2).select(*rows.columns, "d2")
+    return out.withColumn("d2", d2).select(*rows.columns, *more, "d2")
 
 
 def with_groups(rows: DataFrame, min_rows: int) -> DataFrame:
@@ -168,22 +178,59 @@ def with_groups(rows: DataFrame, min_rows: int) -> DataFrame:
     return rows.alias("r").join(named, on, "left").select("r.*", "g.grp", "g.fits")
 
 
-def fit(rows: DataFrame) -> DataFrame:
-    """Centre and factored scatter of each group of ``rows`` (fits and the statistics)."""
-    rows = written(rows.select(F.explode("fits").alias("grp"), *X), "quality-stats")
+def drawn(rows: DataFrame) -> DataFrame:
+    """Rows of each drawn start (from 1): in each of ``DRAWN`` parts of a group, made by a hash, the row of least hash."""
+    part = F.pmod(F.xxhash64(F.lit(0), *X), F.lit(DRAWN))
+    least = [F.min(F.when(part == j, F.struct(F.xxhash64(F.lit(s), *X).alias("u"), *X))) for s in range(1, STARTS + 1) for j in range(DRAWN)]
+    picks = F.array(*(F.struct(F.lit(1 + i // DRAWN).alias("start"), c.alias("row")) for i, c in enumerate(least)))
+    one = rows.groupBy("grp").agg(picks.alias("picks")).select("grp", F.explode("picks").alias("p"))
+    return one.where("p.row IS NOT NULL").select("grp", "p.start", *(F.col(f"p.row.{x}") for x in X))
+
+
+def starts(rows: DataFrame) -> DataFrame:
+    """The estimates that concentration begins with."""
     marks = rows.groupBy("grp").agg(*(F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.lit(1000)).alias(x) for x in X))
-    start = [F.col("grp"), *(F.col(x)[1].alias(f"m_{x}") for x in X)]
+    middle = [F.col("grp"), F.lit(0).alias("start"), *(F.col(x)[1].alias(f"m_{x}") for x in X)]
     for k, a in enumerate(X):
         for b in X[:k + 1]:
             spread = (F.col(a)[2] - F.col(a)[0]) / 1.349
-            start.append((spread * spread + NOISE[a] ** 2 if a == b else F.lit(0.0)).alias(f"c_{a}{b}"))
-    params = written(factored(marks.select(*start)), "quality-params")
-    for _ in range(STEPS):
-        far = distances(rows, params)
-        edge = far.groupBy("grp").agg(F.percentile_approx("d2", F.lit(CORE), F.lit(1000)).alias("edge"))
-        core = far.join(written(edge, "quality-edge"), "grp").where(F.col("d2") <= F.col("edge"))
-        params = written(factored(moments(core)), "quality-params")
-    return params
+            middle.append((spread * spread + NOISE[a] ** 2 if a == b else F.lit(0.0)).alias(f"c_{a}{b}"))
+    return factored(marks.select(*middle)).unionByName(factored(moments(drawn(rows))))
+
+
+def concentrated(rows: DataFrame, params: DataFrame) -> DataFrame:
+    """The estimates after one concentration step of each."""
+    far = distances(rows, params, ("start",)).where(F.col("start").isNotNull())
+    edge = written(far.groupBy("grp", "start").agg(F.percentile_approx("d2", F.lit(CORE), F.lit(ACCURACY)).alias("edge")), "quality-edge")
+    core = far.join(edge, ["grp", "start"]).where(F.col("d2") <= F.col("edge"))
+    return factored(moments(core))
+
+
+def least(params: DataFrame, n: int) -> DataFrame:
+    """The ``n`` estimates of least determinant of each group."""
+    w = Window.partitionBy("grp").orderBy("logdet", "start")
+    return params.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= n).drop("_rk")
+
+
+def fit(rows: DataFrame) -> DataFrame:
+    """Centre and factored scatter of least determinant of each group of ``rows`` (fits and the statistics)."""
+    rows = written(rows.select(F.explode("fits").alias("grp"), *X), "quality-stats")
+    params = written(starts(rows), "quality-params")
+    if params.isEmpty():
+        return params
+    for _ in range(SCREENING):
+        params = written(concentrated(rows, params), "quality-params")
+    params = least(params, BEST)
+    falling = True
+    while falling:
+        # the lesser one of each estimate before and after a step, and how far it fell
+        both = params.withColumn("_step", F.lit(0)).unionByName(concentrated(rows, params).withColumn("_step", F.lit(1)))
+        kept = F.min_by(F.struct(*(F.col(c) for c in params.columns)), F.struct("logdet", "_step")).alias("p")
+        fell = F.max(F.when(F.col("_step") == 0, F.col("logdet"))) - F.min("logdet")
+        table = written(both.groupBy("grp", "start").agg(kept, fell.alias("fell")), "quality-params")
+        falling = not table.where(F.col("fell") > FALL).isEmpty()
+        params = table.select("p.*")
+    return least(params, 1)
 
 
 def screen(docs: DataFrame, keep_rows: bool = True, min_rows: int = MIN_ROWS) -> DataFrame:
@@ -204,4 +251,4 @@ def screen(docs: DataFrame, keep_rows: bool = True, min_rows: int = MIN_ROWS) ->
     params = fit(rows.where(~F.col("base_failed")))
     cut = chi2_even_quantile(1 - TAIL, len(X))
     kept = ~F.col("base_failed") & F.coalesce(F.col("d2") <= cut, F.lit(True))
-    return distances(rows, params).select("doc", "counts", "base_failed", "d2", kept.alias("kept"))
+    return distances(rows, params.drop("start", "logdet")).select("doc", "counts", "base_failed", "d2", kept.alias("kept"))

@@ -7,6 +7,7 @@ import random
 import re
 import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -301,6 +302,40 @@ def test_quality_outliers(spark):
     assert not kept[2000]  # judged by all documents
 
 
+def plain_determinant(x, tries=60):
+    """Least log determinant over many random starts, each concentrated until nothing changes, in plain numpy."""
+    rng, n, d = np.random.default_rng(1), len(x), x.shape[1]
+    noise = np.diag([quality.NOISE[c] ** 2 for c in quality.X])
+    widen = quality.CORE / quality.chi2_even(quality.chi2_even_quantile(quality.CORE, d), d + 2)
+    best = np.inf
+    for _ in range(tries):
+        core = rng.choice(n, 6, replace=False)
+        for _ in range(100):
+            centre, scatter = x[core].mean(axis=0), np.cov(x[core].T, bias=True) * widen + noise
+            far = np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(scatter), x - centre)
+            after = np.flatnonzero(far <= np.sort(far)[int(np.ceil(quality.CORE * n)) - 1])
+            if len(after) == len(core) and (after == core).all():
+                break
+            core = after
+        best = min(best, np.linalg.slogdet(scatter)[1])
+    return best
+
+
+def test_quality_estimate_has_the_least_determinant(spark):
+    """Of groups with a fifth of outliers on one side, with two clusters, and with copies, as found by a plain search of many starts."""
+    rng = np.random.default_rng(3)
+    base = lambda n: rng.multivariate_normal([1.6, 0.1, 0.2, 0.1], np.diag([0.09, 0.02, 0.05, 0.04]), n)
+    groups = {"side": np.vstack([base(240), base(60) + [0, 2.0, 0, 0]]), "two": np.vstack([base(220), base(80) * 0.3 + [1.5, 0, 1, 0]]),
+              "copies": np.vstack([base(200), np.repeat(base(1), 100, axis=0)]), "plain": base(300)}
+    rows = spark.createDataFrame([([g], *map(float, v)) for g, x in groups.items() for v in x], "fits array<string>, " + ", ".join(f"{c} double" for c in quality.X))
+    got = {r.grp: r for r in quality.fit(rows.repartition(5)).collect()}
+    assert set(got) == set(groups)
+    for g, x in groups.items():
+        assert got[g].logdet <= plain_determinant(x) + 1e-2, g
+    again = {r.grp: r.logdet for r in quality.fit(rows.repartition(2)).collect()}
+    assert all(abs(again[g] - got[g].logdet) < 1e-9 for g in groups)
+
+
 def test_quality_small_or_empty_tables_reject_nothing_by_distance(spark, empty):
     assert quality.screen(empty).count() == 0
     docs = spark.createDataFrame([(1, "&&& " * 3 + " ".join(f"w{j}" for j in range(20)), None, None, 1)], DOCS)
