@@ -196,6 +196,7 @@ ADA_SEED = 7
 
 def _adaboost_sql() -> str:
     shares = ", ".join(str(i / BINS) for i in range(1, BINS))
+    going = lambda r: " AND ".join([f"(SELECT loss FROM b{k}_st) < 0.5" for k in range(r)] or ["true"])
     out = FEAT_BASE.rstrip() + f""",
 reg AS (SELECT * FROM (SELECT brand, posted_date, CAST(label AS DOUBLE) AS y, {ARRAY} AS x, CASE WHEN rn = n THEN 'last' WHEN rn >= n - 364 THEN 'test' WHEN rn >= 7 THEN 'train' ELSE 'skip' END AS split FROM feat)
   WHERE split IN ('train', 'test')),
@@ -213,25 +214,25 @@ a0 AS (SELECT brand, posted_date, y, split, CASE WHEN split = 'train' THEN CAST(
 {p}t0 AS (SELECT *, 1 AS node FROM a{r}),""" + _grow_sql(p, DEPTH) + f""",
 {p}st AS (SELECT max(abs(value - y)) AS worst, sum(w) AS tot, sum(w * abs(value - y)) / (sum(w) * max(abs(value - y))) AS loss FROM {p}out WHERE split = 'train'),
 a{r + 1} AS (SELECT brand, posted_date, y, split, w / tot * pow(loss / (1 - loss), 1 - abs(value - y) / worst) AS w,
-  {"CASE WHEN loss < 0.5 THEN list_append(p, {'v': value, 'a': ln((1 - loss) / loss)}) ELSE p END" if r else "[{'v': value, 'a': CASE WHEN loss < 0.5 THEN ln((1 - loss) / loss) ELSE 1 END}]"} AS p, x FROM {p}out, {p}st),"""
+  {f"CASE WHEN loss < 0.5 AND {going(r)} THEN list_append(p, {{'v': value, 'a': ln((1 - loss) / loss)}}) ELSE p END" if r else "[{'v': value, 'a': CASE WHEN loss < 0.5 THEN ln((1 - loss) / loss) ELSE 1 END}]"} AS p, x FROM {p}out, {p}st),"""
     weight = "list_sum(list_transform(list_filter(p, lambda e: e.v <= c.v), lambda e: e.a))"
     return out + f"""
 fin AS (SELECT brand, y, list_min(list_transform(list_filter(p, lambda c: {weight} >= 0.5 * list_sum(list_transform(p, lambda e: e.a))), lambda c: c.v)) AS value FROM a{ROUNDS} WHERE split = 'test')
 SELECT brand, count(*) AS n_rows, round(avg(value), 6) AS mean_forecast, round(avg((value - y) * (value - y)), 6) AS mse, round(avg(abs(value - y)), 6) AS mae,
-  {", ".join(f"(SELECT round(loss, 6) FROM b{r}_st) AS loss_{r + 1}" for r in range(ROUNDS))} FROM fin GROUP BY brand"""
+  {", ".join(f"CASE WHEN {going(r)} THEN (SELECT round(loss, 6) FROM b{r}_st) END AS loss_{r + 1}" for r in range(ROUNDS))} FROM fin GROUP BY brand"""
 
 
 @register("m7_resampled_boosting", _adaboost_sql())
 def q_resampled_boosting(spark, sf):
     """Discount by two rounds of AdaBoost.R2, each on a weighted bootstrap sample: errors on each brand's test year and the rounds' average losses
-    (from a half on, a later round does not count)."""
+    (a half or more ends the boosting: rounds after it are null, and it counts only as the first)."""
     from dealcast.operators.boosting import adaboost_r2
     train, test = _reg(spark, sf)
     model = adaboost_r2(train, ROUNDS, DEPTH, bins=BINS, seed=ADA_SEED, keys=["brand", "posted_date"])
     e = F.col("prediction") - F.col("y")
     return model.transform(test, F.col("x")).groupBy("brand").agg(
         F.count(F.lit(1)).alias("n_rows"), F.round(F.avg("prediction"), D).alias("mean_forecast"), F.round(F.avg(e * e), D).alias("mse"), F.round(F.avg(F.abs(e)), D).alias("mae"),
-        *[F.round(F.lit(loss), D).alias(f"loss_{r + 1}") for r, loss in enumerate(model.losses)])
+        *[F.round(F.lit(loss).cast("double"), D).alias(f"loss_{r + 1}") for r, loss in enumerate([*model.losses, *[None] * (ROUNDS - len(model.losses))])])
 
 
 # ---------------------------------------------------------------- M12: logistic regression by Newton steps
