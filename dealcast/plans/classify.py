@@ -27,7 +27,7 @@ def gwp_horizon(panel: DataFrame, estimator=None, seed: int = 42, search: dict |
     dd = dd.withColumn("y", F.col("gwp").cast("int"))
     matrix = M.fit_matrix(dd.where(F.col("split") == "train"), feats, "y")
     vf, _ = M.vector_frame(dd, feats, "y", keep=["split", "posted_date"], fitted=matrix)
-    train = vf.where(F.col("split") == "train")
+    train = M.binary_label(vf).where(F.col("split") == "train")
     if search is not None:
         args = {"k": 10, "seed": seed, "estimator": estimator} | search
         folds = stratified_folds(train, "label", ["posted_date"], k=args["k"], seed=2, by=["brand"])

@@ -32,6 +32,19 @@ def test_classifiers_beat_constant_on_planted_signal(spark):
         assert auc > 0.8, (name, auc)
 
 
+@pytest.mark.parametrize("only", [0, 1])
+def test_classifiers_of_one_class_predict_it(spark, only):
+    vf, _ = M.vector_frame(_planted(spark), ["a", "b"], "y", keep=["id"])
+    tr, te = (M.binary_label(vf.where(F.col("id") % 3 == r)) for r in (0, 1))
+    tr = tr.where(F.col("label") == only)
+    preds = {name: M.fit_predict(tr, te, make(7)) for name, make in M.CLASSIFIERS.items()} | {"kbest": M.kbest_logit(tr, te, 1)}
+    for name, pred in preds.items():
+        assert pred.count() == te.count(), name
+        assert {r.prediction for r in pred.collect()} == {float(only)}, name
+        limit = 0.5 if "probability" in pred.columns else 0.0
+        assert {r.score >= limit for r in M.positive_score(pred, name).collect()} == {bool(only)}, name
+
+
 def test_trend_models_recover_slope(spark):
     rows = [("b", float(x), 0.1 + 0.002 * x) for x in range(200)]
     df = spark.createDataFrame(rows, "brand string, x double, y double")
