@@ -94,6 +94,19 @@ def test_spot_check_ranks_signal_above_chance(classes):
     assert min(mean[m] for m in ("logit", "linear_svc", "knn")) > 0.9 and 0.3 < mean["chance"] < 0.7
 
 
+@pytest.mark.parametrize("only", [0, 1])
+def test_spot_check_of_one_class_has_no_area(classes, only):
+    one = M.binary_label(classes.where(F.col("label") == only))
+    scores = M.spot_check(one, {n: M.CLASSIFIERS[n](7) for n in ("naive_bayes", "decision_tree")}, M.column_folds(3))
+    assert [r.value for r in scores.collect()] == [None] * 6
+
+
+def test_spot_check_scores_the_folds_that_have_both_classes(classes):
+    mixed = classes.where("fold != 0 or label = 1")
+    got = {r.fold: r.value for r in M.spot_check(mixed, {"tree": M.CLASSIFIERS["decision_tree"](7)}, M.column_folds(3)).collect()}
+    assert got[0] is None and min(got[1], got[2]) > 0.8
+
+
 def test_nearest_votes_are_the_share_of_near_labels(classes):
     train, test = classes.where("fold != 0"), classes.where("fold = 0")
     got = {r.row_id: r.rawPrediction for r in M.nearest_votes(train, test, 3).collect()}
