@@ -189,7 +189,9 @@ def newton_logit(df: DataFrame, feats: list[str], label: str, ridge: float = 1.0
     """Logistic regression of a 0/1 label by Newton steps (M12): coefficients and intercept.
 
     Minimises the log loss plus ``ridge`` / 2 times the squared coefficients (not the intercept). Gradient and
-    Hessian of a step are one aggregation; a step that raises the loss is halved. Rows with a null take no part.
+    Hessian of a step are one aggregation; a step that raises the loss is halved, and the search ends where no
+    part of a step lowers it any more. Rows with a null take no part. Rows of one class have no finite optimum (the intercept
+    grows by about 1 a step): the result is then that of the last step.
     """
     import numpy as np
     import pyarrow as pa
@@ -207,7 +209,8 @@ def newton_logit(df: DataFrame, feats: list[str], label: str, ridge: float = 1.0
                     x = np.column_stack([*(b.column(c).to_numpy() for c in feats), np.ones(b.num_rows)])
                     y, m = b.column(label).to_numpy(), x @ w
                     p = 1 / (1 + np.exp(-m))
-                    loss += float((np.logaddexp(0, m) - y * m).sum())
+                    # per class, as logaddexp(0, m) - m has no digits left for a large m
+                    loss += float((y * np.logaddexp(0, -m) + (1 - y) * np.logaddexp(0, m)).sum())
                     g += x.T @ (p - y)
                     h += (x * (p * (1 - p))[:, None]).T @ x
             values = [loss, *g, *h.ravel()]
@@ -229,8 +232,10 @@ def newton_logit(df: DataFrame, feats: list[str], label: str, ridge: float = 1.0
         scale = 1.0
         while True:
             after = sums(w - scale * step)
-            if after[0] <= loss + 1e-12 * abs(loss) or scale < 1e-6:
+            if after[0] <= loss + 1e-12 * abs(loss):
                 break
+            if scale < 1e-6:
+                return w[:-1].tolist(), float(w[-1])
             scale /= 2
         w, (loss, g, h) = w - scale * step, after
     return w[:-1].tolist(), float(w[-1])

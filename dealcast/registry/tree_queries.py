@@ -257,7 +257,10 @@ w0 AS (SELECT list_transform({r}, lambda j: CAST(0 AS DOUBLE)) AS w),"""
 
 @register("m12_newton_logit", _newton_sql())
 def q_newton(spark, sf):
-    """Ridge-penalised logistic regression of gift days on five features: its coefficients."""
+    """Ridge-penalised logistic regression of gift days on five features: its coefficients.
+
+    Where all deal days are gift days (no optimum) the intercept is that of the SQL's nine steps.
+    """
     from dealcast.operators.linear import newton_logit
-    coef, intercept = newton_logit(_cls_rows(spark, sf).where("split = 'train'"), LOGIT_FEATS, "y")
+    coef, intercept = newton_logit(_cls_rows(spark, sf).where("split = 'train'"), LOGIT_FEATS, "y", max_steps=NEWTON_STEPS)
     return spark.createDataFrame([*zip(LOGIT_FEATS, coef), ("(intercept)", intercept)], "feature string, coef double").withColumn("coef", F.round("coef", D))

@@ -117,6 +117,19 @@ def test_newton_logit_has_no_gradient_left(spark):
     assert np.allclose(x.T @ (p - y) + 0.5 * np.array(w), 0, atol=1e-6) and abs((p - y).sum()) < 1e-6 and np.sign(w).tolist() == [1, 1, -1]
 
 
+def test_newton_logit_ends_on_one_class(spark, monkeypatch):
+    """No step is halved on the way to a certain class: one aggregation a step."""
+    df = spark.createDataFrame([(float(i % 7), 1.0) for i in range(2000)], "a double, y double")
+    runs, real = [], type(df).mapInArrow
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, *args: runs.append(1) or real(self, *args))
+    w, b = linear.newton_logit(df, ["a"], "y", max_steps=45)
+    assert len(runs) <= 46 and abs(w[0]) < 1e-9 and b > 30
+    z = 0.0
+    for _ in range(9):
+        z += 1 + np.exp(-z)
+    assert np.isclose(linear.newton_logit(df, ["a"], "y", max_steps=9)[1], z, atol=1e-9)
+
+
 # ---------------------------------------------------------------- trees
 def plain_tree(x, y, depth, node=1):
     """Best cuts by trying them all: {node: (feature, cut, gain) or the value}."""
