@@ -3,6 +3,7 @@ import random
 
 import pytest
 
+from dealcast.operators import neighbours as NB
 from dealcast.operators.balance import class_balance, class_weights, smote
 from dealcast.operators.neighbours import knn_join
 
@@ -130,3 +131,31 @@ def test_knn_of_nothing_and_of_text_ids(spark):
     assert knn_join(none, none, 2, "id", "id", "vec", by=["g"]).count() == 0 and knn_join(none, none, 2, "id", "id", "vec").count() == 0
     with pytest.raises(ValueError, match="method"):
         knn_join(df, df, 2, "id", "id", "vec", method="other")
+
+
+def test_nearest_of_a_block_are_those_by_plain_distances():
+    """Equal to all distances summed left to right and sorted: ties, great offsets and components that aren't finite too."""
+    import numpy as np
+    rng = np.random.default_rng(3)
+    odd = rng.normal(size=(40, 3))
+    odd[3, 1], odd[7, 2] = np.nan, np.inf
+    cases = [(rng.normal(size=(60, 16)), rng.normal(size=(90, 16))), (rng.integers(0, 3, (50, 3)) * 1.0, rng.integers(0, 3, (80, 3)) * 1.0),
+             (1e7 + rng.normal(size=(30, 5)), 1e7 + rng.normal(size=(40, 5))), (odd, odd), (rng.normal(size=(9, 2)), rng.normal(size=(2, 2)))]
+    for q, p in cases:
+        with np.errstate(all="ignore"):
+            d2 = np.zeros((len(q), len(p)))
+            for i in range(q.shape[1]):
+                d2 += (q[:, i][:, None] - p[:, i][None, :]) ** 2
+            want = np.argsort(np.sqrt(d2), axis=1, kind="stable")[:, :4]
+            row, hit, dist = NB._nearest(q, p, 4)
+        assert row.tolist() == np.repeat(np.arange(len(q)), want.shape[1]).tolist() and hit.tolist() == want.ravel().tolist()
+        assert np.array_equal(dist, np.sqrt(np.take_along_axis(d2, want, axis=1)).ravel(), equal_nan=True)
+
+
+def test_blocks_of_a_long_side_get_larger(spark, monkeypatch):
+    rnd = random.Random(2)
+    e = spark.createDataFrame([(i, [rnd.random() for _ in range(4)]) for i in range(300)], "id int, vec array<double>")
+    small = {(r.id, r["rank"], r.nn_id) for r in NB.knn_join(e, e, 3, "id", "id", exclude_self=True).collect()}
+    monkeypatch.setattr(NB, "WIDE", 2)
+    cut = {(r.id, r["rank"], r.nn_id) for r in NB.knn_join(e, e, 3, "id", "id", exclude_self=True, block=10).collect()}
+    assert small == cut and len(cut) == 900
