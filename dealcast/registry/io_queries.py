@@ -76,8 +76,9 @@ def q_extract_deals(spark, sf):
 @register("a1_streaming_rollup", T.with_ctes(T.POSTS, T.PARSED, T.DAILY) + "SELECT * FROM daily")
 def q_stream(spark, sf):
     src, out, ck = _scratch(spark, "stream-src"), _scratch(spark, "stream-out"), _scratch(spark, "stream-ck")
-    posts(spark, sf).repartition(4).write.parquet(src)
-    # four files, one micro-batch each; posts arrive in random date order
-    q = stream_daily_rollup(spark, src, out, ck, max_files_per_trigger=1)
+    # four micro-batches, each of a file for every core; posts arrive in random date order
+    files = spark.sparkContext.defaultParallelism
+    posts(spark, sf).repartition(4 * files).write.parquet(src)
+    q = stream_daily_rollup(spark, src, out, ck, max_files_per_trigger=files)
     q.awaitTermination()
     return read_rollup_state(spark, out)

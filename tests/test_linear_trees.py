@@ -130,6 +130,13 @@ def test_newton_logit_ends_on_one_class(spark, monkeypatch):
     assert np.isclose(linear.newton_logit(df, ["a"], "y", max_steps=9)[1], z, atol=1e-9)
 
 
+def test_trend_days_are_read_from_the_checkpoint(spark):
+    from dealcast.registry.model_queries import _trend_data
+    for days in _trend_data(spark, "/root/testdata/sf0.001"):
+        assert not any("lineitem" in f for f in days.inputFiles())
+        assert "Aggregate" not in days._jdf.queryExecution().optimizedPlan().toString()
+
+
 # ---------------------------------------------------------------- trees
 def plain_tree(x, y, depth, node=1):
     """Best cuts by trying them all: {node: (feature, cut, gain) or the value}."""
