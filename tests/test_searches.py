@@ -107,6 +107,49 @@ def test_spot_check_scores_the_folds_that_have_both_classes(classes):
     assert got[0] is None and min(got[1], got[2]) > 0.8
 
 
+def _area(rows):
+    """Share of the pairs of a row of class 1 and one of class 0 that the score orders (ties count half)."""
+    ones, zeros = ([s for s, y in rows if y == c] for c in (1, 0))
+    return sum((a > b) + 0.5 * (a == b) for a in ones for b in zeros) / (len(ones) * len(zeros))
+
+
+@pytest.mark.parametrize("name", ["decision_tree", "naive_bayes", "random_forest"])
+def test_spot_check_scores_class_models_by_probability(spark, name):
+    """A large leaf of few ones must not rank above a small one of ones only, nor a far point of class 1 below a near one."""
+    rnd = random.Random(5)
+    rows = [(i % 2, float(x), int(rnd.random() < (0.4 if x == 0 else 0.9 if x == 6 else 0.05)))
+            for i, x in enumerate([0] * 300 + [3] * 100 + [6] * 40)]
+    df = spark.createDataFrame(rows, "fold int, x double, y int")
+    frame, _ = M.vector_frame(df.withColumn("id", F.monotonically_increasing_id()), ["x"], "y", keep=["fold", "id"])
+    got = M.spot_check(frame, {name: M.CLASSIFIERS[name](7)}, M.column_folds(2)).collect()
+    for r in got:
+        train, test = frame.where(F.col("fold") != r.fold), frame.where(F.col("fold") == r.fold)
+        pred = M.fit_predict(train, test, M.CLASSIFIERS[name](7)).select("probability", "label").collect()
+        assert r.value == pytest.approx(_area([(float(p.probability[1]), p.label) for p in pred]))
+
+
+def test_registered_spot_check_compares_the_eight_classifiers(spark, monkeypatch):
+    from dealcast.registry.base import QUERIES
+    asked = {}
+
+    def noted(frame, models, folds):
+        ids = frame.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("row_id").alias("d")).first()
+        assert ids.n == ids.d > 0
+        asked.update(models=set(models), tested=sorted(frame.where(test).count() for _, test in folds), n=ids.n)
+        return spark.createDataFrame([(m, f, 0.5) for m in models for f in range(len(folds))], "model string, fold int, value double")
+
+    monkeypatch.setattr(M, "spot_check", noted)
+    got = {r.model: r.n_folds for r in QUERIES["m21_spot_check"](spark, "/root/testdata/sf0.001").collect()}
+    eight = {"logit", "knn", "naive_bayes", "linear_svc", "decision_tree", "random_forest", "gradient_boosting", "xgb_like"}
+    assert asked["models"] == eight and got == dict.fromkeys(eight, 10)
+    assert len(asked["tested"]) == 10 and sum(asked["tested"]) == asked["n"] and asked["tested"][0] > 0
+
+
+def test_spot_check_classifiers_all_find_the_signal(classes):
+    scores = M.spot_check(M.binary_label(classes), M.spot_check_classifiers(7), M.column_folds(3)[:1])
+    assert scores.count() == 8 and scores.agg(F.min("value")).first()[0] > 0.85
+
+
 def test_nearest_votes_are_the_share_of_near_labels(classes):
     train, test = classes.where("fold != 0"), classes.where("fold = 0")
     got = {r.row_id: r.rawPrediction for r in M.nearest_votes(train, test, 3).collect()}
